@@ -84,7 +84,15 @@ def oldest_recent_month(as_of: dt.date, keep: int = 12) -> dt.date:
     return shift_month(as_of, 1 - keep)
 
 
-def landed_file(year: int, month: int) -> str:
+def month_name(month: int) -> str:
+    return "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec".split()[month - 1]
+
+
+def landed_file(month: dt.date) -> str:
     """Name of the landed raw file of a month: ``2019-Oct.csv.gz``."""
-    names = "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec".split()
-    return f"{year}-{names[month - 1]}{FILE_SUFFIX}"
+    return f"{month.year}-{month_name(month.month)}{FILE_SUFFIX}"
+
+
+def published_table(month: dt.date) -> str:
+    """Name of the warehouse table of a month: ``data_2019_oct``."""
+    return f"{TABLE_PREFIX}{month.year}_{month_name(month.month).lower()}"

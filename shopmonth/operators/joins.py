@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_SHARE = 1e-3
+HOT_SHARE = 1e-4
+HOT_ROWS = 1_000_000
 
 _ROW_OVERHEAD = 32
 _FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -30,36 +31,37 @@ def size_bound(df: DataFrame) -> int | None:
     return rows * (fixed + sum(lengths))
 
 
-def hot_keys(facts: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """Keys that hold more than ``share`` of all rows, null included.
+def hot_keys(facts: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int = HOT_ROWS) -> list:
+    """Keys that hold more than ``share`` of all rows and more than ``min_rows``, null included.
 
     There are fewer than ``1 / share`` of them by construction, so the list is
     bounded; the counts are combined in the map tasks.
     """
-    rows = facts.count()
+    bound = max(facts.count() * share, min_rows)
     counts = facts.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return [row[0] for row in counts.where(F.col("n") > rows * share).select(key).collect()]
+    return [row[0] for row in counts.where(F.col("n") > bound).select(key).collect()]
 
 
 def join_facts(facts: DataFrame, dim: DataFrame, key: str, how: str = "left",
-               broadcast_bytes: int = BROADCAST_BYTES, hot_share: float = HOT_SHARE) -> DataFrame:
+               broadcast_bytes: int = BROADCAST_BYTES, hot_share: float = HOT_SHARE,
+               hot_rows: int = HOT_ROWS) -> DataFrame:
     """Join a large table with one that holds each key at most once.
 
     ``how`` is left, inner, left_semi or left_anti. When the measured size bound
     of ``dim`` allows it, it is broadcast and ``facts`` is not shuffled at all.
     Otherwise rows of hot keys (and rows without a key) meet the few matching
     ``dim`` rows by broadcast where they are, and only the rest is shuffled by
-    key. Both inputs are read more than once, so hand in stored tables.
+    key; without hot keys that is a plain join. Both inputs are read more than
+    once, so hand in stored tables.
     """
     bound = size_bound(dim)
     if bound is not None and bound <= broadcast_bytes:
         return facts.join(F.broadcast(dim), key, how)
-    hot = hot_keys(facts, key, hot_share)
+    hot = hot_keys(facts, key, hot_share, hot_rows)
     if not hot:
         return facts.join(dim, key, how)
-    named = [value for value in hot if value is not None]
     column = F.col(key)
-    in_place = column.isNull() | column.isin(named) if named else column.isNull()
-    hot_dim = dim.where(column.isin(named) if named else F.lit(False))
-    return (facts.where(in_place).join(F.broadcast(hot_dim), key, how)
+    is_hot = column.isin([value for value in hot if value is not None])
+    in_place = column.isNull() | is_hot
+    return (facts.where(in_place).join(F.broadcast(dim.where(is_hot)), key, how)
             .unionByName(facts.where(~in_place).join(dim, key, how)))

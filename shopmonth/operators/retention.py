@@ -13,21 +13,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.months import month_start, oldest_recent_month, shift_month
-from .joins import BROADCAST_BYTES, HOT_SHARE, join_facts
+from .joins import join_facts
 
 KEEP_MONTHS = 12
 
 
-def is_recent(time_column: str, as_of: dt.date, keep: int = KEEP_MONTHS) -> Column:
-    return F.col(time_column) >= F.lit(oldest_recent_month(as_of, keep))
+def is_old(time_column: str, as_of: dt.date, keep: int = KEEP_MONTHS) -> Column:
+    return F.col(time_column) < F.lit(oldest_recent_month(as_of, keep))
 
 
 def recent_rows(events: DataFrame, time_column: str, as_of: dt.date, keep: int = KEEP_MONTHS) -> DataFrame:
-    return events.where(is_recent(time_column, as_of, keep))
+    return events.where(F.col(time_column) >= F.lit(oldest_recent_month(as_of, keep)))
 
 
 def old_rows(events: DataFrame, time_column: str, as_of: dt.date, keep: int = KEEP_MONTHS) -> DataFrame:
-    return events.where(~is_recent(time_column, as_of, keep))
+    return events.where(is_old(time_column, as_of, keep))
 
 
 def distinct_users(events: DataFrame, user: str = "user_id") -> DataFrame:
@@ -54,20 +54,21 @@ def require_active(active: DataFrame, allow_empty: bool = False) -> DataFrame:
 
 
 def surviving_old_rows(events: DataFrame, active: DataFrame, as_of: dt.date, user: str = "user_id",
-                       time_column: str = "month", keep: int = KEEP_MONTHS,
-                       broadcast_bytes: int = BROADCAST_BYTES, hot_share: float = HOT_SHARE) -> DataFrame:
-    """Rows of old months that stay: those of active users and those without a user."""
-    old = old_rows(events, time_column, as_of, keep)
-    matched = join_facts(old.where(F.col(user).isNotNull()), active, user, "left_semi",
-                         broadcast_bytes, hot_share)
-    nameless = old.where(F.col(user).isNull())
-    return matched.select(events.columns).unionByName(nameless.select(events.columns))
+                       time_column: str = "month", keep: int = KEEP_MONTHS, **join_options) -> DataFrame:
+    """Rows of old months that stay: those of active users and those without a user.
+
+    A left join with a mark keeps both kinds in one pass over the old months.
+    """
+    marked = join_facts(old_rows(events, time_column, as_of, keep),
+                        active.withColumn("_active", F.lit(True)), user, "left", **join_options)
+    return marked.where(F.col("_active").isNotNull() | F.col(user).isNull()).select(events.columns)
 
 
 def survivors(events: DataFrame, active: DataFrame, as_of: dt.date, user: str = "user_id",
               time_column: str = "month", keep: int = KEEP_MONTHS, **join_options) -> DataFrame:
-    """All rows that stay: the recent ones untouched, and the surviving old ones."""
-    return recent_rows(events, time_column, as_of, keep).unionByName(
+    """All rows that stay: those not known to be old as they are, and the surviving old ones."""
+    untouched = F.col(time_column).isNull() | ~is_old(time_column, as_of, keep)
+    return events.where(untouched).unionByName(
         surviving_old_rows(events, active, as_of, user, time_column, keep, **join_options))
 
 

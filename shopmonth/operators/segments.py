@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import label_for
 from ..sources.schema import FEATURE_COLUMNS, require_columns
-from .joins import BROADCAST_BYTES, HOT_SHARE, join_facts
+from .joins import join_facts
 
 DEFAULT_K = 4
 DEFAULT_SEED = 42
@@ -87,10 +87,9 @@ def assign_segments(model: PipelineModel, features: DataFrame) -> DataFrame:
     return model.transform(features).select("user_id", "cluster")
 
 
-def join_segments(events: DataFrame, segments: DataFrame, broadcast_bytes: int = BROADCAST_BYTES,
-                  hot_share: float = HOT_SHARE) -> DataFrame:
+def join_segments(events: DataFrame, segments: DataFrame, **join_options) -> DataFrame:
     """Left join of the segment onto every event, ``user_id`` first."""
-    return join_facts(events, segments, "user_id", "left", broadcast_bytes, hot_share)
+    return join_facts(events, segments, "user_id", "left", **join_options)
 
 
 def name_segments(segments: DataFrame, names: dict[int, str] = SEGMENT_NAMES,

@@ -11,7 +11,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.months import shift_month
+from ..functions.months import published_table, shift_month
 from ..operators.activity import user_activity, user_profile
 from ..operators.cleaning import clean_events
 from ..operators.evaluation import (LEARNING_RATES, SILHOUETTE_SAMPLE, TREE_COUNTS, TREE_DEPTHS,
@@ -23,10 +23,10 @@ from ..operators.retention import (KEEP_MONTHS, active_users, require_active, re
                                    surviving_old_rows)
 from ..operators.segments import (DEFAULT_K, DEFAULT_SEED, SEGMENT_NAMES, assign_segments,
                                   explained_variance, fit_segments, join_segments, name_segments)
-from ..sources.files import read_landed_month, read_month
+from ..sources.files import read_landed_folder, read_landed_month, read_month
 from ..sources.ledger import append_months, read_ledger
 from ..sources.schema import ACTIVITY_TYPES, FEATURE_COLUMNS, require_rows
-from ..sources.sinks import drop_path_month, write_month, write_months
+from ..sources.sinks import drop_path_month, write_jdbc, write_month, write_months
 from ..sources.workdir import stage
 
 EXPIRY_MONTHS = 13
@@ -69,6 +69,11 @@ def copy_raw_month(raw: DataFrame, store: Store, month: dt.date) -> None:
     write_month(raw, store.raw, month)
 
 
+def copy_raw_folder(spark: SparkSession, landing: str, store: Store) -> None:
+    """Keep all landed files below a folder in one job, each row with its file name."""
+    write_months(read_landed_folder(spark, landing), store.raw)
+
+
 def clean_month(spark: SparkSession, store: Store, month: dt.date, **options) -> None:
     """Raw month → cleaned month."""
     raw = require_rows(stored_month(spark, store.raw, month), f"raw month {month}")
@@ -96,11 +101,20 @@ def segment_month(spark: SparkSession, store: Store, month: dt.date, k: int = DE
     return model
 
 
+def publish_month_jdbc(spark: SparkSession, store: Store, month: dt.date, url: str,
+                       options: Mapping[str, str] | None = None, **writing) -> None:
+    """Copy a published month to its own warehouse table."""
+    write_jdbc(stored_month(spark, store.published, month), url, published_table(month), options, **writing)
+
+
 def process_month(raw: DataFrame, store: Store, month: dt.date, k: int = DEFAULT_K,
                   types: Mapping[str, str] = ACTIVITY_TYPES, mode: str = "train",
+                  publish: Callable[[SparkSession, Store, dt.date], None] | None = None,
                   **cleaning) -> None:
     """Raw copy, clean, segment, publish; the ledger entry comes last.
 
+    ``publish`` may carry the published month on, for example over JDBC.
+
     Each step replaces its month as a whole, so a run that broke off is repeated
     without a trace of the first attempt.
     """
@@ -108,6 +122,8 @@ def process_month(raw: DataFrame, store: Store, month: dt.date, k: int = DEFAULT
     copy_raw_month(raw, store, month)
     clean_month(spark, store, month, **cleaning)
     segment_month(spark, store, month, k, types=types, mode=mode)
+    if publish:
+        publish(spark, store, month)
     append_months(spark, store.ledger, spark.createDataFrame([(month,)], "month date"))
 
 
@@ -119,7 +135,7 @@ def process_pending(spark: SparkSession, landing: str, store: Store, as_of: dt.d
     A month that fails (its file may not have landed) does not stop the others
     and stays pending. Returns one row per month: ``month, status, error``.
     """
-    read = read or (lambda month: read_landed_month(spark, landing, month.year, month.month))
+    read = read or (lambda month: read_landed_month(spark, landing, month))
     outcome = []
     pending = pending_months(read_ledger(spark, store.ledger), as_of, window, include_current)
     for row in pending.collect():

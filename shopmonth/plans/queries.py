@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from ..functions.months import expired_month, file_name, month_label, month_start, shift_month, table_label
 from ..functions.text import array_count
 from ..operators import activity, cleaning, evaluation, months, quantiles, registry, retention, scoring, segments
+from ..operators.joins import HOT_SHARE
 from ..sources import files, ledger, sinks
 from ..sources.catalog import monthly_names
 from ..sources.schema import FEATURE_COLUMNS, RAW_EVENTS
@@ -204,10 +205,11 @@ def events_with_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_with_segment_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The path for segment tables too large to broadcast: hot users apart from the rest."""
+    """The path for segment tables too large to broadcast: users above the average apart."""
     events = shop_events(spark, sf_dir)
     labelled = stage(_fixed_segments(user_activity(spark, sf_dir)).select("user_id", "cluster"), "segments")
-    return segments.join_segments(events, labelled, broadcast_bytes=0)
+    share = max(1 / labelled.count(), HOT_SHARE)
+    return segments.join_segments(events, labelled, broadcast_bytes=0, hot_share=share, hot_rows=0)
 
 
 def kmeans_segments(spark: SparkSession, sf_dir: str) -> DataFrame:

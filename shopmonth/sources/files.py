@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.months import landed_file
+from ..functions.months import landed_file, month_from_label
 from .schema import RAW_EVENTS
 from .storage import absolute_path
 
@@ -28,22 +28,27 @@ def read_events_csv(spark: SparkSession, path: str | list[str],
             .option("nullValue", null_value).csv(path))
 
 
-def read_landed_month(spark: SparkSession, base: str, year: int, month: int,
+def read_landed_month(spark: SparkSession, base: str, month: dt.date,
                       schema: T.StructType = RAW_EVENTS) -> DataFrame:
     """The landed file of one month; a missing file raises."""
-    return read_events_csv(spark, f"{base.rstrip('/')}/{landed_file(year, month)}", schema)
+    return read_events_csv(spark, f"{base.rstrip('/')}/{landed_file(month)}", schema)
 
 
 def read_landed_folder(spark: SparkSession, base: str,
                        schema: T.StructType = RAW_EVENTS) -> DataFrame:
-    """All CSV files below a folder, with their path relative to it."""
+    """All CSV files below a folder, with their path relative to it and their month.
+
+    The month comes from names like ``2019-Oct.csv.gz``; other names give null.
+    """
     files = (spark.read.schema(schema).option("header", True)
              .option("recursiveFileLookup", True).option("pathGlobFilter", CSV_GLOB)
              .csv(base))
     prefix = absolute_path(spark, base).rstrip("/") + "/"
     full_name = F.col("_metadata.file_path")
     start = F.locate(prefix, full_name) + len(prefix)
-    return files.select("*", F.substring(full_name, start, F.length(full_name)).alias("source_file"))
+    named = files.select("*", F.substring(full_name, start, F.length(full_name)).alias("source_file"))
+    label = F.regexp_extract("source_file", r"([^/.]+)\.[^/]*$", 1)
+    return named.withColumn("month", month_from_label(label))
 
 
 def read_month(table: DataFrame, month: dt.date) -> DataFrame:

@@ -33,6 +33,8 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
 def move_path(spark: SparkSession, source: str, target: str) -> None:
     fs, source_path = _file_system(spark, source)
     _, target_path = _file_system(spark, target)
+    if not fs.exists(source_path):
+        raise FileNotFoundError(source)
     if fs.exists(target_path):
         fs.delete(target_path, False)
     if not fs.rename(source_path, target_path):
