@@ -20,11 +20,13 @@ def price_sum(column: str = "price", digits: int | None = PRICE_DIGITS) -> Colum
 
     Adding whole units of the last decimal place gives the same bits in any
     order, so a rerun or another partitioning cannot change features or segments.
-    An overflow raises. ``digits=None`` adds the doubles as they are.
+    NaN counts as null and an overflow raises. ``digits=None`` adds the doubles as
+    they are.
     """
     if digits is None:
         return F.sum(column)
-    units = F.round(F.col(column) * 10 ** digits).cast("long")
+    price = F.col(column)
+    units = F.when(~F.isnan(price), F.rint(price * 10 ** digits).cast("long"))
     return F.sum(units).cast("double") / F.lit(10.0 ** digits)
 
 

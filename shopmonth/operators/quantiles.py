@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.workdir import stage
+
 QUARTILES = (0.25, 0.75)
 FENCE_WIDTH = 1.5
 RELATIVE_ERROR = 0.01
@@ -25,8 +29,10 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float] =
 
     Up to ``direct_rows`` values the built-in aggregate sees them all. Beyond
     that its one merging task would have to hold every distinct value, so the
-    wanted ranks are bracketed by a sketch first and only the values inside a
-    bracket are looked at again, with the bracket as a filter on the scan.
+    wanted ranks are bracketed by a sketch, the rows around each bracket are
+    counted, and only values inside a bracket are looked at again, with the
+    bracket as a filter on the scan. The column is read a few times: hand in a
+    stored table.
     """
     values = df.select(F.col(column).cast("double").alias("v")).where("v IS NOT NULL AND NOT isnan(v)")
     rows = values.count()
@@ -35,42 +41,66 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float] =
     if rows <= direct_rows:
         wanted = F.array(*[F.lit(float(p)) for p in probabilities])
         return list(values.agg(F.percentile("v", wanted)).first()[0])
+    positions = [p * (rows - 1) for p in probabilities]
+    ranks = [(math.floor(x), min(math.floor(x) + 1, rows - 1)) for x in positions]
+    neighbours = _values_at(values, rows, ranks, direct_rows, narrowing_error)
+    return [low + (high - low) * (x - math.floor(x)) for (low, high), x in zip(neighbours, positions)]
+
+
+def _values_at(values: DataFrame, rows: int, targets: Sequence[tuple[int, ...]],
+               direct_rows: int, error: float) -> list[list[float]]:
+    """Values at 0-based ranks; each target is a tuple of neighbouring ranks.
+
+    Rows equal to a bracket end are counted, not carried on, so however many rows
+    share one value the open interior is at most about six times ``error`` of the
+    rows. Interiors still too large for one task are stored and narrowed again.
+    """
+    around = [p for ranks in targets for p in (max(0.0, ranks[0] / rows - 2 * error),
+                                               min(1.0, ranks[-1] / rows + 2 * error))]
+    ends = values.approxQuantile("v", around, error)
+    brackets = list(zip(ends[::2], ends[1::2]))
+    v = F.col("v")
+    counts = list(values.agg(*[F.count_if(condition) for low, high in brackets for condition in (
+        v < low, v == low, (v > low) & (v < high), (v == high) & (v > low))]).first())
+    found: list[dict[int, float]] = []
+    inner: list[tuple[int, ...]] = []
+    sizes: list[int] = []
+    for (low, high), ranks, start in zip(brackets, targets, range(0, len(counts), 4)):
+        below, at_low, inside, at_high = counts[start:start + 4]
+        first_inside, first_high = below + at_low, below + at_low + inside
+        if ranks[0] < below or ranks[-1] >= first_high + at_high:
+            raise RuntimeError("quantile bracket missed its ranks")
+        found.append({r: low if r < first_inside else high for r in ranks if not first_inside <= r < first_high})
+        inner.append(tuple(r - first_inside for r in ranks if first_inside <= r < first_high))
+        sizes.append(inside)
+    small = [i for i, ranks in enumerate(inner) if ranks and sizes[i] <= direct_rows]
+    large = [i for i, ranks in enumerate(inner) if ranks and sizes[i] > direct_rows]
+    solved: dict[int, list[float]] = {}
+    if small:
+        columns = [F.when((v > brackets[i][0]) & (v < brackets[i][1]), v).alias(f"b{i}") for i in small]
+        picks = [_value_at_rank(f"b{i}", rank, sizes[i]) for i in small for rank in inner[i]]
+        row = list(_inside(values, [brackets[i] for i in small]).select(*columns).agg(*picks).first())
+        for i in small:
+            solved[i], row = row[:len(inner[i])], row[len(inner[i]):]
+    if large:
+        stored = stage(_inside(values, [brackets[i] for i in large]), "quantile")
+        for i in large:
+            solved[i] = _values_at(_inside(stored, [brackets[i]]), sizes[i], [inner[i]], direct_rows, error)[0]
     result = []
-    for p in probabilities:
-        position = p * (rows - 1)
-        rank = math.floor(position)
-        low, high = _order_statistics(values, rows, [rank, min(rank + 1, rows - 1)],
-                                      direct_rows, narrowing_error)
-        result.append(low + (high - low) * (position - rank))
+    for i, ranks in enumerate(targets):
+        rest = iter(solved.get(i, ()))
+        result.append([found[i][r] if r in found[i] else next(rest) for r in ranks])
     return result
 
 
-def _order_statistics(values: DataFrame, rows: int, ranks: Sequence[int],
-                      direct_rows: int, error: float) -> list[float]:
-    """Values at neighbouring 0-based ranks.
+def _inside(values: DataFrame, brackets: Sequence[tuple[float, float]]) -> DataFrame:
+    v = F.col("v")
+    return values.where(reduce(or_, [(v > low) & (v < high) for low, high in brackets]))
 
-    A bracket end that many rows share is counted, not carried on, so the open
-    interior shrinks to about six times ``error`` per round whatever the skew.
-    """
-    if rows <= direct_rows:
-        picks = [F.expr(f"percentile_disc({(rank + 0.5) / rows!r}D) WITHIN GROUP (ORDER BY v)")
-                 for rank in ranks]
-        return list(values.agg(*[pick.alias(f"r{i}") for i, pick in enumerate(picks)]).first())
-    bracket = values.approxQuantile("v", [max(0.0, min(ranks) / rows - 2 * error),
-                                          min(1.0, max(ranks) / rows + 2 * error)], error)
-    low, high = bracket
-    below, at_low, inside, at_high = values.agg(
-        F.count_if(F.col("v") < low), F.count_if(F.col("v") == low),
-        F.count_if((F.col("v") > low) & (F.col("v") < high)), F.count_if(F.col("v") == high)).first()
-    first_inside = below + at_low
-    first_high = first_inside + inside
-    if not (below <= min(ranks) and max(ranks) < first_high + (at_high if high > low else 0)) \
-            and not (low == high and below <= min(ranks) and max(ranks) < first_inside):
-        raise RuntimeError("quantile bracket missed its ranks")
-    interior = [r - first_inside for r in ranks if first_inside <= r < first_high]
-    found = iter(_order_statistics(values.where((F.col("v") > low) & (F.col("v") < high)),
-                                   inside, interior, direct_rows, error) if interior else [])
-    return [low if r < first_inside else next(found) if r < first_high else high for r in ranks]
+
+def _value_at_rank(column: str, rank: int, size: int) -> Column:
+    """The value at a 0-based rank among ``size`` non-null values."""
+    return F.expr(f"percentile_disc({(rank + 0.5) / size!r}D) WITHIN GROUP (ORDER BY {column})")
 
 
 def fence(q1: float, q3: float, width: float = FENCE_WIDTH) -> tuple[float, float]:

@@ -80,6 +80,15 @@ def clean_month(spark: SparkSession, store: Store, month: dt.date, **options) ->
     write_month(clean_events(raw, **options), store.cleaned, month)
 
 
+def stored_features(events: DataFrame, types: Mapping[str, str] = ACTIVITY_TYPES) -> DataFrame:
+    """Per-user features as a stored table, sorted within its files.
+
+    K-means starts from a sample that depends on the order of rows, so a fixed
+    order makes a rerun give the same segments.
+    """
+    return stage(user_activity(events, types).sortWithinPartitions("user_id"), "features")
+
+
 def segment_month(spark: SparkSession, store: Store, month: dt.date, k: int = DEFAULT_K,
                   seed: int = DEFAULT_SEED, types: Mapping[str, str] = ACTIVITY_TYPES,
                   mode: str = "train") -> PipelineModel:
@@ -91,7 +100,7 @@ def segment_month(spark: SparkSession, store: Store, month: dt.date, k: int = DE
     if mode not in ("train", "reuse"):
         raise ValueError(f"unknown mode {mode!r}")
     events = require_rows(stored_month(spark, store.cleaned, month), f"cleaned month {month}")
-    features = stage(user_activity(events, types), "features")
+    features = stored_features(events, types)
     if mode == "train":
         model = fit_segments(features, k, seed)
         save_model(model, spark, store.models(k))
@@ -161,16 +170,14 @@ def run_retention(spark: SparkSession, path: str, as_of: dt.date, user: str = "u
     events = spark.read.parquet(path)
     active = require_active(stage(active_users(events, as_of, user, keep=keep), "active"), allow_empty)
     report = stage(retention_report(events, active, as_of, user, keep=keep), "retention-report")
-    changed = [row.month for row in report.where("deleted_rows > 0").select("month").collect()]
+    changed = report.where("deleted_rows > 0").select("month", "rows_before", "deleted_rows").collect()
     if changed:
-        affected = events.where(F.col("month").isin(changed))
+        affected = events.where(F.col("month").isin([row.month for row in changed]))
         kept = surviving_old_rows(affected, active, as_of, user, keep=keep, **join_options)
-        kept = stage(kept.hint("rebalance", "month"), "survivors")
-        filled = {row.month for row in kept.select("month").distinct().collect()}
-        write_months(kept, path)
-        for month in changed:
-            if month not in filled:
-                drop_path_month(spark, path, month)
+        write_months(stage(kept.hint("rebalance", "month"), "survivors"), path)
+        for row in changed:
+            if row.deleted_rows == row.rows_before:
+                drop_path_month(spark, path, row.month)
     return report
 
 
@@ -194,7 +201,7 @@ def segment_report(events: DataFrame, k: int = REPORT_K, seed: int = DEFAULT_SEE
 
     ``sample_rows=None`` takes the silhouette over all users.
     """
-    profile = require_rows(stage(user_profile(events, types), "profile"), "user profile")
+    profile = require_rows(stage(user_profile(events, types).sortWithinPartitions("user_id"), "profile"), "user profile")
     model = fit_segments(profile, k, seed, pca_components=components)
     labelled = stage(model.transform(profile).select(
         "user_id", *FEATURE_COLUMNS, "pca_vector", "cluster"), "labelled")

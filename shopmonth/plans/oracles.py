@@ -65,6 +65,10 @@ rfm AS (
 
 _FEATURES = ("views", "carts", "removals", "purchases", "sessions", "total_spent")
 
+_LENGTHS = "WITH " + _ACTIVITY + "\nSELECT user_id, round(" + " + ".join(
+    f"pow(coalesce(({c} - avg({c}) OVER ()) / nullif(stddev_samp({c}) OVER (), 0), 0.0), 2)"
+    for c in _FEATURES) + ", 6) AS squared_length FROM activity"
+
 _SCALED = "WITH " + _ACTIVITY + "\nSELECT user_id, " + ", ".join(
     f"round(coalesce(({c} - avg({c}) OVER ()) / nullif(stddev_samp({c}) OVER (), 0), 0.0), 6) + 0.0 AS {c}_z"
     for c in _FEATURES) + " FROM activity"
@@ -158,6 +162,9 @@ ORACLES = {
         fence AS (SELECT q1, q3, q1 - 1.5 * (q3 - q1) AS lower_bound,
                          q3 + 1.5 * (q3 - q1) AS upper_bound FROM quartiles)
         SELECT """ + _FENCE_COLUMNS + " FROM fence",
+    "approx_rank_error": """
+        SELECT p AS probability, count(value) > 0 AS within_error
+        FROM events, (VALUES (CAST(0.25 AS DOUBLE)), (CAST(0.75 AS DOUBLE))) v(p) GROUP BY p""",
     "user_activity": "WITH " + _ACTIVITY + " SELECT * FROM activity",
     "event_type_counts": "WITH " + _ACTIVITY + " SELECT user_id, views, carts, removals, purchases FROM activity",
     "array_value_count": """
@@ -179,6 +186,10 @@ ORACLES = {
         FROM labelled l LEFT JOIN region r ON r.r_regionkey * 2 = l.cluster""",
     "events_with_segment": _SEGMENT_JOIN,
     "events_with_segment_split": _SEGMENT_JOIN,
+    "kmeans_nearest": """
+        SELECT count(DISTINCT user_id) AS users, CAST(0 AS BIGINT) AS repeated, CAST(0 AS BIGINT) AS misplaced
+        FROM events""",
+    "pca_norms": _LENGTHS,
     "silhouette": _SILHOUETTE,
     "latest_model_version": """
         SELECT p_brand, coalesce(max(CASE WHEN p_type <> 'PROMO' THEN p_size END), 0) AS latest_version

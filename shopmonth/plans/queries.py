@@ -51,6 +51,11 @@ def month_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- cleaning --------------------------------------------------------------
 
+def _raw_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored raw layer, which the fence and the cleaning both read."""
+    return stage(dirty_events(spark, sf_dir), "raw")
+
+
 def fill_and_drop_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.drop_null_keys(cleaning.fill_unknown(dirty_events(spark, sf_dir)))
 
@@ -68,7 +73,7 @@ def valid_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def within_fence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = dirty_events(spark, sf_dir)
+    raw = _raw_copy(spark, sf_dir)
     return cleaning.keep_within_fence(raw, *quantiles.price_fence(raw, method="exact"))
 
 
@@ -86,15 +91,15 @@ def parsed_event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.clean_events(dirty_events(spark, sf_dir), method="exact")
+    return cleaning.clean_events(_raw_copy(spark, sf_dir), method="exact")
 
 
 def clean_events_dedup_last(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.clean_events(dirty_events(spark, sf_dir), method="exact", dedup_after_normalize=True)
+    return cleaning.clean_events(_raw_copy(spark, sf_dir), method="exact", dedup_after_normalize=True)
 
 
 def clean_events_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.clean_events(dirty_events(spark, sf_dir))
+    return cleaning.clean_events(_raw_copy(spark, sf_dir))
 
 
 # --- quantiles -------------------------------------------------------------
@@ -104,14 +109,18 @@ def _fence_row(spark: SparkSession, quartiles: list[float]) -> DataFrame:
     return spark.createDataFrame([row], "q1 double, q3 double, lower_bound double, upper_bound double")
 
 
+def _prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage(dirty_events(spark, sf_dir).select("price"), "prices")
+
+
 def iqr_bounds_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _fence_row(spark, quantiles.exact_quantiles(dirty_events(spark, sf_dir), "price"))
+    return _fence_row(spark, quantiles.exact_quantiles(_prices(spark, sf_dir), "price"))
 
 
 def iqr_bounds_narrowed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The path for large tables: bracket the ranks first, then look inside the bracket."""
     return _fence_row(spark, quantiles.exact_quantiles(
-        dirty_events(spark, sf_dir), "price", direct_rows=1000, narrowing_error=0.01))
+        _prices(spark, sf_dir), "price", direct_rows=1000, narrowing_error=0.01))
 
 
 def iqr_bounds_head(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,6 +128,17 @@ def iqr_bounds_head(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fence_row(spark, quantiles.exact_quantiles(head, "value"))
 
 
+def approx_rank_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each approximate quartile is within one percent of its rank."""
+    events = table(spark, sf_dir, "events")
+    found = quantiles.approx_quantiles(events, "value")
+    ranks = [F.struct(F.lit(p).alias("probability"),
+                      ((F.count_if(F.col("value") < v) / F.count("value") <= p + quantiles.RELATIVE_ERROR)
+                       & (F.count_if(F.col("value") <= v) / F.count("value") >= p - quantiles.RELATIVE_ERROR)
+                       ).alias("within_error")) for p, v in zip(quantiles.QUARTILES, found)]
+    return events.agg(F.array(*ranks).alias("ranks")).select(F.inline("ranks"))
+
+
 def iqr_bounds_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fence_row(spark, quantiles.approx_quantiles(table(spark, sf_dir, "events"), "value"))
 
@@ -158,7 +178,7 @@ def rfm_join_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- segments --------------------------------------------------------------
 
 def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage(user_activity(spark, sf_dir), "features")
+    return flows.stored_features(shop_events(spark, sf_dir), EVENT_TYPES)
 
 
 def _fixed_segments(features: DataFrame) -> DataFrame:
@@ -217,6 +237,26 @@ def kmeans_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segments.assign_segments(segments.fit_segments(features), features)
 
 
+def kmeans_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users in all, users in several clusters, and users whose own centre is not the nearest one."""
+    features = _features(spark, sf_dir)
+    model = segments.fit_segments(features, order_by=None)
+    scaled = [f"{c}_z" for c in FEATURE_COLUMNS]
+    own = segments.assign_segments(model, features).withColumnRenamed("cluster", "assigned")
+    nearest = segments.nearest_centroid(segments.standardize(features), segments.cluster_centers(model), scaled)
+    return nearest.join(own, "user_id").agg(
+        F.count(F.lit(1)).alias("users"),
+        (F.count(F.lit(1)) - F.countDistinct("user_id")).alias("repeated"),
+        F.count_if(F.col("cluster") != F.col("assigned")).alias("misplaced"))
+
+
+def pca_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All components together only turn the axes: squared lengths stay those of the scaled features."""
+    scores, _ = segments.pca_scores(_features(spark, sf_dir), len(FEATURE_COLUMNS))
+    length = F.aggregate(vector_to_array("pca_vector"), F.lit(0.0), lambda total, x: total + x * x)
+    return scores.select("user_id", F.round(length, 6).alias("squared_length"))
+
+
 def pca_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores, shares = segments.pca_scores(_features(spark, sf_dir))
     parts = vector_to_array("pca_vector")
@@ -472,8 +512,8 @@ def monthly_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned events with the k-means segment of their user."""
-    cleaned = stage(cleaning.clean_events(dirty_events(spark, sf_dir)), "cleaned")
-    features = stage(activity.user_activity(cleaned, EVENT_TYPES), "features")
+    cleaned = stage(cleaning.clean_events(_raw_copy(spark, sf_dir)), "cleaned")
+    features = flows.stored_features(cleaned, EVENT_TYPES)
     model = segments.fit_segments(features)
     return segments.join_segments(cleaned, segments.assign_segments(model, features))
 
@@ -483,10 +523,11 @@ QUERIES = {query.__name__: query for query in (
     fill_and_drop_nulls, fill_numeric_nulls, dedup_rows, valid_prices, within_fence, normalized_texts,
     parsed_event_times, clean_events, clean_events_dedup_last, clean_events_approx,
     iqr_bounds_exact, iqr_bounds_narrowed, iqr_bounds_head, iqr_bounds_approx,
+    approx_rank_error,
     user_activity, event_type_counts, array_value_count, latest_event_time, rfm, user_profile,
     rfm_join_activity, scaled_features, scaler_stage, nearest_centroid, named_segments,
     segment_names_joined, events_with_segment, events_with_segment_split,
-    kmeans_segments, pca_scores, elbow_table, silhouette, kmeans_silhouette, bootstrap_sample,
+    kmeans_segments, kmeans_nearest, pca_norms, pca_scores, elbow_table, silhouette, kmeans_silhouette, bootstrap_sample,
     segment_classifier_cv, segment_report, score_new_customers, latest_model_version,
     table_labels, months_from_names, months_newest_first, month_window, pending_months,
     ledger_append, ledger_union, ledger_json, ledger_from_json, expired_months, month_classes,

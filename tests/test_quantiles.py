@@ -12,7 +12,7 @@ def frame(spark, values):
 PROBABILITIES = (0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0)
 
 
-@pytest.mark.parametrize("direct_rows", [10 ** 6, 50])
+@pytest.mark.parametrize("direct_rows", [10 ** 6, 50, 300])
 @pytest.mark.parametrize("name", ["spread", "hot", "two_values", "constant", "heavy_tail"])
 def test_exact_quantiles(spark, name, direct_rows):
     rng = np.random.default_rng(7)
