@@ -10,7 +10,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.workdir import stage
+from ..sources.workdir import stage, work_folder
 
 QUARTILES = (0.25, 0.75)
 FENCE_WIDTH = 1.5
@@ -83,9 +83,11 @@ def _values_at(values: DataFrame, rows: int, targets: Sequence[tuple[int, ...]],
         for i in small:
             solved[i], row = row[:len(inner[i])], row[len(inner[i]):]
     if large:
-        stored = stage(_inside(values, [brackets[i] for i in large]), "quantile")
-        for i in large:
-            solved[i] = _values_at(_inside(stored, [brackets[i]]), sizes[i], [inner[i]], direct_rows, error)[0]
+        with work_folder(values.sparkSession, "quantile") as folder:
+            stored = stage(_inside(values, [brackets[i] for i in large]), "interior", folder)
+            for i in large:
+                solved[i] = _values_at(_inside(stored, [brackets[i]]), sizes[i], [inner[i]],
+                                       direct_rows, error)[0]
     result = []
     for i, ranks in enumerate(targets):
         rest = iter(solved.get(i, ()))

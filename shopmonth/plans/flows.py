@@ -27,7 +27,7 @@ from ..sources.files import read_landed_folder, read_landed_month, read_month
 from ..sources.ledger import append_months, read_ledger
 from ..sources.schema import ACTIVITY_TYPES, FEATURE_COLUMNS, require_rows
 from ..sources.sinks import drop_path_month, write_jdbc, write_month, write_months
-from ..sources.workdir import stage
+from ..sources.workdir import stage, work_folder
 
 EXPIRY_MONTHS = 13
 REPORT_K = 5
@@ -80,13 +80,14 @@ def clean_month(spark: SparkSession, store: Store, month: dt.date, **options) ->
     write_month(clean_events(raw, **options), store.cleaned, month)
 
 
-def stored_features(events: DataFrame, types: Mapping[str, str] = ACTIVITY_TYPES) -> DataFrame:
+def stored_features(events: DataFrame, types: Mapping[str, str] = ACTIVITY_TYPES,
+                    folder: str | None = None) -> DataFrame:
     """Per-user features as a stored table, sorted within its files.
 
     K-means starts from a sample that depends on the order of rows, so a fixed
     order makes a rerun give the same segments.
     """
-    return stage(user_activity(events, types).sortWithinPartitions("user_id"), "features")
+    return stage(user_activity(events, types).sortWithinPartitions("user_id"), "features", folder)
 
 
 def segment_month(spark: SparkSession, store: Store, month: dt.date, k: int = DEFAULT_K,
@@ -100,13 +101,14 @@ def segment_month(spark: SparkSession, store: Store, month: dt.date, k: int = DE
     if mode not in ("train", "reuse"):
         raise ValueError(f"unknown mode {mode!r}")
     events = require_rows(stored_month(spark, store.cleaned, month), f"cleaned month {month}")
-    features = stored_features(events, types)
-    if mode == "train":
-        model = fit_segments(features, k, seed)
-        save_model(model, spark, store.models(k))
-    else:
-        model = load_latest_model(spark, store.models(k))
-    write_month(join_segments(events, assign_segments(model, features)), store.published, month)
+    with work_folder(spark, "segment") as folder:
+        features = stored_features(events, types, folder)
+        if mode == "train":
+            model = fit_segments(features, k, seed)
+            save_model(model, spark, store.models(k))
+        else:
+            model = load_latest_model(spark, store.models(k))
+        write_month(join_segments(events, assign_segments(model, features)), store.published, month)
     return model
 
 
@@ -168,13 +170,15 @@ def run_retention(spark: SparkSession, path: str, as_of: dt.date, user: str = "u
     """
     drop_path_month(spark, path, shift_month(as_of, -EXPIRY_MONTHS))
     events = spark.read.parquet(path)
-    active = require_active(stage(active_users(events, as_of, user, keep=keep), "active"), allow_empty)
-    report = stage(retention_report(events, active, as_of, user, keep=keep), "retention-report")
-    changed = report.where("deleted_rows > 0").select("month", "rows_before", "deleted_rows").collect()
-    if changed:
-        affected = events.where(F.col("month").isin([row.month for row in changed]))
-        kept = surviving_old_rows(affected, active, as_of, user, keep=keep, **join_options)
-        write_months(stage(kept.hint("rebalance", "month"), "survivors"), path)
+    with work_folder(spark, "retention") as folder:
+        active = stage(active_users(events, as_of, user, keep=keep), "active", folder)
+        require_active(active, allow_empty)
+        report = stage(retention_report(events, active, as_of, user, keep=keep), "retention-report")
+        changed = report.where("deleted_rows > 0").select("month", "rows_before", "deleted_rows").collect()
+        if changed:
+            affected = events.where(F.col("month").isin([row.month for row in changed]))
+            kept = surviving_old_rows(affected, active, as_of, user, keep=keep, **join_options)
+            write_months(stage(kept.hint("rebalance", "month"), "survivors", folder), path)
         for row in changed:
             if row.deleted_rows == row.rows_before:
                 drop_path_month(spark, path, row.month)

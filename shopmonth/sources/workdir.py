@@ -6,9 +6,13 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .storage import delete_path
+
 _local_fallback: str | None = None
 
 
@@ -35,13 +39,24 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, purpose: str) -> DataFrame:
+@contextmanager
+def work_folder(spark: SparkSession, purpose: str) -> Iterator[str]:
+    """A new folder for the intermediate tables of one step, deleted when the step ends."""
+    path = new_folder(spark, purpose)
+    try:
+        yield path
+    finally:
+        delete_path(spark, path)
+
+
+def stage(df: DataFrame, purpose: str, folder: str | None = None) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
     Cuts the lineage so that several consumers (model fits, size checks, joins)
-    read one columnar copy, which also outlives a lost executor.
+    read one columnar copy, which also outlives a lost executor. Without a
+    ``folder`` the copy stays, for results that are read later.
     """
     spark = df.sparkSession
-    path = new_folder(spark, purpose)
+    path = f"{folder}/{purpose}" if folder else new_folder(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

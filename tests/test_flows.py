@@ -61,8 +61,11 @@ def test_pending_months_are_processed_once(spark, landed):
 def test_rerun_of_a_month_replaces_it(spark, landed):
     store = flows.Store(f"{landed}/store")
     raw = flows.read_landed_month(spark, f"{landed}/landing", month(2019, 10))
+    segments = []
     for _ in range(2):
         flows.process_month(raw, store, month(2019, 10), k=2, method="exact")
+        segments.append(tuples(spark.read.parquet(store.published), "user_id", "cluster"))
+    assert segments[0] == segments[1]
     assert spark.read.parquet(store.published).count() == 240
     assert spark.read.parquet(store.ledger).count() == 1
 

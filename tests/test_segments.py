@@ -114,6 +114,11 @@ def test_scoring(spark, features, model):
     assert got.columns == [*features.columns, "cluster", "segment"]
     for row in got.collect():
         assert row.segment == ("low" if row.cluster == 0 else "Segment Inconnu")
+    scaled = model.transform(features).select(
+        vector_to_array("scaled_vector").alias("z"), "raw_cluster").collect()
+    centers = np.array(S.cluster_centers(model))
+    for row in scaled:
+        assert row.raw_cluster == np.argmin(((centers - np.array(row.z)) ** 2).sum(axis=1))
     with pytest.raises(ValueError, match="views"):
         scoring.score_customers(features.drop("views"), model)
 

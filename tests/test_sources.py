@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from helpers import event, month, raw, tuples
 from shopmonth.sources import catalog, files, sinks, storage
 from shopmonth.sources.schema import RAW_EVENTS
-from shopmonth.sources.workdir import new_folder, shared_root, stage
+from shopmonth.sources.workdir import new_folder, shared_root, stage, work_folder
 
 HEADER = ",".join(RAW_EVENTS.names)
 
@@ -142,6 +142,13 @@ def test_stage_keeps_rows_and_cuts_lineage(spark):
     assert new_folder(spark, "x") != new_folder(spark, "x")
 
 
+def test_work_folder_is_deleted(spark):
+    with work_folder(spark, "test") as folder:
+        assert stage(spark.range(3), "a", folder).count() == 3
+        assert storage.list_names(spark, folder) == ["a"]
+    assert not storage.path_exists(spark, folder)
+
+
 def test_work_folder_comes_from_the_session(spark, monkeypatch):
     class Session:
         def __init__(self, **settings):
