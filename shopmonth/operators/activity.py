@@ -100,8 +100,8 @@ def _profile(events: DataFrame, counts: list[Column], digits: int | None) -> Dat
         F.max("event_time").alias("last_time"),
         F.countDistinct("user_session").alias("sessions"),
         F.coalesce(price_sum(digits=digits), F.lit(0.0)).alias("total_spent"))
-    one_row = F.broadcast(latest_event_time(events))
-    return per_user.crossJoin(one_row).withColumn("recency", elapsed_days("last_time", "latest_time"))
+    newest = latest_event_time(events).scalar()
+    return per_user.withColumn("recency", elapsed_days(F.col("last_time"), newest))
 
 
 def join_rfm_activity(rfm_table: DataFrame, activity: DataFrame) -> DataFrame:

@@ -106,13 +106,14 @@ def join_segment_names(segments: DataFrame, names: DataFrame, default: str = OTH
 def standardize(df: DataFrame, columns: Sequence[str] = FEATURE_COLUMNS, suffix: str = "_z") -> DataFrame:
     """Mean 0 and sample deviation 1 per column; a constant column becomes 0.
 
-    The same numbers as the scaler stage, as plain columns.
+    The same numbers as the scaler stage, as plain columns. Like the scaler's fit
+    this runs one job, for two numbers per column; applying them needs none.
     """
     moments = df.agg(*[F.avg(c).alias(f"{c}_mean") for c in columns],
-                     *[F.stddev_samp(c).alias(f"{c}_std") for c in columns])
-    scaled = [F.when(F.col(f"{c}_std") > 0, (F.col(c) - F.col(f"{c}_mean")) / F.col(f"{c}_std"))
-              .otherwise(0.0).alias(f"{c}{suffix}") for c in columns]
-    return df.crossJoin(F.broadcast(moments)).select(*df.columns, *scaled)
+                     *[F.stddev_samp(c).alias(f"{c}_std") for c in columns]).first()
+    return df.select(*df.columns, *[
+        ((F.col(c) - moments[f"{c}_mean"]) / moments[f"{c}_std"] if moments[f"{c}_std"] else F.lit(0.0))
+        .alias(f"{c}{suffix}") for c in columns])
 
 
 def nearest_centroid(df: DataFrame, centroids: Sequence[Sequence[float]],

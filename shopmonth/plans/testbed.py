@@ -65,6 +65,5 @@ def order_months(orders: DataFrame) -> DataFrame:
 def busy_months(orders: DataFrame) -> DataFrame:
     """Months with at least the average number of orders; they stand for processed ones."""
     counts = orders.groupBy("month").agg(F.count(F.lit(1)).alias("n"))
-    totals = counts.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("months"))
-    return counts.crossJoin(F.broadcast(totals)).where(
-        F.col("n") * F.col("months") >= F.col("rows")).select("month")
+    average = counts.agg((F.sum("n") / F.count(F.lit(1))).alias("average")).scalar()
+    return counts.where(F.col("n") >= average).select("month")
