@@ -19,7 +19,7 @@ from ..sources.schema import FEATURE_COLUMNS, RAW_EVENTS
 from ..sources.workdir import new_folder, stage
 from ..streaming.ingest import ingest_landed
 from . import flows
-from .testbed import (EVENT_TYPES, ORDER_COLUMNS, busy_months, dirty_events, monthly_orders,
+from .testbed import (EVENT_TYPES, ORDER_COLUMNS, busy_months, dirty_events, dirty_prices, monthly_orders,
                       newest_order_date, order_months, shop_events, table)
 
 # Centroids for the checks that need fixed labels: purchases and total_spent of
@@ -110,7 +110,7 @@ def _fence_row(spark: SparkSession, quartiles: list[float]) -> DataFrame:
 
 
 def _prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage(dirty_events(spark, sf_dir).select("price"), "prices")
+    return stage(dirty_prices(spark, sf_dir), "prices")
 
 
 def iqr_bounds_exact(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,6 +29,18 @@ def shop_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").alias("price"), session.alias("user_session"))
 
 
+def _dirty_price():
+    event_id = F.col("event_id")
+    return (F.when(event_id % 97 == 0, -F.col("value"))
+            .when(event_id % 89 == 0, F.lit(None)).otherwise(F.col("value")).alias("price"))
+
+
+def _copies():
+    """Every tenth event twice."""
+    once, twice = F.array(F.lit(0)), F.array(F.lit(0), F.lit(1))
+    return F.explode(F.when(F.col("event_id") % 10 == 0, twice).otherwise(once)).alias("copy")
+
+
 def dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` with the dirt of landed files: nulls, negative prices, copies, untidy text."""
     events = table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("long"))
@@ -40,15 +52,18 @@ def dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("event_time"), "event_type", k.alias("product_id"),
         F.when(k % 11 != 0, F.col("p_type")).alias("category_code"),
         F.when(k % 7 != 0, F.concat(F.lit("  "), F.upper("p_brand"), F.lit(" "))).alias("brand"),
-        F.when(event_id % 97 == 0, -F.col("value"))
-        .when(event_id % 89 == 0, F.lit(None)).otherwise(F.col("value")).alias("price"),
+        _dirty_price(),
         F.when(event_id % 101 != 0, F.col("user_id")).alias("user_id"),
         F.when(event_id % 83 != 0, session).alias("user_session"),
-        F.explode(F.when(event_id % 10 == 0, F.array(F.lit(0), F.lit(1)))
-                  .otherwise(F.array(F.lit(0)))).alias("copy"))
+        _copies())
     return soiled.select(RAW_EVENTS.names)
 
 
+def dirty_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only the price of each dirty row; it does not depend on the part."""
+    return table(spark, sf_dir, "events").select(_dirty_price(), _copies()).select("price")
+
+
 def monthly_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orders`` with the month of each order."""
     return table(spark, sf_dir, "orders").withColumn("month", month_start("o_orderdate"))

@@ -11,7 +11,7 @@ sys.path[:0] = [os.path.dirname(HERE), HERE]
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (SparkSession.builder.master("local[8]").appName("tests")
-               .config("spark.sql.shuffle.partitions", "8")
+               .config("spark.sql.shuffle.partitions", "4")
                .config("spark.driver.memory", "6g")
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
