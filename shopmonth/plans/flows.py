@@ -205,7 +205,8 @@ def segment_report(events: DataFrame, k: int = REPORT_K, seed: int = DEFAULT_SEE
 
     ``sample_rows=None`` takes the silhouette over all users.
     """
-    profile = require_rows(stage(user_profile(events, types).sortWithinPartitions("user_id"), "profile"), "user profile")
+    profile = stage(user_profile(events, types).sortWithinPartitions("user_id"), "profile")
+    require_rows(profile, "user profile")
     model = fit_segments(profile, k, seed, pca_components=components)
     labelled = stage(model.transform(profile).select(
         "user_id", *FEATURE_COLUMNS, "pca_vector", "cluster"), "labelled")

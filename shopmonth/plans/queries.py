@@ -527,7 +527,8 @@ QUERIES = {query.__name__: query for query in (
     user_activity, event_type_counts, array_value_count, latest_event_time, rfm, user_profile,
     rfm_join_activity, scaled_features, scaler_stage, nearest_centroid, named_segments,
     segment_names_joined, events_with_segment, events_with_segment_split,
-    kmeans_segments, kmeans_nearest, pca_norms, pca_scores, elbow_table, silhouette, kmeans_silhouette, bootstrap_sample,
+    kmeans_segments, kmeans_nearest, pca_norms, pca_scores, elbow_table,
+    silhouette, kmeans_silhouette, bootstrap_sample,
     segment_classifier_cv, segment_report, score_new_customers, latest_model_version,
     table_labels, months_from_names, months_newest_first, month_window, pending_months,
     ledger_append, ledger_union, ledger_json, ledger_from_json, expired_months, month_classes,

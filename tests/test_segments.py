@@ -74,7 +74,8 @@ def test_standardize_equals_the_scaler(features, model):
 
 
 def test_nearest_centroid(spark):
-    df = spark.createDataFrame([(1, 0.0, 0.0), (2, 5.0, 0.0), (3, 9.0, 1.0), (4, 10.0, 0.0)], "u int, a double, b double")
+    points = [(1, 0.0, 0.0), (2, 5.0, 0.0), (3, 9.0, 1.0), (4, 10.0, 0.0)]
+    df = spark.createDataFrame(points, "u int, a double, b double")
     got = S.nearest_centroid(df, [(0.0, 0.0), (10.0, 0.0)], ("a", "b"))
     assert tuples(got, "u", "cluster") == [(1, 0), (2, 0), (3, 1), (4, 1)]
 
