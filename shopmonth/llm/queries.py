@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate
+from . import decontaminate, jaccard
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,7 +24,12 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         decontaminate.is_contaminated().alias("contaminated"), "hits.spans")
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": op9_decontamination,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 ORACLES: dict[str, str] = {}
