@@ -223,29 +223,42 @@ def _list_links(texts: DataFrame, shingle: int, similarity: Similarity, keys: Da
     """``links`` and those found in the inverted lists."""
     entries = keys.select("set", "size", "row", F.posexplode("prefix").alias("at", "shingle"))
     heads = (entries.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total"),
-                                            F.min(F.struct("set", "size")).alias("head")).where("n > 1"))
+                                            F.min(F.struct("set", "size", "row", "at")).alias("head")).where("n > 1"))
     entries = stage(entries.join(heads, "shingle"), "entries", folder)
-    sets = stage(_sets(texts, shingle, entries.select("row", "set").distinct()), "sets", folder)
-
-    stars = (entries.select(F.col("head.set").alias("a"), F.col("head.size").alias("size_a"),
-                            F.col("set").alias("b"), F.col("size").alias("size_b"))
-             .where("a <> b").where(similarity.sizes_fit("size_a", "size_b")).select("a", "b").distinct())
-    links = links.unionByName(stage(_verified(stars, sets, similarity), "stars", folder))
+    of_head = [F.col(f"head.{c}").alias(f"{c}_a") for c in ("set", "size", "row", "at")]
+    of_set = [F.col(c).alias(f"{c}_b") for c in ("set", "size", "row", "at")]
+    stars = stage(_with_room(entries.select(*of_head, *of_set).where("set_a <> set_b"), similarity), "near", folder)
+    links = links.unionByName(stage(_verified(texts, shingle, stars, similarity), "stars", folder))
 
     named = connected_components(links).withColumnRenamed("node", "set")
     entries = entries.drop("head").join(named, "set", "left").withColumn("component", F.coalesce("component", "set"))
     open_lists = (entries.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
                   .where("low <> high").select("shingle"))
     entries = stage(entries.join(open_lists, "shingle"), "open", folder)
-    pairs = _short_list_pairs(entries.where(F.col("n") <= SHORT_LIST), similarity)
-    links = links.unionByName(stage(_verified(pairs, sets, similarity), "pairs", folder))
-    return links.unionByName(stage(_long_list_links(entries.where(F.col("n") > SHORT_LIST), sets, similarity),
-                                   "blocks", folder))
+    pairs = stage(_short_list_pairs(entries.where(F.col("n") <= SHORT_LIST), similarity), "met", folder)
+    links = links.unionByName(stage(_verified(texts, shingle, pairs, similarity), "pairs", folder))
+    long_lists = entries.where(F.col("n") > SHORT_LIST)
+    return links.unionByName(stage(_long_list_links(texts, shingle, long_lists, similarity), "blocks", folder))
+
 
+def _with_room(pairs: DataFrame, similarity: Similarity) -> DataFrame:
+    """Pairs whose sizes fit and whose places in the lists they share leave room for the overlap.
 
-def _sets(texts: DataFrame, shingle: int, wanted: DataFrame) -> DataFrame:
-    """Shingles of the wanted sets, one row for each, taken from the texts again rather than kept for all."""
-    rows = wanted.select("row").distinct()
+    ``pairs`` has a row for each list shared. For a pair with all its lists the
+    test is exact: nothing that could reach the similarity is left out.
+    """
+    met = (pairs.where(similarity.sizes_fit("size_a", "size_b")).groupBy("set_a", "set_b", "size_a", "size_b")
+           .agg(F.count(F.lit(1)).alias("n"), F.max("at_a").alias("at_a"), F.max("at_b").alias("at_b"),
+                F.min("row_a").alias("row_a"), F.min("row_b").alias("row_b")))
+    room = F.col("n") + F.least(F.col("size_a") - F.col("at_a"), F.col("size_b") - F.col("at_b")) - 1
+    needed = (F.col("size_a") + F.col("size_b")) * similarity.over
+    return (met.where(room * (similarity.over + similarity.under) >= needed)
+            .select(F.col("set_a").alias("a"), F.col("set_b").alias("b"), "row_a", "row_b"))
+
+
+def _sets(texts: DataFrame, shingle: int, rows: DataFrame) -> DataFrame:
+    """Shingles of the sets of some rows, one row for each set, taken from the texts again rather than kept for all."""
+    rows = rows.distinct()
     rows = F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
     texts = texts.join(rows, "row", "left_semi").select("id", "row", "text")
 
@@ -260,9 +273,11 @@ def _sets(texts: DataFrame, shingle: int, wanted: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "set binary, shingles binary").dropDuplicates(["set"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, similarity: Similarity) -> DataFrame:
+def _verified(texts: DataFrame, shingle: int, pairs: DataFrame, similarity: Similarity) -> DataFrame:
     """The pairs that reach the similarity."""
     over, under = similarity.over, similarity.under
+    rows = pairs.select(F.col("row_a").alias("row")).unionByName(pairs.select(F.col("row_b").alias("row")))
+    sets = _sets(texts, shingle, rows)
     left = sets.select(F.col("set").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("set").alias("b"), F.col("shingles").alias("right"))
 
@@ -281,22 +296,17 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: Similarity) -> Data
 
 
 def _short_list_pairs(entries: DataFrame, similarity: Similarity) -> DataFrame:
-    """Pairs of different components in short lists whose shared places leave room for the overlap."""
+    """Pairs of different components that meet in short lists."""
     side = lambda k: entries.select(
-        "shingle", *[F.col(c).alias(f"{c}_{k}") for c in ("set", "size", "at", "component")])
-    pairs = (side("a").join(side("b"), "shingle")
-             .where("set_a < set_b AND component_a <> component_b").where(similarity.sizes_fit("size_a", "size_b")))
-    met = (pairs.groupBy("set_a", "set_b", "size_a", "size_b")
-           .agg(F.count(F.lit(1)).alias("n"), F.max("at_a").alias("at_a"), F.max("at_b").alias("at_b")))
-    room = F.col("n") + F.least(F.col("size_a") - F.col("at_a"), F.col("size_b") - F.col("at_b")) - 1
-    needed = (F.col("size_a") + F.col("size_b")) * similarity.over
-    return (met.where(room * (similarity.over + similarity.under) >= needed)
-            .select(F.col("set_a").alias("a"), F.col("set_b").alias("b")))
+        "shingle", *[F.col(c).alias(f"{c}_{k}") for c in ("set", "size", "row", "at", "component")])
+    pairs = side("a").join(side("b"), "shingle").where("set_a < set_b AND component_a <> component_b")
+    return _with_room(pairs, similarity)
 
 
-def _long_list_links(entries: DataFrame, sets: DataFrame, similarity: Similarity) -> DataFrame:
+def _long_list_links(texts: DataFrame, shingle: int, entries: DataFrame, similarity: Similarity) -> DataFrame:
     """Links that join components, from long lists cut into blocks; each pair of blocks is one group."""
     over, under = similarity.over, similarity.under
+    sets = _sets(texts, shingle, entries.select("row"))
     blocks = F.ceil(F.col("total") * 8 / BLOCK_BYTES).cast("int")
     dealt = (entries.withColumn("blocks", blocks)
              .withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
