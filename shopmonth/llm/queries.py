@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard
+from . import decontaminate, jaccard, kneser_ney
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = kneser_ney.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select(F.col("id").alias("doc_id"), "lang", "perplexity", "threshold", "keep")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scanned = decontaminate.scan_documents(docs, table(spark, sf_dir, "benchmark"))
@@ -29,6 +34,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op9_decontamination": op9_decontamination,
     "op10_jaccard_join": op10_jaccard_join,
 }
