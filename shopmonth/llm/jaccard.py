@@ -51,7 +51,7 @@ LIST_WEIGHT = 6                 # cost of a list entry, with its comparisons, in
 SMALL_AT_MOST = 48              # sizes tried as the boundary
 SHORT_LIST = 48                 # lists up to this length are compared by a join
 BLOCK_BYTES = 4 << 20           # of shingles in a block of a long list
-BROADCAST_ROWS = 1_000_000      # of document keys, 8 bytes each
+BROADCAST_ROWS = 1_000_000      # of 8-byte keys that may be broadcast
 
 
 class Similarity:
@@ -222,8 +222,11 @@ def _list_links(texts: DataFrame, shingle: int, similarity: Similarity, keys: Da
                 folder: str) -> DataFrame:
     """``links`` and those found in the inverted lists."""
     entries = keys.select("set", "size", "row", F.posexplode("prefix").alias("at", "shingle"))
-    heads = (entries.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total"),
-                                            F.min(F.struct("set", "size", "row", "at")).alias("head")).where("n > 1"))
+    lists = stage(entries.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "lists", folder)
+    lists = F.broadcast(lists) if lists.count() <= BROADCAST_ROWS else lists
+    entries = stage(entries.join(lists, "shingle"), "shared", folder)
+    heads = entries.groupBy("shingle").agg(F.sum("size").alias("total"),
+                                           F.min(F.struct("set", "size", "row", "at")).alias("head"))
     entries = stage(entries.join(heads, "shingle"), "entries", folder)
     of_head = [F.col(f"head.{c}").alias(f"{c}_a") for c in ("set", "size", "row", "at")]
     of_set = [F.col(c).alias(f"{c}_b") for c in ("set", "size", "row", "at")]
