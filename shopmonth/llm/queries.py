@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, kneser_ney
+from . import decontaminate, jaccard, kneser_ney, pii
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,15 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(F.col("id").alias("doc_id"), "lang", "perplexity", "threshold", "keep")
 
 
+PSEUDONYM_KEY = "registered query"
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    named = pii.pseudonymise(docs, PSEUDONYM_KEY, found_col="found")
+    return named.select("doc_id", "text", F.size("found").alias("n_found"), "found")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scanned = decontaminate.scan_documents(docs, table(spark, sf_dir, "benchmark"))
@@ -35,6 +44,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op7_pii": op7_pii,
     "op9_decontamination": op9_decontamination,
     "op10_jaccard_join": op10_jaccard_join,
 }

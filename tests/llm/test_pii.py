@@ -1,0 +1,92 @@
+"""Pseudonyms: formats, links, inversion and what must stay."""
+
+import datetime as dt
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+import compare
+from shopmonth.llm import pii, queries
+from shopmonth.llm.pii import Feistel, Pseudonyms
+
+NAMES, BACK = Pseudonyms("k"), Pseudonyms("k", inverse=True)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(1, 5000))
+def test_permutation(size):
+    feistel = Feistel(b"k")
+    image = [feistel.permute(v, size, "t") for v in range(min(size, 60))]
+    assert len(set(image)) == len(image) and all(0 <= v < size for v in image)
+    assert [feistel.permute(v, size, "t", inverse=True) for v in image] == list(range(min(size, 60)))
+
+
+def test_whole_small_domain_is_permuted():
+    for size in (1, 2, 10, 97):
+        assert sorted(Feistel(b"k").permute(v, size, "t") for v in range(size)) == list(range(size))
+
+
+VALUES = ["4111 1111 1111 1111", "4111-1111-1111-1111", "5500005555555559", "378282246310005",
+          "GB82 WEST 1234 5698 7654 32", "DE89370400440532013000", "+1 (743) 555-3824", "(030) 1234-5678", "192.168.10.1",
+          "123-45-6789", "2021-02-28", "12/31/1999", "31/12/1999", "28.02.2021", "Jo.Doe+x9@mail5.example.com",
+          'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"', "api_key: sk_live_9aZ8bY7cX6dW5eV4"]
+
+
+@pytest.mark.parametrize("value", VALUES)
+def test_value_is_replaced_in_its_format_and_back(value):
+    text = f"é before {value} after, {value}."
+    new, found = NAMES.replace(text)
+    assert len(found) == 2 and value not in new
+    assert [c.isdigit() for c in new if not c.isalnum()] == [c.isdigit() for c in text if not c.isalnum()]
+    first, second = (new[a:b] for _, a, b in found)
+    assert first == second
+    assert BACK.replace(new)[0] == text
+
+
+def test_numbers_stay_valid_and_linked():
+    card = NAMES.card("4111 1111 1111 1111")
+    assert pii.luhn_valid(card.replace(" ", "")) and card.replace(" ", "") == NAMES.card("4111111111111111")
+    iban = NAMES.iban("GB82WEST12345698765432")
+    assert iban.startswith("GB") and pii.iban_check("GB", iban[4:]) == iban[2:4]
+    assert dt.date.fromisoformat(NAMES.iso("2020-02-29"))
+    assert Pseudonyms("other").card("4111111111111111") != NAMES.card("4111111111111111")
+
+
+@pytest.mark.parametrize("text", ["", "plain words", "4111 1111 1111 1112", "999.1.1.1", "1.2.3", "2021-02-30", "31/31/1999",
+                                  "a@b", "price 1234567890 units", "chapter 12 345", "token = abc", "v1.2.3.4.5", "0000000000000000"])
+def test_invalid_values_stay(text):
+    assert NAMES.replace(text) == (text, [])
+
+
+def test_card_among_other_groups():
+    new, found = NAMES.replace("12 4111 1111 1111 1111 12")
+    assert [k for k, *_ in found] == ["card"] and new.startswith("12 ") and new.endswith(" 12")
+
+
+def test_long_texts_take_time_in_proportion():
+    for text in ("a" * 300_000, "1" * 300_000, "1 " * 150_000, "a@" * 100_000, "1." * 100_000, "A1" * 100_000, "token:" * 40_000):
+        NAMES.replace(text)
+
+
+def test_rows_and_columns_stay(spark):
+    rows = [(1, "mail x@y.org", "c"), (1, None, "c"), (None, "", None), (2, "no 1 data", "d"), (3, "x@y.org", "e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, found string")
+    out = pii.pseudonymise(docs, "k")
+    assert out.columns == docs.columns and out.count() == 5
+    texts = {(r.doc_id, r.found): r.text for r in out.collect() if r.text is not None}
+    assert texts[(2, "d")] == "no 1 data" and texts[(1, "c")].removeprefix("mail ") == texts[(3, "e")]
+    assert pii.pseudonymise(out, "k", inverse=True).subtract(docs).count() == 0
+    assert pii.pseudonymise(docs.limit(0), "k", found_col="found").count() == 0
+
+
+def test_query_changes_only_found_places(spark):
+    sf = f"{compare.TESTDATA}/sf0.01"
+    before = {r.doc_id: r.text for r in queries.table(spark, sf, "documents").collect()}
+    rows = queries.op7_pii(spark, sf).collect()
+    assert len(rows) == len(before) and sum(r.n_found for r in rows) > 20
+    for row in rows:
+        back, _ = Pseudonyms(queries.PSEUDONYM_KEY, inverse=True).replace(row.text)
+        assert back == before[row.doc_id]
+        if not row.n_found:
+            assert row.text == before[row.doc_id]
