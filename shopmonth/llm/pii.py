@@ -18,7 +18,8 @@ ssn            the nine digits of ddd-dd-dddd
 date           the day within years 1900 to 2099, in ISO, slash or dotted order; dd/mm
                only where mm/dd is impossible, and then among days after the twelfth
 email          letters and digits of the mailbox and of each domain label but the last
-secret         hexadecimal or mixed runs of 20 and more after a word like token or key
+secret         runs of 16 and more with letters and digits after a word like token or key,
+               and access keys by their public prefixes, which stay
 =============  ======================================================================
 
 Defined results: null stays null; texts without valid values keep every byte;
@@ -47,6 +48,7 @@ FIRST_DAY, DAYS = dt.date(1900, 1, 1).toordinal(), dt.date(2100, 1, 1).toordinal
 PATTERN = re.compile(r"""
     (?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9]))
   | (?P<secret>(?<![A-Za-z0-9])(?i:api[_-]?key|access[_-]?key|secret|token|password|passwd|key)["']?\s{0,3}[:=]\s{0,3}["']?(?P<value>[A-Za-z0-9_+/-]{16,200}))
+  | (?P<access>(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9_-]{20,200}|xox[abprs]-[A-Za-z0-9-]{10,200})(?![A-Za-z0-9]))
   | (?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))
   | (?P<iso>(?<![\w.-])\d{4}-\d{2}-\d{2}(?![\w-]))
   | (?P<slash>(?<![\w/.-])\d{1,2}/\d{1,2}/\d{4}(?![\w/]))
@@ -56,6 +58,7 @@ PATTERN = re.compile(r"""
   | (?P<card>(?<![\w.-])\d(?:[\x20-]?\d){12,18}(?![\w-]))
   | (?P<phone>(?<![\w.-])(?:\+\d{1,3}[\x20.-]?)?(?:\(\d{2,4}\)|\d{2,4})[\x20.-]?\d{3,4}[\x20.-]?\d{3,4}(?![\w-]))
 """, re.VERBOSE | re.ASCII)
+REPORTED = {"iso": "date", "slash": "date", "dotted": "date", "access": "secret"}
 _MAY_MATCH = re.compile(r"[0-9@]")
 LATE_DAYS = [d for d in range(DAYS) if dt.date.fromordinal(FIRST_DAY + d).day > 12]
 
@@ -140,7 +143,7 @@ class Pseudonyms:
         self.feistel, self.inverse = Feistel(key.encode()), inverse
         self.makers: dict[str, Callable[[str], str | None]] = {
             "email": self.email, "iban": self.iban, "ip": self.ip, "ssn": self.ssn, "card": self.card,
-            "phone": self.phone, "iso": self.iso, "slash": self.slash, "dotted": self.dotted}
+            "access": self.access, "phone": self.phone, "iso": self.iso, "slash": self.slash, "dotted": self.dotted}
         self.known = lru_cache(maxsize=100_000)(self._known)
 
     def _known(self, kind: str, text: str) -> str | None:
@@ -218,6 +221,10 @@ class Pseudonyms:
         kinds = (any(c.isdigit() for c in value), any(c.isalpha() for c in value))
         return self.feistel.symbols(value, "secret", self.inverse) if all(kinds) else None
 
+    def access(self, text: str) -> str | None:
+        start = 4 if text[:4] in ("AKIA", "ASIA") else re.search(r"[_-]", text).end()
+        return text[:start] + self.feistel.symbols(text[start:], f"access{text[:start]}", self.inverse)
+
     def replace(self, text: str) -> tuple[str, list[tuple[str, int, int]]]:
         """The text with its pseudonyms, and (kind, start, end) of each in the new text."""
         out, found, last, size, at = [], [], 0, 0, 0
@@ -235,7 +242,7 @@ class Pseudonyms:
                 continue
             out += [text[last:start], new]
             size += start - last
-            found.append((kind if kind not in ("iso", "slash", "dotted") else "date", size, size + len(new)))
+            found.append((REPORTED.get(kind, kind), size, size + len(new)))
             size, last, at = size + len(new), end, end
         out.append(text[last:])
         return "".join(out), found
