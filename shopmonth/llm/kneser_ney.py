@@ -6,10 +6,10 @@ left neighbours, three discounts per order and language from the counts of
 counts, and from these the probability of each n-gram and the back-off weight of
 each context.
 
-Scoring never broadcasts the model. Documents are dealt into blocks of bounded
-bytes, each block lists the n-grams that occur in it, the list is joined with the
-model's rows, shard by shard, and the rows found go to the block's documents.
-The text is shuffled once, by block; both uses read the same exchange.
+Scoring never broadcasts the model. Documents are packed into blocks of bounded
+bytes as they are read, each block lists the n-grams that occur in it, the list is
+joined with the model's rows, shard by shard, and the rows found go to the
+block's documents. The packed blocks are the only text that is moved.
 
 One trusted document in ``HELD_OUT`` is not trained on. A document is kept when its
 perplexity is at most the given quantile of those of its language's held-out
@@ -23,20 +23,22 @@ make it untrusted. Digits count as one character.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..sources.workdir import stage, work_folder
 from .graph import settled
 from .words import mix, slices, text_buffer
 
-ORDER = 5
+ORDER = 4
 QUANTILE = 0.995
 MARGIN = 1.1
 HELD_OUT = 5
@@ -219,48 +221,76 @@ def needed_grams(windows: np.ndarray) -> pa.Array:
     return pc.unique(pa.concat_arrays([p.cast(pa.string()) for p in parts]))
 
 
-def perplexities(docs: DataFrame, model: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` without its ``text`` and with ``perplexity``; needs columns ``lang`` and ``text``."""
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, math.ceil(size / block_bytes))
+def perplexities(docs: DataFrame, model: DataFrame, folder: str, order: int = ORDER,
+                 block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` without its ``text`` and with ``perplexity``; needs columns ``lang`` and ``text``.
+
+    ``folder`` takes the packed blocks and must outlive the result.
+    """
     kept = [c for c in docs.columns if c != "text"]
-    dealt = docs.select(*kept, "text", F.pmod(F.xxhash64(*docs.columns), F.lit(blocks)).alias("block"))
-
-    def grams(table: pa.Table) -> pa.Table:
-        block, out = table["block"][0].as_py(), []
-        for language, rows in _language_groups(table["lang"].combine_chunks()):
-            texts, found = table.select(["text"]).take(rows).combine_chunks(), []
-            for batch in texts.to_batches():
-                for part in slices(batch, "text"):
-                    found.append(needed_grams(Characters(part.column(0), order).distinct()[0]))
-            found = pc.unique(pa.concat_arrays(found))
-            out.append(pa.table({"block": pa.array([block] * len(found), pa.int64()),
-                                 "lang": pa.array([language] * len(found), pa.string()), "gram": found}))
-        return pa.concat_tables(out)
-
-    def score(texts: pa.Table, rows: pa.Table) -> pa.Table:
-        out = np.full(texts.num_rows, np.nan)
-        if texts.num_rows:
+    blocks = stage(_packed(docs, order, block_bytes), "blocks", folder)
+    rows = (blocks.select("block", F.explode("grams").alias("g")).select("block", "g.lang", "g.gram")
+            .join(model, ["lang", "gram"]).select(F.col("block").alias("of_block"), "lang", "gram", "logp", "back"))
+
+    def score(packed: pa.Table, rows: pa.Table) -> pa.Table:
+        out = []
+        for block in packed["packed"].to_pylist():
+            texts = pa.ipc.open_stream(block).read_all().combine_chunks()
+            values = np.full(texts.num_rows, np.nan)
             for language, at in _language_groups(texts["lang"].combine_chunks()):
                 mine = rows.filter(pc.equal(rows["lang"], language))
-                if not mine.num_rows:
-                    continue
-                shard = Shard(mine["gram"].to_pylist(), mine["logp"].to_numpy(), mine["back"].to_numpy(), order)
-                values = []
-                for batch in texts.select(["text"]).take(at).combine_chunks().to_batches():
-                    for part in slices(batch, "text"):
-                        chars = Characters(part.column(0), order)
-                        windows, inverse = chars.distinct()
-                        logs = np.concatenate([[0.0], np.cumsum(shard.log_probabilities(windows)[inverse])])
-                        mean = (logs[chars.bounds[1:]] - logs[chars.bounds[:-1]]) / (chars.lengths + 1)
-                        values.append(np.where(chars.lengths > 0, np.exp(-mean), np.nan))
-                out[at.to_numpy()] = np.concatenate(values)
-        return texts.select(kept).append_column("perplexity", pa.array(out, pa.float64(), from_pandas=True))
-
-    listed = dealt.groupBy("block").applyInArrow(grams, "block long, lang string, gram string")
-    rows = listed.join(model, ["lang", "gram"]).select("block", "lang", "gram", "logp", "back")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "text")
-    return dealt.groupBy("block").cogroup(rows.groupBy("block")).applyInArrow(score, f"{schema}, perplexity double")
+                if mine.num_rows:
+                    shard = Shard(mine["gram"].to_pylist(), mine["logp"].to_numpy(), mine["back"].to_numpy(), order)
+                    values[at.to_numpy()] = _scores(texts.select(["text"]).take(at), shard, order)
+            out.append(texts.select(kept).append_column("perplexity", pa.array(values, pa.float64(), from_pandas=True)))
+        return pa.concat_tables(out) if out else empty
+
+    empty = pa.schema([*to_arrow_schema(docs.select(*kept).schema), ("perplexity", pa.float64())]).empty_table()
+    schema = T.StructType([*docs.select(*kept).schema, T.StructField("perplexity", T.DoubleType())])
+    return (blocks.select("block", "packed").groupBy("block").cogroup(rows.groupBy("of_block"))
+            .applyInArrow(score, schema))
+
+
+def _scores(texts: pa.Table, shard: Shard, order: int) -> np.ndarray:
+    values = []
+    for batch in texts.combine_chunks().to_batches():
+        for part in slices(batch, "text"):
+            chars = Characters(part.column(0), order)
+            windows, inverse = chars.distinct()
+            logs = np.concatenate([[0.0], np.cumsum(shard.log_probabilities(windows)[inverse])])
+            mean = (logs[chars.bounds[1:]] - logs[chars.bounds[:-1]]) / (chars.lengths + 1)
+            values.append(np.where(chars.lengths > 0, np.exp(-mean), np.nan))
+    return np.concatenate(values)
+
+
+def _packed(docs: DataFrame, order: int, block_bytes: int) -> DataFrame:
+    """One row for each block of documents: its rows, compressed, and the grams that scoring them looks up."""
+    pair = pa.struct([("lang", pa.string()), ("gram", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            for block in slices(batch, "text", block_bytes):
+                needed: dict[str, list[pa.Array]] = {}
+                for part in slices(block, "text"):
+                    languages = part.column(part.schema.get_field_index("lang"))
+                    for language, rows in _language_groups(languages):
+                        texts = part.column(part.schema.get_field_index("text")).take(rows)
+                        needed.setdefault(language, []).append(needed_grams(Characters(texts, order).distinct()[0]))
+                grams = {k: pc.unique(pa.concat_arrays(v)) for k, v in needed.items()}
+                pairs = pa.StructArray.from_arrays(
+                    [pa.concat_arrays([pa.array([k] * len(v), pa.string()) for k, v in grams.items()]),
+                     pa.concat_arrays(list(grams.values()))], fields=list(pair))
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, block.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))) as out:
+                    out.write_batch(block)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary()),
+                     pa.ListArray.from_arrays(pa.array([0, len(pairs)], pa.int32()), pairs)],
+                    names=["block", "packed", "grams"])
+                number += 1
+
+    return docs.mapInArrow(run, "block long, packed binary, grams array<struct<lang:string,gram:string>>")
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -286,7 +316,7 @@ def judged(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: flo
     with work_folder(spark, "quality") as folder:
         counts = stage(count_ngrams(rows.where(F.col("trusted") & ~held_out), order), "counts", folder)
         model = stage(kneser_ney(counts, order), "model", folder)
-        scored = settled(perplexities(rows, model, order))
+        scored = settled(perplexities(rows, model, folder, order))
     limits = (scored.where(held_out & F.col("perplexity").isNotNull()).groupBy("lang")
               .agg((F.percentile_approx("perplexity", quantile, 10_000) * margin).alias("threshold")))
     known = scored.join(limits, "lang", "left")
