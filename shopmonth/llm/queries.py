@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, kneser_ney, pii
+from . import decontaminate, jaccard, kneser_ney, piece_bpe, pii
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +20,14 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(F.col("id").alias("doc_id"), "lang", "perplexity", "threshold", "keep")
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    decoded = piece_bpe.decode(piece_bpe.encode(docs, path), path)
+    return decoded.select("doc_id", F.size("token_ids").alias("n_tokens"), "token_ids",
+                          F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+
+
 PSEUDONYM_KEY = "registered query"
 
 
@@ -44,6 +53,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op3_sentencepiece": op3_sentencepiece,
     "op7_pii": op7_pii,
     "op9_decontamination": op9_decontamination,
     "op10_jaccard_join": op10_jaccard_join,
