@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, kneser_ney, piece_bpe, pii
+from ..sources.workdir import new_folder
+from . import decontaminate, jaccard, kneser_ney, piece_bpe, pii, tokenfile
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +29,13 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "tokens")
+    docs = table(spark, sf_dir, "documents")
+    manifest = tokenfile.write_tokens(docs, folder, public_tokenizers.path("byte_bpe_50k.json"))
+    return tokenfile.read_index(manifest, folder)
+
+
 PSEUDONYM_KEY = "registered query"
 
 
@@ -54,6 +62,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op3_sentencepiece": op3_sentencepiece,
+    "op6_token_files": op6_token_files,
     "op7_pii": op7_pii,
     "op9_decontamination": op9_decontamination,
     "op10_jaccard_join": op10_jaccard_join,
