@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.workdir import new_folder
-from . import decontaminate, jaccard, kneser_ney, piece_bpe, pii, tokenfile
+from . import decontaminate, jaccard, kneser_ney, piece_bpe, pii, tokenfile, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,12 +59,29 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "archives")
+    manifest = warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.page_captures(warc.assemble(warc.read_records(manifest, folder)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op3_sentencepiece": op3_sentencepiece,
     "op6_token_files": op6_token_files,
     "op7_pii": op7_pii,
+    "op8_warc": op8_warc,
     "op9_decontamination": op9_decontamination,
     "op10_jaccard_join": op10_jaccard_join,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_warc": """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes, sha1(payload) AS payload_digest FROM p),
+g AS (SELECT payload_digest, max(page_id) AS last FROM d WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN last IS NULL OR last = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN last <> page_id THEN last END AS refers_to
+FROM d LEFT JOIN g USING (payload_digest)
+""",
+}
