@@ -30,7 +30,7 @@ def connected_components(links: DataFrame) -> DataFrame:
     while state[0]:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         lowest = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = _bare(both.join(lowest, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")))
+        large = both.join(lowest, "a").where("b > a AND b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         lowest = large.groupBy("a").agg(F.min("b").alias("m"))
         hung = large.join(lowest, "a")
         edges = settled(_bare(hung.select(F.col("b").alias("a"), F.col("m").alias("b"))

@@ -17,7 +17,9 @@ every member of a list is compared with the list's first set: a group of copies
 turns into a star. Then lists whose members all have met are done, and what is
 left is compared pair by pair: short lists by a join, long lists in blocks of
 bounded bytes that scan inverted lists and return only links that join groups.
-No list, however long, meets in one task, and no pair that could link is skipped.
+Lists are cut into bands of sizes in reach of each other, and pairs whose places
+in their lists or whose parity sketches show that they differ too much are
+dropped before any shingles are fetched; both tests are exact bounds. No list, however long, meets in one task, and no pair that could link is skipped.
 
 Frequent shingles are those that repeat inside slices of the corpus; they fix
 the order of shingles only, and any order gives the same components.
@@ -82,6 +84,11 @@ class Similarity:
     def subset_count(self, size: int, boundary: int) -> int:
         return sum(math.comb(size, o) for _, _, o in self.subsets(size, boundary))
 
+    def band(self, size: str):
+        """Sizes in reach of each other are in one band or in neighbouring ones."""
+        return F.floor(F.log(F.col(size).cast("double")) / math.log(self.under / self.over) + 1e-9).cast("int") if (
+            self.under > self.over) else F.col(size).cast("int")
+
     def sizes_fit(self, left: str, right: str):
         return ((F.col(left) * self.under >= F.col(right) * self.over)
                 & (F.col(right) * self.under >= F.col(left) * self.over))
@@ -100,6 +107,26 @@ def boundary_by_cost(sizes: dict[int, int], similarity: Similarity) -> int:
     return min(range(SMALL_AT_MOST + 1), key=cost)
 
 
+def parity_sketch(shingles: np.ndarray) -> bytes:
+    """One bit for each residue of the hashes: whether an odd number of shingles has it.
+
+    Two sketches differ in at most as many bits as the sets differ in shingles, and
+    a sketch of half the length is the exclusive or of the halves.
+    """
+    bits = 1 << min(16, max(8, (len(shingles) - 1).bit_length()))
+    odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def differing_bits(left: np.ndarray, right: np.ndarray) -> int:
+    """Least number of shingles that are in one of two sets only, by their sketches."""
+    while len(left) > len(right):
+        left = left[:len(left) // 2] ^ left[len(left) // 2:]
+    while len(right) > len(left):
+        right = right[:len(right) // 2] ^ right[len(right) // 2:]
+    return int(np.bitwise_count(left ^ right).sum())
+
+
 def set_key(shingles: np.ndarray) -> bytes:
     return blake2b(shingles.tobytes(), digest_size=16).digest()
 
@@ -198,11 +225,12 @@ def _keys(texts: DataFrame, shingle: int, similarity: Similarity, boundary: int,
                             if len(s) >= listed else None for s in found]
                 yield pa.RecordBatch.from_arrays([
                     part.column(1).filter(pa.array(keep)), pa.array([len(s) for s in found], pa.int64()),
-                    pa.array([set_key(s) for s in found], pa.binary()), pa.array(prefixes, pa.list_(pa.int64())),
+                    pa.array([set_key(s) for s in found], pa.binary()),
+                    pa.array([parity_sketch(s) for s in found], pa.binary()), pa.array(prefixes, pa.list_(pa.int64())),
                     pa.array([subsets(s) if len(s) <= boundary else None for s in found], subset_type)],
-                    names=["row", "size", "set", "prefix", "subsets"])
+                    names=["row", "size", "set", "sketch", "prefix", "subsets"])
 
-    return texts.mapInArrow(run, "row long, size long, set binary, prefix array<long>,"
+    return texts.mapInArrow(run, "row long, size long, set binary, sketch binary, prefix array<long>,"
                                  "subsets array<struct<small:int,large:int,value:long>>")
 
 
@@ -222,28 +250,55 @@ def _list_links(texts: DataFrame, shingle: int, similarity: Similarity, keys: Da
                 folder: str) -> DataFrame:
     """``links`` and those found in the inverted lists."""
     entries = keys.select("set", "size", "row", F.posexplode("prefix").alias("at", "shingle"))
-    lists = stage(entries.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "lists", folder)
-    lists = F.broadcast(lists) if lists.count() <= BROADCAST_ROWS else lists
-    entries = stage(entries.join(lists, "shingle"), "shared", folder)
-    heads = entries.groupBy("shingle").agg(F.sum("size").alias("total"),
-                                           F.min(F.struct("set", "size", "row", "at")).alias("head"))
-    entries = stage(entries.join(heads, "shingle"), "entries", folder)
+    entries = _in_lists(entries, ["shingle"], folder, "shared")
+    entries = entries.withColumn("own", similarity.band("size")).withColumn(
+        "band", F.explode(F.array("own", F.col("own") + 1)))
+    entries = _in_lists(entries, ["shingle", "band"], folder, "banded")
+    heads = entries.groupBy("shingle", "band").agg(F.sum("size").alias("total"),
+                                                   F.min(F.struct("set", "size", "row", "at")).alias("head"))
+    entries = stage(entries.join(heads, ["shingle", "band"]), "entries", folder)
     of_head = [F.col(f"head.{c}").alias(f"{c}_a") for c in ("set", "size", "row", "at")]
     of_set = [F.col(c).alias(f"{c}_b") for c in ("set", "size", "row", "at")]
     stars = stage(_with_room(entries.select(*of_head, *of_set).where("set_a <> set_b"), similarity), "near", folder)
+    stars = stage(_sketches_close(stars, keys, similarity), "close", folder)
     links = links.unionByName(stage(_verified(texts, shingle, stars, similarity), "stars", folder))
 
     named = connected_components(links).withColumnRenamed("node", "set")
     entries = entries.drop("head").join(named, "set", "left").withColumn("component", F.coalesce("component", "set"))
-    open_lists = (entries.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-                  .where("low <> high").select("shingle"))
-    entries = stage(entries.join(open_lists, "shingle"), "open", folder)
+    open_lists = (entries.groupBy("shingle", "band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+                  .where("low <> high").select("shingle", "band"))
+    entries = stage(entries.join(open_lists, ["shingle", "band"]), "open", folder)
     pairs = stage(_short_list_pairs(entries.where(F.col("n") <= SHORT_LIST), similarity), "met", folder)
+    pairs = stage(_sketches_close(pairs, keys, similarity), "alike", folder)
     links = links.unionByName(stage(_verified(texts, shingle, pairs, similarity), "pairs", folder))
     long_lists = entries.where(F.col("n") > SHORT_LIST)
     return links.unionByName(stage(_long_list_links(texts, shingle, long_lists, similarity), "blocks", folder))
 
 
+def _in_lists(entries: DataFrame, key: list[str], folder: str, purpose: str) -> DataFrame:
+    """Entries of lists with two and more, and their number ``n``; what stands alone is not shuffled with its columns."""
+    lists = stage(entries.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1"), f"{purpose}-lists", folder)
+    lists = F.broadcast(lists) if lists.count() <= BROADCAST_ROWS else lists
+    return stage(entries.drop("n").join(lists, key), purpose, folder)
+
+
+def _sketches_close(pairs: DataFrame, keys: DataFrame, similarity: Similarity) -> DataFrame:
+    """Pairs that do not differ in more shingles than sets of their similarity can; none of those is left out."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for r, s, x, y in zip(*(batch.column(k).to_pylist() for k in range(4, 8))):
+                bits = differing_bits(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8))
+                keep.append(bits <= r + s - 2 * similarity.overlap(r, s))
+            yield batch.select(["a", "b", "row_a", "row_b"]).filter(pa.array(keep, pa.bool_()))
+
+    side = lambda k: keys.select(
+        F.col("set").alias(k), F.col("size").alias(f"size_{k}"), F.col("sketch").alias(f"sketch_{k}"))
+    return (pairs.join(side("a"), "a").join(side("b"), "b")
+            .select("a", "b", "row_a", "row_b", "size_a", "size_b", "sketch_a", "sketch_b")
+            .mapInArrow(run, "a binary, b binary, row_a long, row_b long"))
+
+
 def _with_room(pairs: DataFrame, similarity: Similarity) -> DataFrame:
     """Pairs whose sizes fit and whose places in the lists they share leave room for the overlap.
 
@@ -301,8 +356,9 @@ def _verified(texts: DataFrame, shingle: int, pairs: DataFrame, similarity: Simi
 def _short_list_pairs(entries: DataFrame, similarity: Similarity) -> DataFrame:
     """Pairs of different components that meet in short lists."""
     side = lambda k: entries.select(
-        "shingle", *[F.col(c).alias(f"{c}_{k}") for c in ("set", "size", "row", "at", "component")])
-    pairs = side("a").join(side("b"), "shingle").where("set_a < set_b AND component_a <> component_b")
+        "shingle", "band", *[F.col(c).alias(f"{c}_{k}") for c in ("set", "size", "row", "at", "own", "component")])
+    pairs = (side("a").join(side("b"), ["shingle", "band"]).where("set_a < set_b AND component_a <> component_b")
+             .where("band = greatest(own_a, own_b)"))  # a pair that shares two bands counts once
     return _with_room(pairs, similarity)
 
 
@@ -314,7 +370,7 @@ def _long_list_links(texts: DataFrame, shingle: int, entries: DataFrame, similar
     dealt = (entries.withColumn("blocks", blocks)
              .withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("shingle", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+             .select("shingle", "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
                      "set", "component")
              .join(sets, "set"))
 
@@ -323,7 +379,7 @@ def _long_list_links(texts: DataFrame, shingle: int, entries: DataFrame, similar
                                           [np.frombuffer(s, dtype=np.uint64) for s in group["shingles"]],
                                           over, under), columns=["a", "b"])
 
-    return dealt.groupBy("shingle", "i", "j").applyInPandas(scan, "a binary, b binary")
+    return dealt.groupBy("shingle", "band", "i", "j").applyInPandas(scan, "a binary, b binary")
 
 
 def joining_links(names: list, components: list, sets: list[np.ndarray], over: int, under: int) -> list[tuple]:

@@ -117,3 +117,21 @@ def test_joining_links_form_a_forest():
     a = np.arange(100, dtype=np.uint64)
     sets = [a, a[:98], a[2:], np.arange(500, 600, dtype=np.uint64)]
     assert len(jaccard.joining_links([b"1", b"2", b"3", b"4"], [b"1", b"2", b"3", b"4"], sets, 9, 10)) == 2
+
+
+def test_sketches_never_overstate_the_difference():
+    rng = np.random.default_rng(2)
+    for r, s in ((3, 3), (200, 260), (300, 5000), (40_000, 70_000)):
+        pool = np.unique(rng.integers(0, 2**63, r + s, dtype=np.uint64))
+        a, b = rng.choice(pool, r, replace=False), rng.choice(pool, s, replace=False)
+        different = len(np.setxor1d(a, b))
+        bits = [np.frombuffer(jaccard.parity_sketch(x), np.uint8) for x in (a, b)]
+        assert jaccard.differing_bits(*bits) == jaccard.differing_bits(*bits[::-1]) <= different
+        assert jaccard.differing_bits(bits[0], bits[0]) == 0
+
+
+def test_sizes_in_reach_share_a_band(spark):
+    for sim in (Similarity(90, 100), Similarity(4, 5), Similarity(1, 1)):
+        band = [r.b for r in spark.range(1, 3000).select(sim.band("id").alias("b")).collect()]
+        for r in range(1, 2400):
+            assert band[min(sim.largest(r), 2999) - 1] - band[r - 1] <= 1
