@@ -24,11 +24,11 @@ make it untrusted. Digits count as one character.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,7 +42,9 @@ ORDER = 4
 QUANTILE = 0.995
 MARGIN = 1.1
 HELD_OUT = 5
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 32 << 20
+SLICE_BYTES = 1 << 20
+MARK = ("\x00", "\x00", 0.0, 0.0)
 BROADCAST_ROWS = 1_000_000
 BEGIN, END, REPLACEMENT = 2, 3, 0xFFFD
 _SLOTS = 1 << 19
@@ -116,16 +118,19 @@ def _language_groups(languages: pa.Array) -> Iterator[tuple[str, pa.Array]]:
 
 
 def count_ngrams(trusted: DataFrame, order: int = ORDER) -> DataFrame:
-    """``lang``, ``gram`` and ``n`` of all windows of the texts; each slice is added up before the shuffle."""
+    """``lang``, ``gram`` and ``n`` of all windows of the texts; each block is added up before the shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
-                for language, rows in _language_groups(part.column(0)):
-                    windows, inverse = Characters(part.column(1).take(rows), order).distinct()
-                    grams = pa.array(as_strings(windows))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([language] * len(grams), pa.string()), grams,
-                         pa.array(np.bincount(inverse, minlength=len(grams)), pa.int64())], names=["lang", "gram", "n"])
+            for block in slices(batch, "text", BLOCK_BYTES):
+                for language, rows in _language_groups(block.column(0)):
+                    found = []
+                    for part in slices(block.take(rows), "text", SLICE_BYTES):
+                        windows, inverse = Characters(part.column(1), order).distinct()
+                        found.append(pa.table({"gram": as_strings(windows), "n": np.bincount(inverse, minlength=len(windows))}))
+                    grams = pa.concat_tables(found).group_by("gram").aggregate([("n", "sum")])
+                    columns = {"lang": pa.array([language] * len(grams), pa.string()), "gram": grams["gram"],
+                               "n": grams["n_sum"].cast(pa.int64())}
+                    yield from pa.table(columns).to_batches()
 
     return (trusted.select("lang", "text").mapInArrow(run, "lang string, gram string, n long")
             .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
@@ -221,19 +226,26 @@ def needed_grams(windows: np.ndarray) -> pa.Array:
     return pc.unique(pa.concat_arrays([p.cast(pa.string()) for p in parts]))
 
 
-def perplexities(docs: DataFrame, model: DataFrame, folder: str, order: int = ORDER,
-                 block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def perplexities(docs: DataFrame, model: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` without its ``text`` and with ``perplexity``; needs columns ``lang`` and ``text``.
 
-    ``folder`` takes the packed blocks and must outlive the result.
+    The documents are read twice, for the lists and for the texts. A block is known
+    by a hash of its rows; if the second reading dealt rows to blocks otherwise, the
+    block would miss its own mark among the rows found, and the job fails.
     """
     kept = [c for c in docs.columns if c != "text"]
-    blocks = stage(_packed(docs, order, block_bytes), "blocks", folder)
-    rows = (blocks.select("block", F.explode("grams").alias("g")).select("block", "g.lang", "g.gram")
-            .join(model, ["lang", "gram"]).select(F.col("block").alias("of_block"), "lang", "gram", "logp", "back"))
+    mark = model.sparkSession.createDataFrame([MARK], "lang string, gram string, logp double, back double")
+    rows = (docs.mapInArrow(_lister(order, block_bytes), "of_block long, grams array<struct<lang:string,gram:string>>")
+            .select("of_block", F.explode("grams").alias("g")).select("of_block", "g.lang", "g.gram")
+            .join(model.unionByName(mark), ["lang", "gram"])
+            .select("of_block", "lang", "gram", F.col("logp").cast("float"), F.col("back").cast("float")))
+    blocks = docs.mapInArrow(_packer(block_bytes), "block long, packed binary")
+    empty = pa.schema([*to_arrow_schema(docs.select(*kept).schema), ("perplexity", pa.float64())]).empty_table()
 
     def score(packed: pa.Table, rows: pa.Table) -> pa.Table:
-        out = []
+        out = [empty]
+        if packed.num_rows and not pc.any(pc.equal(rows["lang"], MARK[0])).as_py():
+            raise RuntimeError("the documents came in another order when they were read again; write them to a table first")
         for block in packed["packed"].to_pylist():
             texts = pa.ipc.open_stream(block).read_all().combine_chunks()
             values = np.full(texts.num_rows, np.nan)
@@ -242,19 +254,18 @@ def perplexities(docs: DataFrame, model: DataFrame, folder: str, order: int = OR
                 if mine.num_rows:
                     shard = Shard(mine["gram"].to_pylist(), mine["logp"].to_numpy(), mine["back"].to_numpy(), order)
                     values[at.to_numpy()] = _scores(texts.select(["text"]).take(at), shard, order)
-            out.append(texts.select(kept).append_column("perplexity", pa.array(values, pa.float64(), from_pandas=True)))
-        return pa.concat_tables(out) if out else empty
+            out.append(texts.select(kept).append_column("perplexity", pa.array(values, pa.float64(), from_pandas=True))
+                       .cast(empty.schema))
+        return pa.concat_tables(out)
 
-    empty = pa.schema([*to_arrow_schema(docs.select(*kept).schema), ("perplexity", pa.float64())]).empty_table()
     schema = T.StructType([*docs.select(*kept).schema, T.StructField("perplexity", T.DoubleType())])
-    return (blocks.select("block", "packed").groupBy("block").cogroup(rows.groupBy("of_block"))
-            .applyInArrow(score, schema))
+    return blocks.groupBy("block").cogroup(rows.groupBy("of_block")).applyInArrow(score, schema)
 
 
 def _scores(texts: pa.Table, shard: Shard, order: int) -> np.ndarray:
     values = []
     for batch in texts.combine_chunks().to_batches():
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", SLICE_BYTES):
             chars = Characters(part.column(0), order)
             windows, inverse = chars.distinct()
             logs = np.concatenate([[0.0], np.cumsum(shard.log_probabilities(windows)[inverse])])
@@ -263,34 +274,51 @@ def _scores(texts: pa.Table, shard: Shard, order: int) -> np.ndarray:
     return np.concatenate(values)
 
 
-def _packed(docs: DataFrame, order: int, block_bytes: int) -> DataFrame:
-    """One row for each block of documents: its rows, compressed, and the grams that scoring them looks up."""
+def block_id(block: pa.RecordBatch) -> int:
+    """Hash of a block's texts and of where they end."""
+    data, offsets = text_buffer(block.column(block.schema.get_field_index("text")))
+    state = blake2b(offsets.tobytes(), digest_size=8)
+    state.update(data)
+    return int.from_bytes(state.digest(), "big", signed=True)
+
+
+def _lister(order: int, block_bytes: int):
+    """One row for each block of documents: the grams that scoring them looks up, and the mark."""
     pair = pa.struct([("lang", pa.string()), ("gram", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 33
         for batch in batches:
             for block in slices(batch, "text", block_bytes):
-                needed: dict[str, list[pa.Array]] = {}
-                for part in slices(block, "text"):
-                    languages = part.column(part.schema.get_field_index("lang"))
-                    for language, rows in _language_groups(languages):
-                        texts = part.column(part.schema.get_field_index("text")).take(rows)
-                        needed.setdefault(language, []).append(needed_grams(Characters(texts, order).distinct()[0]))
+                needed: dict[str, list[pa.Array]] = {MARK[0]: [pa.array([MARK[1]])]}
+                for part in slices(block, "text", SLICE_BYTES):
+                    texts = part.column(part.schema.get_field_index("text"))
+                    for language, rows in _language_groups(part.column(part.schema.get_field_index("lang"))):
+                        needed.setdefault(language, []).append(needed_grams(Characters(texts.take(rows), order).distinct()[0]))
                 grams = {k: pc.unique(pa.concat_arrays(v)) for k, v in needed.items()}
                 pairs = pa.StructArray.from_arrays(
                     [pa.concat_arrays([pa.array([k] * len(v), pa.string()) for k, v in grams.items()]),
                      pa.concat_arrays(list(grams.values()))], fields=list(pair))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block_id(block)], pa.int64()),
+                     pa.ListArray.from_arrays(pa.array([0, len(pairs)], pa.int32()), pairs)], names=["of_block", "grams"])
+
+    return run
+
+
+def _packer(block_bytes: int):
+    """One row for each block of documents: its rows, compressed."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))
+        for batch in batches:
+            for block in slices(batch, "text", block_bytes):
                 sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, block.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))) as out:
+                with pa.ipc.new_stream(sink, block.schema, options=options) as out:
                     out.write_batch(block)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([number], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary()),
-                     pa.ListArray.from_arrays(pa.array([0, len(pairs)], pa.int32()), pairs)],
-                    names=["block", "packed", "grams"])
-                number += 1
+                yield pa.RecordBatch.from_arrays([pa.array([block_id(block)], pa.int64()),
+                                                  pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+                                                 names=["block", "packed"])
 
-    return docs.mapInArrow(run, "block long, packed binary, grams array<struct<lang:string,gram:string>>")
+    return run
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -316,7 +344,7 @@ def judged(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: flo
     with work_folder(spark, "quality") as folder:
         counts = stage(count_ngrams(rows.where(F.col("trusted") & ~held_out), order), "counts", folder)
         model = stage(kneser_ney(counts, order), "model", folder)
-        scored = settled(perplexities(rows, model, folder, order))
+        scored = settled(perplexities(rows, model, order))
     limits = (scored.where(held_out & F.col("perplexity").isNotNull()).groupBy("lang")
               .agg((F.percentile_approx("perplexity", quantile, 10_000) * margin).alias("threshold")))
     known = scored.join(limits, "lang", "left")

@@ -58,19 +58,19 @@ SCORE = ["the cat", "zzz zzz", "", None, "at 47", "dog\x00 mat", "long " * 3000,
 
 
 @pytest.mark.parametrize("order,block", [(3, 1 << 20), (5, 40)])
-def test_perplexity_equals_plain_model(spark, folder, order, block):
+def test_perplexity_equals_plain_model(spark, order, block):
     trained = spark.createDataFrame([("x", t) for t in TRAIN], "lang string, text string")
     model = kn.kneser_ney(kn.count_ngrams(trained, order), order).cache()
     docs = spark.createDataFrame([(k, "x", t) for k, t in enumerate(SCORE)] + [(99, "none", "the cat")],
                                  "id long, lang string, text string")
-    got = {r.id: r.perplexity for r in kn.perplexities(docs, model, folder, order, block).collect()}
+    got = {r.id: r.perplexity for r in kn.perplexities(docs, model, order, block).collect()}
     probability = plain_model(TRAIN, order)
     assert got.pop(99) is None and len(got) == len(SCORE)
     for k, text in enumerate(SCORE):
         if not text:
             assert got[k] is None
         else:
-            assert got[k] == pytest.approx(plain_perplexity(probability, text.replace("\x00", "�"), order), rel=1e-9)
+            assert got[k] == pytest.approx(plain_perplexity(probability, text.replace("\x00", "�"), order), rel=1e-5)
 
 
 def test_probabilities_add_up_to_one():
