@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.workdir import new_folder
-from . import decontaminate, jaccard, kneser_ney, piece_bpe, pii, tokenfile, warc
+from . import decontaminate, jaccard, kneser_ney, licenses, pii, piece_bpe, tokenfile, urls, vectors, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,11 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(F.col("id").alias("doc_id"), "lang", "perplexity", "threshold", "keep")
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), matches_col="matches")
+    return found.select("doc_id", F.size("matches").alias("n_licenses"), F.col("matches.license").alias("licenses"), "matches")
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -29,6 +34,14 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(table(spark, sf_dir, "pages"))
+
+
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "tokens")
     docs = table(spark, sf_dir, "documents")
@@ -67,7 +80,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_license_scan": op2_license_scan,
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_url_filter": op4_url_filter,
+    "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_token_files": op6_token_files,
     "op7_pii": op7_pii,
     "op8_warc": op8_warc,
