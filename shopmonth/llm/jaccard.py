@@ -132,12 +132,12 @@ def set_key(shingles: np.ndarray) -> bytes:
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                       shingle: int = 3, similarity: Similarity | None = None) -> DataFrame:
-    """``id_col``, ``n_shingles`` and ``component_id`` for every row of ``docs``."""
+                       shingle: int = 3, similarity: Similarity | None = None, with_hash: bool = False) -> DataFrame:
+    """``id_col``, ``n_shingles`` and ``component_id`` for every row of ``docs``; and ``hash`` of its text, if wanted."""
     similarity = similarity or Similarity(90, 100)
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    texts = texts.select("id", F.coalesce("id", F.xxhash64("text")).alias("row"), "text")
+    texts = texts.select("id", F.coalesce("id", F.xxhash64("text")).alias("row"), "text", F.xxhash64("text").alias("hash"))
     with work_folder(spark, "jaccard") as folder:
         profiles = stage(_profiles(texts, shingle), "profiles", folder)
         sets = (profiles.where("size > 0").groupBy("set").agg(F.min("id").alias("id"), F.first("size").alias("size")))
@@ -154,10 +154,41 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         of_set = lowest.join(names, "component").select("set", "component_id")
         out = (profiles.join(of_set, "set", "left")
                .select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"),
-                       F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id")))
+                       F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
+                       *(["hash"] if with_hash else [])))
         return settled(out)
 
 
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
+                similarity: Similarity | None = None) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates, with all their columns.
+
+    Of each component the row with the smallest id stays; of different rows with
+    that id, the one with the smallest hash of its text; of rows with the same id
+    and text, any one. Rows without words stay, and so do different texts of a
+    component in which no row has an id.
+    """
+    similarity = similarity or Similarity(4, 5)
+    found = jaccard_components(docs, id_col, text_col, shingle, similarity, with_hash=True)
+    named = found.where("n_shingles > 0")
+    first = named.where(F.col(id_col) == F.col("component_id")).groupBy("component_id").agg(F.min("hash").alias("first"))
+    gone = named.join(first, "component_id").where(
+        ~(F.col(id_col).eqNullSafe(F.col("component_id")) & (F.col("hash") == F.col("first"))))
+    gone = settled(gone.select(F.col(id_col).alias("gone_id"), F.col("hash").alias("gone_hash")).distinct())
+    repeated = settled(named.groupBy(F.col(id_col).alias("gone_id"), F.col("hash").alias("gone_hash")).count().where("count > 1")
+                       .join(gone, ["gone_id", "gone_hash"], "left_anti").select("gone_id", "gone_hash"))
+
+    def rows(keys: DataFrame, how: str) -> DataFrame:
+        keys = F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+        match = F.col(id_col).cast("long").eqNullSafe(keys["gone_id"]) & F.xxhash64(text_col).eqNullSafe(keys["gone_hash"])
+        return docs.join(keys, match, how)
+
+    if repeated.isEmpty():
+        return rows(gone, "left_anti")
+    once = rows(repeated, "left_semi").dropDuplicates([id_col, text_col])
+    return rows(gone.unionByName(repeated), "left_anti").unionByName(once)
+
+
 def _profiles(texts: DataFrame, shingle: int) -> DataFrame:
     """Set key and size of each document; the first of a slice also has the slice's frequent shingles."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,13 +200,13 @@ def _profiles(texts: DataFrame, shingle: int) -> DataFrame:
                 frequent = [{"shingle": h, "n": c} for h, c in
                             zip(values[often].view(np.int64).tolist(), counts[often].tolist())]
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0), part.column(1), pa.array([len(s) for s in found], pa.int64()),
+                    part.column(0), part.column(1), part.column(3), pa.array([len(s) for s in found], pa.int64()),
                     pa.array([set_key(s) if len(s) else None for s in found], pa.binary()),
                     pa.array([frequent] + [None] * (len(found) - 1),
                              pa.list_(pa.struct([("shingle", pa.int64()), ("n", pa.int64())])))],
-                    names=["id", "row", "size", "set", "frequent"])
+                    names=["id", "row", "hash", "size", "set", "frequent"])
 
-    return texts.mapInArrow(run, "id long, row long, size long, set binary, frequent array<struct<shingle:long,n:long>>")
+    return texts.mapInArrow(run, "id long, row long, hash long, size long, set binary, frequent array<struct<shingle:long,n:long>>")
 
 
 def _frequent(profiles: DataFrame):

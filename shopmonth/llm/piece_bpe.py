@@ -211,7 +211,7 @@ def _merge_all(symbols: np.ndarray, doc: np.ndarray, first: np.ndarray, vocab: V
         moved = np.cumsum(active) - 1
         touched = moved[hits]
         place, piece, unit, ends, best = (x[active] for x in (place, piece, unit, ends, best))
-        rate(np.unique(np.concatenate([touched, touched - 1])))
+        rate(np.concatenate([touched, touched - 1]))
     return final
 
 
