@@ -127,7 +127,7 @@ def differing_bits(left: np.ndarray, right: np.ndarray) -> int:
     return int(np.bitwise_count(left ^ right).sum())
 
 
-def set_key(shingles: np.ndarray) -> bytes:
+def set_name(shingles: np.ndarray) -> bytes:
     return blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
@@ -140,19 +140,20 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     texts = texts.select("id", F.coalesce("id", F.xxhash64("text")).alias("row"), "text", F.xxhash64("text").alias("hash"))
     with work_folder(spark, "jaccard") as folder:
         profiles = stage(_profiles(texts, shingle), "profiles", folder)
-        sets = (profiles.where("size > 0").groupBy("set").agg(F.min("id").alias("id"), F.first("size").alias("size")))
+        sets = profiles.where("size > 0").groupBy("name").agg(F.min("id").alias("id"), F.first("size").alias("size"))
         counts = {r["n"]: r["count"] for r in
                   sets.groupBy(F.least("size", F.lit(SMALL_AT_MOST + 1)).alias("n")).count().collect()}
         boundary = boundary_by_cost(counts, similarity)
-        keys = stage(_keys(texts, shingle, similarity, boundary, _frequent(profiles)).dropDuplicates(["set"]),
-                     "keys", folder)
+        keys = _keys(texts, shingle, similarity, boundary, _frequent(profiles)).dropDuplicates(["name"])
+        keys = stage(keys.withColumn("set", F.monotonically_increasing_id()), "keys", folder)
         links = stage(_subset_links(keys), "subsets", folder)
         links = _list_links(texts, shingle, similarity, keys, links, folder)
         named = connected_components(links).withColumnRenamed("node", "set")
-        lowest = sets.join(named, "set", "left").select("set", "id", F.coalesce("component", "set").alias("component"))
+        lowest = (sets.join(keys.select("name", "set"), "name").join(named, "set", "left")
+                  .select("name", "id", F.coalesce("component", "set").alias("component")))
         names = lowest.groupBy("component").agg(F.min("id").alias("component_id"))
-        of_set = lowest.join(names, "component").select("set", "component_id")
-        out = (profiles.join(of_set, "set", "left")
+        of_set = lowest.join(names, "component").select("name", "component_id")
+        out = (profiles.join(of_set, "name", "left")
                .select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"),
                        F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
                        *(["hash"] if with_hash else [])))
@@ -201,12 +202,12 @@ def _profiles(texts: DataFrame, shingle: int) -> DataFrame:
                             zip(values[often].view(np.int64).tolist(), counts[often].tolist())]
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), part.column(1), part.column(3), pa.array([len(s) for s in found], pa.int64()),
-                    pa.array([set_key(s) if len(s) else None for s in found], pa.binary()),
+                    pa.array([set_name(s) if len(s) else None for s in found], pa.binary()),
                     pa.array([frequent] + [None] * (len(found) - 1),
                              pa.list_(pa.struct([("shingle", pa.int64()), ("n", pa.int64())])))],
-                    names=["id", "row", "hash", "size", "set", "frequent"])
+                    names=["id", "row", "hash", "size", "name", "frequent"])
 
-    return texts.mapInArrow(run, "id long, row long, hash long, size long, set binary, frequent array<struct<shingle:long,n:long>>")
+    return texts.mapInArrow(run, "id long, row long, hash long, size long, name binary, frequent array<struct<shingle:long,n:long>>")
 
 
 def _frequent(profiles: DataFrame):
@@ -256,12 +257,12 @@ def _keys(texts: DataFrame, shingle: int, similarity: Similarity, boundary: int,
                             if len(s) >= listed else None for s in found]
                 yield pa.RecordBatch.from_arrays([
                     part.column(1).filter(pa.array(keep)), pa.array([len(s) for s in found], pa.int64()),
-                    pa.array([set_key(s) for s in found], pa.binary()),
+                    pa.array([set_name(s) for s in found], pa.binary()),
                     pa.array([parity_sketch(s) for s in found], pa.binary()), pa.array(prefixes, pa.list_(pa.int64())),
                     pa.array([subsets(s) if len(s) <= boundary else None for s in found], subset_type)],
-                    names=["row", "size", "set", "sketch", "prefix", "subsets"])
+                    names=["row", "size", "name", "sketch", "prefix", "subsets"])
 
-    return texts.mapInArrow(run, "row long, size long, set binary, sketch binary, prefix array<long>,"
+    return texts.mapInArrow(run, "row long, size long, name binary, sketch binary, prefix array<long>,"
                                  "subsets array<struct<small:int,large:int,value:long>>")
 
 
@@ -280,37 +281,37 @@ def _subset_links(keys: DataFrame) -> DataFrame:
 def _list_links(texts: DataFrame, shingle: int, similarity: Similarity, keys: DataFrame, links: DataFrame,
                 folder: str) -> DataFrame:
     """``links`` and those found in the inverted lists."""
-    entries = keys.select("set", "size", "row", F.posexplode("prefix").alias("at", "shingle"))
-    entries = _in_lists(entries, ["shingle"], folder, "shared")
-    entries = entries.withColumn("own", similarity.band("size")).withColumn(
-        "band", F.explode(F.array("own", F.col("own") + 1)))
-    entries = _in_lists(entries, ["shingle", "band"], folder, "banded")
-    heads = entries.groupBy("shingle", "band").agg(F.sum("size").alias("total"),
-                                                   F.min(F.struct("set", "size", "row", "at")).alias("head"))
-    entries = stage(entries.join(heads, ["shingle", "band"]), "entries", folder)
-    of_head = [F.col(f"head.{c}").alias(f"{c}_a") for c in ("set", "size", "row", "at")]
-    of_set = [F.col(c).alias(f"{c}_b") for c in ("set", "size", "row", "at")]
+    entries = keys.select("set", "size", F.posexplode("prefix").alias("at", "list"))
+    entries = _in_lists(entries, folder, "shared")
+    # A list is cut into bands of sizes; each set is in its own band and in the next, and ``home`` is its own.
+    entries = entries.withColumn("home", F.explode(F.array(F.lit(True), F.lit(False)))).withColumn(
+        "list", F.xxhash64("list", similarity.band("size") + F.when(F.col("home"), 0).otherwise(1)))
+    entries = _in_lists(entries, folder, "banded")
+    heads = entries.groupBy("list").agg(F.sum("size").alias("total"), F.min(F.struct("set", "size", "at")).alias("head"))
+    entries = stage(entries.join(heads, "list"), "entries", folder)
+    of_head = [F.col(f"head.{c}").alias(f"{c}_a") for c in ("set", "size", "at")]
+    of_set = [F.col(c).alias(f"{c}_b") for c in ("set", "size", "at")]
     stars = stage(_with_room(entries.select(*of_head, *of_set).where("set_a <> set_b"), similarity), "near", folder)
     stars = stage(_sketches_close(stars, keys, similarity), "close", folder)
-    links = links.unionByName(stage(_verified(texts, shingle, stars, similarity), "stars", folder))
+    links = links.unionByName(stage(_verified(texts, shingle, keys, stars, similarity), "stars", folder))
 
     named = connected_components(links).withColumnRenamed("node", "set")
     entries = entries.drop("head").join(named, "set", "left").withColumn("component", F.coalesce("component", "set"))
-    open_lists = (entries.groupBy("shingle", "band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-                  .where("low <> high").select("shingle", "band"))
-    entries = stage(entries.join(open_lists, ["shingle", "band"]), "open", folder)
+    open_lists = (entries.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+                  .where("low <> high").select("list"))
+    entries = stage(entries.join(open_lists, "list"), "open", folder)
     pairs = stage(_short_list_pairs(entries.where(F.col("n") <= SHORT_LIST), similarity), "met", folder)
     pairs = stage(_sketches_close(pairs, keys, similarity), "alike", folder)
-    links = links.unionByName(stage(_verified(texts, shingle, pairs, similarity), "pairs", folder))
+    links = links.unionByName(stage(_verified(texts, shingle, keys, pairs, similarity), "pairs", folder))
     long_lists = entries.where(F.col("n") > SHORT_LIST)
-    return links.unionByName(stage(_long_list_links(texts, shingle, long_lists, similarity), "blocks", folder))
+    return links.unionByName(stage(_long_list_links(texts, shingle, keys, long_lists, similarity), "blocks", folder))
 
 
-def _in_lists(entries: DataFrame, key: list[str], folder: str, purpose: str) -> DataFrame:
+def _in_lists(entries: DataFrame, folder: str, purpose: str) -> DataFrame:
     """Entries of lists with two and more, and their number ``n``; what stands alone is not shuffled with its columns."""
-    lists = stage(entries.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1"), f"{purpose}-lists", folder)
+    lists = stage(entries.groupBy("list").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), f"{purpose}-lists", folder)
     lists = F.broadcast(lists) if lists.count() <= BROADCAST_ROWS else lists
-    return stage(entries.drop("n").join(lists, key), purpose, folder)
+    return stage(entries.drop("n").join(lists, "list"), purpose, folder)
 
 
 def _sketches_close(pairs: DataFrame, keys: DataFrame, similarity: Similarity) -> DataFrame:
@@ -318,16 +319,15 @@ def _sketches_close(pairs: DataFrame, keys: DataFrame, similarity: Similarity) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for r, s, x, y in zip(*(batch.column(k).to_pylist() for k in range(4, 8))):
+            for r, s, x, y in zip(*(batch.column(k).to_pylist() for k in range(2, 6))):
                 bits = differing_bits(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8))
                 keep.append(bits <= r + s - 2 * similarity.overlap(r, s))
-            yield batch.select(["a", "b", "row_a", "row_b"]).filter(pa.array(keep, pa.bool_()))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     side = lambda k: keys.select(
         F.col("set").alias(k), F.col("size").alias(f"size_{k}"), F.col("sketch").alias(f"sketch_{k}"))
-    return (pairs.join(side("a"), "a").join(side("b"), "b")
-            .select("a", "b", "row_a", "row_b", "size_a", "size_b", "sketch_a", "sketch_b")
-            .mapInArrow(run, "a binary, b binary, row_a long, row_b long"))
+    return (pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "size_a", "size_b", "sketch_a", "sketch_b")
+            .mapInArrow(run, "a long, b long"))
 
 
 def _with_room(pairs: DataFrame, similarity: Similarity) -> DataFrame:
@@ -337,36 +337,36 @@ def _with_room(pairs: DataFrame, similarity: Similarity) -> DataFrame:
     test is exact: nothing that could reach the similarity is left out.
     """
     met = (pairs.where(similarity.sizes_fit("size_a", "size_b")).groupBy("set_a", "set_b", "size_a", "size_b")
-           .agg(F.count(F.lit(1)).alias("n"), F.max("at_a").alias("at_a"), F.max("at_b").alias("at_b"),
-                F.min("row_a").alias("row_a"), F.min("row_b").alias("row_b")))
+           .agg(F.count(F.lit(1)).alias("n"), F.max("at_a").alias("at_a"), F.max("at_b").alias("at_b")))
     room = F.col("n") + F.least(F.col("size_a") - F.col("at_a"), F.col("size_b") - F.col("at_b")) - 1
     needed = (F.col("size_a") + F.col("size_b")) * similarity.over
     return (met.where(room * (similarity.over + similarity.under) >= needed)
-            .select(F.col("set_a").alias("a"), F.col("set_b").alias("b"), "row_a", "row_b"))
+            .select(F.col("set_a").alias("a"), F.col("set_b").alias("b")))
 
 
-def _sets(texts: DataFrame, shingle: int, rows: DataFrame) -> DataFrame:
-    """Shingles of the sets of some rows, one row for each set, taken from the texts again rather than kept for all."""
-    rows = rows.distinct()
-    rows = F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
-    texts = texts.join(rows, "row", "left_semi").select("id", "row", "text")
+def _sets(texts: DataFrame, shingle: int, keys: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Shingles of some sets, one row for each, taken from the texts again rather than kept for all."""
+    rows = keys.join(wanted.distinct(), "set", "left_semi").select("row", "name", "set")
+    rows = F.broadcast(rows) if wanted.distinct().count() <= BROADCAST_ROWS // 4 else rows
+    texts = texts.join(rows, "row").select("text", "name", "set")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                found = [s for s in shingle_sets(Words(part.column(2), NOT_SPACE), shingle) if len(s)]
-                yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in found], pa.binary()),
-                                                  pa.array([s.tobytes() for s in found], pa.binary())],
+                found = list(shingle_sets(Words(part.column(0), NOT_SPACE), shingle))
+                mine = [set_name(s) == name for s, name in zip(found, part.column(1).to_pylist())]
+                yield pa.RecordBatch.from_arrays([part.column(2).filter(pa.array(mine, pa.bool_())),
+                                                  pa.array([s.tobytes() for s, m in zip(found, mine) if m], pa.binary())],
                                                  names=["set", "shingles"])
 
-    return texts.mapInArrow(run, "set binary, shingles binary").dropDuplicates(["set"])
+    return texts.mapInArrow(run, "set long, shingles binary").dropDuplicates(["set"])
 
 
-def _verified(texts: DataFrame, shingle: int, pairs: DataFrame, similarity: Similarity) -> DataFrame:
+def _verified(texts: DataFrame, shingle: int, keys: DataFrame, pairs: DataFrame, similarity: Similarity) -> DataFrame:
     """The pairs that reach the similarity."""
     over, under = similarity.over, similarity.under
-    rows = pairs.select(F.col("row_a").alias("row")).unionByName(pairs.select(F.col("row_b").alias("row")))
-    sets = _sets(texts, shingle, rows)
+    wanted = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set")))
+    sets = _sets(texts, shingle, keys, wanted)
     left = sets.select(F.col("set").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("set").alias("b"), F.col("shingles").alias("right"))
 
@@ -381,42 +381,42 @@ def _verified(texts: DataFrame, shingle: int, pairs: DataFrame, similarity: Simi
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return (pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-            .mapInArrow(run, "a binary, b binary"))
+            .mapInArrow(run, "a long, b long"))
 
 
 def _short_list_pairs(entries: DataFrame, similarity: Similarity) -> DataFrame:
     """Pairs of different components that meet in short lists."""
     side = lambda k: entries.select(
-        "shingle", "band", *[F.col(c).alias(f"{c}_{k}") for c in ("set", "size", "row", "at", "own", "component")])
-    pairs = (side("a").join(side("b"), ["shingle", "band"]).where("set_a < set_b AND component_a <> component_b")
-             .where("band = greatest(own_a, own_b)"))  # a pair that shares two bands counts once
+        "list", *[F.col(c).alias(f"{c}_{k}") for c in ("set", "size", "at", "home", "component")])
+    pairs = (side("a").join(side("b"), "list").where("set_a < set_b AND component_a <> component_b")
+             .where("home_a OR home_b"))  # a pair that shares two bands counts in one of them
     return _with_room(pairs, similarity)
 
 
-def _long_list_links(texts: DataFrame, shingle: int, entries: DataFrame, similarity: Similarity) -> DataFrame:
+def _long_list_links(texts: DataFrame, shingle: int, keys: DataFrame, entries: DataFrame,
+                     similarity: Similarity) -> DataFrame:
     """Links that join components, from long lists cut into blocks; each pair of blocks is one group."""
     over, under = similarity.over, similarity.under
-    sets = _sets(texts, shingle, entries.select("row"))
+    sets = _sets(texts, shingle, keys, entries.select("set"))
     blocks = F.ceil(F.col("total") * 8 / BLOCK_BYTES).cast("int")
     dealt = (entries.withColumn("blocks", blocks)
              .withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("shingle", "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                     "set", "component")
+             .select("list", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "set", "component")
              .join(sets, "set"))
 
     def scan(group: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(joining_links(group["set"].tolist(), group["component"].tolist(),
-                                          [np.frombuffer(s, dtype=np.uint64) for s in group["shingles"]],
-                                          over, under), columns=["a", "b"])
+        links = joining_links(group["set"].tolist(), group["component"].tolist(),
+                              [np.frombuffer(s, dtype=np.uint64) for s in group["shingles"]], over, under)
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
-    return dealt.groupBy("shingle", "band", "i", "j").applyInPandas(scan, "a binary, b binary")
+    return dealt.groupBy("list", "i", "j").applyInPandas(scan, "a long, b long")
 
 
 def joining_links(names: list, components: list, sets: list[np.ndarray], over: int, under: int) -> list[tuple]:
     """Links between sets of different groups, each of which joins two groups; inverted lists are scanned per set."""
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
-    groups = np.unique(np.array([bytes(c) for c in components], dtype=object), return_inverse=True)[1]
+    groups = np.unique(np.array(components), return_inverse=True)[1]
     owners = np.repeat(np.arange(len(sets)), sizes)
     _, column = np.unique(np.concatenate(sets), return_inverse=True)
     order = np.argsort(column, kind="stable")
@@ -430,6 +430,6 @@ def joining_links(names: list, components: list, sets: list[np.ndarray], over: i
         close = under * shared >= over * (sizes[at] + sizes - shared)
         for other in np.flatnonzero(close & (groups != groups[at])):
             if groups[other] != groups[at]:
-                links.append((bytes(names[at]), bytes(names[other])))
+                links.append((names[at], names[other]))
                 groups[groups == groups[other]] = groups[at]
     return links

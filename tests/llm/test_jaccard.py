@@ -116,7 +116,7 @@ def test_components_of_chains_and_stars(spark):
 def test_joining_links_form_a_forest():
     a = np.arange(100, dtype=np.uint64)
     sets = [a, a[:98], a[2:], np.arange(500, 600, dtype=np.uint64)]
-    assert len(jaccard.joining_links([b"1", b"2", b"3", b"4"], [b"1", b"2", b"3", b"4"], sets, 9, 10)) == 2
+    assert len(jaccard.joining_links([1, 2, 3, 4], [1, 2, 3, 4], sets, 9, 10)) == 2
 
 
 def test_sketches_never_overstate_the_difference():
