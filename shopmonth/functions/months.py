@@ -10,12 +10,25 @@ from pyspark.sql import functions as F
 # The published naming scheme of monthly tables and files.
 TABLE_PREFIX = "data_"
 FILE_SUFFIX = ".csv.gz"
+CSV_SUFFIXES = (".csv", ".csv.gz")
 FILE_NAME_LIKE = "data_____-___%.csv.gz"
 
 
+def utc_clock(instant: Column) -> Column:
+    """TIMESTAMP → what a clock in UTC shows then, as TIMESTAMP_NTZ; the session's zone plays no part."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
+
+
 def parse_event_time(column: Column | str) -> Column:
-    """Text → timestamp; text that does not parse becomes null instead of failing."""
-    return F.try_to_timestamp(column)
+    """Text → UTC time without a zone; text that does not parse becomes null instead of failing.
+
+    A zone behind the time counts, and text without one is UTC.
+    """
+    column = F.col(column) if isinstance(column, str) else column
+    has_zone = column.rlike(r":\d{1,2}(\.\d+)?\s*([A-Za-z]|[+-]\d)")
+    return F.when(has_zone, utc_clock(F.try_to_timestamp(F.when(has_zone, column)))).otherwise(
+        column.try_cast("timestamp_ntz"))
 
 
 def elapsed_days(start: Column | str, end: Column | str) -> Column:
@@ -88,9 +101,14 @@ def month_name(month: int) -> str:
     return "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec".split()[month - 1]
 
 
+def landed_stem(month: dt.date) -> str:
+    """Name of a month's landed folder, and of its file without suffix: ``2019-Oct``."""
+    return f"{month.year}-{month_name(month.month)}"
+
+
 def landed_file(month: dt.date) -> str:
     """Name of the landed raw file of a month: ``2019-Oct.csv.gz``."""
-    return f"{month.year}-{month_name(month.month)}{FILE_SUFFIX}"
+    return landed_stem(month) + FILE_SUFFIX
 
 
 def published_table(month: dt.date) -> str:

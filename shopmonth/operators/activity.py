@@ -11,17 +11,13 @@ from ..functions.months import elapsed_days
 from ..sources.schema import ACTIVITY_TYPES
 from .cleaning import keep_parsed_times
 
-# Decimal places kept when prices are summed as whole numbers.
-PRICE_DIGITS = 4
+def price_sum(column: str = "price", digits: int | None = None) -> Column:
+    """Sum of a money column; the doubles as they are.
 
-
-def price_sum(column: str = "price", digits: int | None = PRICE_DIGITS) -> Column:
-    """Sum of a money column.
-
-    Adding whole units of the last decimal place gives the same bits in any
-    order, so a rerun or another partitioning cannot change features or segments.
-    NaN counts as null and an overflow raises. ``digits=None`` adds the doubles as
-    they are.
+    Where the data is known to be money, ``digits=2`` adds whole units of that
+    decimal place: the same bits in any order of rows, so a rerun or another
+    partitioning cannot change features or segments. It rounds prices to that
+    place, takes NaN as null, and raises on overflow.
     """
     if digits is None:
         return F.sum(column)
@@ -35,7 +31,7 @@ def type_counts(types: Mapping[str, str] = ACTIVITY_TYPES) -> list[Column]:
 
 
 def user_activity(events: DataFrame, types: Mapping[str, str] = ACTIVITY_TYPES,
-                  digits: int | None = PRICE_DIGITS) -> DataFrame:
+                  digits: int | None = None) -> DataFrame:
     """Event counts by type, distinct sessions and the price sum of each user.
 
     With a single distinct aggregate Spark pre-aggregates by user and session in
@@ -54,12 +50,12 @@ def event_type_histogram(events: DataFrame) -> DataFrame:
     """Per user the occurring event types with their counts, as a map.
 
     It says what a list of all events of the user would say, but its size follows
-    the number of event types and not the number of events.
+    the number of event types and not the number of events. A user all of whose
+    types are null has an empty map.
     """
     counted = events.groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
-    entries = F.collect_list(F.struct("event_type", "n"))
-    return counted.where(F.col("event_type").isNotNull()).groupBy("user_id").agg(
-        F.map_from_entries(entries).alias("event_types"))
+    entries = F.collect_list(F.when(F.col("event_type").isNotNull(), F.struct("event_type", "n")))
+    return counted.groupBy("user_id").agg(F.map_from_entries(entries).alias("event_types"))
 
 
 def histogram_counts(histogram: DataFrame, types: Mapping[str, str] = ACTIVITY_TYPES) -> DataFrame:
@@ -73,7 +69,7 @@ def latest_event_time(events: DataFrame) -> DataFrame:
     return events.agg(F.max("event_time").alias("latest_time"))
 
 
-def rfm(events: DataFrame, digits: int | None = PRICE_DIGITS) -> DataFrame:
+def rfm(events: DataFrame, digits: int | None = None) -> DataFrame:
     """Days since the last event, number of sessions and price sum of each user.
 
     Days count back from the newest event of all. Rows without a time are left out.
@@ -84,7 +80,7 @@ def rfm(events: DataFrame, digits: int | None = PRICE_DIGITS) -> DataFrame:
 
 
 def user_profile(events: DataFrame, types: Mapping[str, str] = ACTIVITY_TYPES,
-                 digits: int | None = PRICE_DIGITS) -> DataFrame:
+                 digits: int | None = None) -> DataFrame:
     """RFM and activity of each user.
 
     Both parts group by user, so one grouping computes them and no join is needed.

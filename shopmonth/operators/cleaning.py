@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.months import parse_event_time
+from ..functions.months import parse_event_time, utc_clock
 from ..functions.text import normalize_text
 from ..sources.schema import KEY_COLUMNS, TEXT_COLUMNS
 from .quantiles import price_fence
@@ -51,10 +51,12 @@ def normalize_texts(df: DataFrame, columns: Sequence[str] = TEXT_COLUMNS) -> Dat
 
 
 def add_time_parts(df: DataFrame, column: str = "event_time") -> DataFrame:
-    """Parse the event time where it is text and add its year and month."""
-    if isinstance(df.schema[column].dataType, T.StringType):
+    """Parse the event time where it is text and add its year and month, by the UTC clock."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.StringType):
         df = df.withColumn(column, parse_event_time(column))
-    return df.withColumns({"event_year": F.year(column), "event_month": F.month(column)})
+    time = utc_clock(F.col(column)) if isinstance(kind, T.TimestampType) else F.col(column)
+    return df.withColumns({"event_year": F.year(time), "event_month": F.month(time)})
 
 
 def clean_events(raw: DataFrame, bounds: tuple[float, float] | None = None,

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.classification import GBTClassifier, OneVsRest, OneVsRestModel
 from pyspark.ml.clustering import KMeans
@@ -65,18 +67,42 @@ def bootstrap_sample(df: DataFrame, rows: int = SILHOUETTE_SAMPLE, seed: int = 4
 def bootstrap_sample_exact(df: DataFrame, rows: int = SILHOUETTE_SAMPLE, seed: int = 42) -> DataFrame:
     """Exactly ``rows`` rows drawn with replacement.
 
-    Draws enough rows that falling short is practically impossible, then keeps a
-    random part of them; more are drawn if it happens nevertheless.
+    Every row stands for a slot, numbered within its partition. How many draws each
+    partition gets is a multinomial draw over the partitions' sizes, one number per
+    partition on the driver; which of its rows they hit is drawn where the rows are.
+    Nothing is sorted or gathered, and ``df`` should be a stored table, since its
+    rows must come in the same partitions twice.
     """
-    total = df.count()
+    number = df.select("*", F.spark_partition_id().alias("_part"))
+    sizes = number.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).orderBy("_part").collect()
+    total = sum(row.n for row in sizes)
     if total == 0:
         return df
-    wanted = rows + 6 * rows ** 0.5 + 20
-    while True:
-        drawn = df.sample(True, wanted / total, seed)
-        if drawn.count() >= rows:
-            return drawn.orderBy(F.rand(seed)).limit(rows)
-        wanted *= 1.5
+    generator = np.random.default_rng(seed)
+    drawn = generator.multinomial(rows, [row.n / total for row in sizes])
+    wanted = {row._part: (int(row.n), int(k)) for row, k in zip(sizes, drawn)}
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, start = None, 0
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            if counts is None:
+                part = batch.column(batch.num_columns - 1)[0].as_py()
+                size, hits = wanted[part]
+                counts = np.bincount(np.random.default_rng((seed, part)).integers(0, size, hits), minlength=size)
+            times = counts[start:start + batch.num_rows]
+            start += batch.num_rows
+            picked = pa.array(np.repeat(np.arange(batch.num_rows), times))
+            yield batch.select(batch.schema.names[:-1]).take(picked)
+
+    return number.mapInArrow(draw, df.schema)
+
+
+def bounded_training(rows: DataFrame, limit: int | None, seed: int = 42) -> DataFrame:
+    """All labelled rows, or about ``limit`` of them, drawn evenly; a bound on training, not on scoring."""
+    total = rows.count() if limit else 0
+    return rows.sample(False, limit / total, seed) if limit and total > limit else rows
 
 
 @dataclass(frozen=True)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_SHARE = 1e-4
+HOT_SHARE = 1e-4   # at most this; less where there are more shuffle partitions
 HOT_ROWS = 1_000_000
 
 _ROW_OVERHEAD = 32
@@ -31,19 +31,26 @@ def size_bound(df: DataFrame) -> int | None:
     return rows * (fixed + sum(lengths))
 
 
-def hot_keys(facts: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int = HOT_ROWS) -> list:
+def hot_keys(facts: DataFrame, key: str, share: float | None = None, min_rows: int = HOT_ROWS) -> list:
     """Keys that hold more than ``share`` of all rows and more than ``min_rows``, null included.
 
-    There are fewer than ``1 / share`` of them by construction, so the list is
-    bounded; the counts are combined in the map tasks.
+    By default the share is that of one shuffle partition, so that no key alone
+    outweighs a partition. There are fewer than ``1 / share`` of them by
+    construction, so the list is bounded; the counts are combined in the map
+    tasks, and the total comes from the same pass.
     """
-    bound = max(facts.count() * share, min_rows)
+    if share is None:
+        share = min(HOT_SHARE, 1 / max(1, int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     counts = facts.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    large = counts.agg(F.sum("n").alias("total"), F.max("n").alias("largest")).first()
+    bound = max((large.total or 0) * share, min_rows)
+    if (large.largest or 0) <= bound:
+        return []
     return [row[0] for row in counts.where(F.col("n") > bound).select(key).collect()]
 
 
 def join_facts(facts: DataFrame, dim: DataFrame, key: str, how: str = "left",
-               broadcast_bytes: int = BROADCAST_BYTES, hot_share: float = HOT_SHARE,
+               broadcast_bytes: int = BROADCAST_BYTES, hot_share: float | None = None,
                hot_rows: int = HOT_ROWS) -> DataFrame:
     """Join a large table with one that holds each key at most once.
 

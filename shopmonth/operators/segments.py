@@ -46,6 +46,8 @@ def fit_segments(features: DataFrame, k: int = DEFAULT_K, seed: int = DEFAULT_SE
     of ``order_by``; None keeps the raw numbers.
     """
     require_columns(features, columns)
+    if order_by is not None and order_by not in columns:
+        raise ValueError(f"order_by must be one of the columns or None, not {order_by!r}")
     stages = scaling_stages(columns)
     vector = "scaled_vector"
     if pca_components:
@@ -98,8 +100,12 @@ def name_segments(segments: DataFrame, names: dict[int, str] = SEGMENT_NAMES,
 
 
 def join_segment_names(segments: DataFrame, names: DataFrame, default: str = OTHER_SEGMENT) -> DataFrame:
-    """Names from a table with one row per cluster instead of a literal map."""
-    return (segments.join(F.broadcast(names), "cluster", "left")
+    """Names from a table instead of a literal map; a cluster with several names gets the first by the alphabet.
+
+    Broadcast only while the measured size allows it.
+    """
+    names = names.groupBy("cluster").agg(F.min("cluster_name").alias("cluster_name"))
+    return (join_facts(segments, names, "cluster", "left")
             .withColumn("cluster_name", F.coalesce("cluster_name", F.lit(default))))
 
 

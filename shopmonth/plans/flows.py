@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 from ..functions.months import published_table, shift_month
 from ..operators.activity import user_activity, user_profile
 from ..operators.cleaning import clean_events
-from ..operators.evaluation import (LEARNING_RATES, SILHOUETTE_SAMPLE, TREE_COUNTS, TREE_DEPTHS,
-                                    SearchResult, bootstrap_sample, cross_validate, elbow_table,
+from ..operators.evaluation import (LEARNING_RATES, TREE_COUNTS, TREE_DEPTHS, SearchResult,
+                                    bootstrap_sample, bounded_training, cross_validate, elbow_table,
                                     search_classifier, silhouette, training_rows)
 from ..operators.months import PENDING_WINDOW, pending_months
-from ..operators.registry import load_latest_model, save_model
+from ..operators.registry import latest_model_version, load_latest_model, save_model
 from ..operators.retention import (KEEP_MONTHS, active_users, require_active, retention_report,
                                    surviving_old_rows)
 from ..operators.segments import (DEFAULT_K, DEFAULT_SEED, SEGMENT_NAMES, assign_segments,
@@ -26,10 +26,12 @@ from ..operators.segments import (DEFAULT_K, DEFAULT_SEED, SEGMENT_NAMES, assign
 from ..sources.files import read_landed_folder, read_landed_month, read_month
 from ..sources.ledger import append_months, read_ledger
 from ..sources.schema import ACTIVITY_TYPES, FEATURE_COLUMNS, require_rows
-from ..sources.sinks import drop_path_month, write_jdbc, write_month, write_months
+from ..sources.sinks import drop_path_month, export_csv_file, write_jdbc, write_month, write_months
+from ..sources.storage import path_exists
 from ..sources.workdir import stage, work_folder
 
 EXPIRY_MONTHS = 13
+SOURCE_FILE = "source_file"
 REPORT_K = 5
 
 
@@ -60,18 +62,38 @@ class Store:
 
 
 def stored_month(spark: SparkSession, path: str, month: dt.date) -> DataFrame:
-    """One month of a stored table without its partition column."""
-    return read_month(spark.read.parquet(path), month).drop("month")
+    """One month of a stored table without its partition column and the name of its landed file.
+
+    Months may differ in their extra columns: those of this month are read.
+    """
+    one = f"{path.rstrip('/')}/month={month.isoformat()}"
+    if path_exists(spark, one):
+        return spark.read.parquet(one).drop(SOURCE_FILE)
+    return read_month(spark.read.parquet(path), month).drop("month", SOURCE_FILE)
 
 
 def copy_raw_month(raw: DataFrame, store: Store, month: dt.date) -> None:
-    """Keep the landed rows as they are, as splittable Parquet."""
-    write_month(raw, store.raw, month)
+    """Keep the landed rows as they are, as splittable Parquet of even files.
+
+    ``source_file`` says which file a row landed in; it is null where the rows do
+    not bring it along.
+    """
+    if SOURCE_FILE not in raw.columns:
+        raw = raw.withColumn(SOURCE_FILE, F.lit(None).cast("string"))
+    write_month(raw.hint("rebalance"), store.raw, month)
 
 
 def copy_raw_folder(spark: SparkSession, landing: str, store: Store) -> None:
-    """Keep all landed files below a folder in one job, each row with its file name."""
-    write_months(read_landed_folder(spark, landing), store.raw)
+    """Keep all landed files below a folder in one job, in the layout of ``copy_raw_month``.
+
+    Months are replaced as a whole. A file whose name or folder gives no month is
+    refused before anything is written.
+    """
+    rows = read_landed_folder(spark, landing)
+    unlabelled = rows.where("month IS NULL").select(SOURCE_FILE).first()
+    if unlabelled:
+        raise ValueError(f"no month in the name of {unlabelled[0]}")
+    write_months(rows.hint("rebalance", "month"), store.raw)
 
 
 def clean_month(spark: SparkSession, store: Store, month: dt.date, **options) -> None:
@@ -81,19 +103,20 @@ def clean_month(spark: SparkSession, store: Store, month: dt.date, **options) ->
 
 
 def stored_features(events: DataFrame, types: Mapping[str, str] = ACTIVITY_TYPES,
-                    folder: str | None = None) -> DataFrame:
+                    folder: str | None = None, digits: int | None = None) -> DataFrame:
     """Per-user features as a stored table, sorted within its files.
 
-    K-means starts from a sample that depends on the order of rows, so a fixed
-    order makes a rerun give the same segments.
+    K-means starts from a sample that depends on the order of rows. With the same
+    partitioning a rerun gives the same segments; other file sizes or another
+    number of partitions may start it elsewhere.
     """
-    return stage(user_activity(events, types).sortWithinPartitions("user_id"), "features", folder)
+    return stage(user_activity(events, types, digits).sortWithinPartitions("user_id"), "features", folder)
 
 
 def segment_month(spark: SparkSession, store: Store, month: dt.date, k: int = DEFAULT_K,
                   seed: int = DEFAULT_SEED, types: Mapping[str, str] = ACTIVITY_TYPES,
-                  mode: str = "train") -> PipelineModel:
-    """Cleaned month → published month with a segment on every event.
+                  mode: str = "train", digits: int | None = None) -> PipelineModel:
+    """Cleaned month → published month with a segment and the model's version on every event.
 
     The per-user features are stored before the fit, which reads them many times.
     ``mode="reuse"`` scores with the latest saved model instead of training.
@@ -102,13 +125,15 @@ def segment_month(spark: SparkSession, store: Store, month: dt.date, k: int = DE
         raise ValueError(f"unknown mode {mode!r}")
     events = require_rows(stored_month(spark, store.cleaned, month), f"cleaned month {month}")
     with work_folder(spark, "segment") as folder:
-        features = stored_features(events, types, folder)
+        features = stored_features(events, types, folder, digits)
         if mode == "train":
             model = fit_segments(features, k, seed)
-            save_model(model, spark, store.models(k))
+            version = int(save_model(model, spark, store.models(k)).rpartition("/v")[2])
         else:
+            version = latest_model_version(spark, store.models(k))
             model = load_latest_model(spark, store.models(k))
-        write_month(join_segments(events, assign_segments(model, features)), store.published, month)
+        published = join_segments(events, assign_segments(model, features))
+        write_month(published.withColumn("model_version", F.lit(version)), store.published, month)
     return model
 
 
@@ -121,18 +146,20 @@ def publish_month_jdbc(spark: SparkSession, store: Store, month: dt.date, url: s
 def process_month(raw: DataFrame, store: Store, month: dt.date, k: int = DEFAULT_K,
                   types: Mapping[str, str] = ACTIVITY_TYPES, mode: str = "train",
                   publish: Callable[[SparkSession, Store, dt.date], None] | None = None,
-                  **cleaning) -> None:
+                  digits: int | None = None, **cleaning) -> None:
     """Raw copy, clean, segment, publish; the ledger entry comes last.
 
     ``publish`` may carry the published month on, for example over JDBC.
 
     Each step replaces its month as a whole, so a run that broke off is repeated
-    without a trace of the first attempt.
+    without a trace of the first attempt in the tables; a model that the first
+    attempt had saved stays as a version of its own, and the published rows name
+    the version they come from.
     """
     spark = raw.sparkSession
     copy_raw_month(raw, store, month)
     clean_month(spark, store, month, **cleaning)
-    segment_month(spark, store, month, k, types=types, mode=mode)
+    segment_month(spark, store, month, k, types=types, mode=mode, digits=digits)
     if publish:
         publish(spark, store, month)
     append_months(spark, store.ledger, spark.createDataFrame([(month,)], "month date"))
@@ -155,7 +182,7 @@ def process_pending(spark: SparkSession, landing: str, store: Store, as_of: dt.d
             outcome.append((row.month, "done", None))
         except Exception as error:
             traceback.print_exc()
-            outcome.append((row.month, "failed", str(error)[:1000]))
+            outcome.append((row.month, "failed", str(error)))
     return spark.createDataFrame(outcome, "month date, status string, error string")
 
 
@@ -173,7 +200,7 @@ def run_retention(spark: SparkSession, path: str, as_of: dt.date, user: str = "u
     with work_folder(spark, "retention") as folder:
         active = stage(active_users(events, as_of, user, keep=keep), "active", folder)
         require_active(active, allow_empty)
-        report = stage(retention_report(events, active, as_of, user, keep=keep), "retention-report")
+        report = settled_report(stage(retention_report(events, active, as_of, user, keep=keep), "report", folder))
         changed = report.where("deleted_rows > 0").select("month", "rows_before", "deleted_rows").collect()
         if changed:
             affected = events.where(F.col("month").isin([row.month for row in changed]))
@@ -185,6 +212,11 @@ def run_retention(spark: SparkSession, path: str, as_of: dt.date, user: str = "u
     return report
 
 
+def settled_report(report: DataFrame) -> DataFrame:
+    """One row per month, as literals: the report outlives the folder of the run."""
+    return report.sparkSession.createDataFrame(report.collect(), report.schema)
+
+
 @dataclass(frozen=True)
 class SegmentReport:
     users: DataFrame
@@ -195,27 +227,37 @@ class SegmentReport:
     accuracy: float | None
 
 
-def segment_report(events: DataFrame, k: int = REPORT_K, seed: int = DEFAULT_SEED,
+def segment_report(events: DataFrame, folder: str, k: int = REPORT_K, seed: int = DEFAULT_SEED,
                    types: Mapping[str, str] = ACTIVITY_TYPES, names: Mapping[int, str] = SEGMENT_NAMES,
-                   components: int = 2, max_k: int = 10, sample_rows: int | None = SILHOUETTE_SAMPLE,
+                   components: int = 2, max_k: int = 10, sample_rows: int | None = None,
                    classify: bool = True, depths: Sequence[int] = TREE_DEPTHS,
                    rates: Sequence[float] = LEARNING_RATES, trees: Sequence[int] = TREE_COUNTS,
-                   search_folds: int = 3, folds: int = 5) -> SegmentReport:
+                   search_folds: int = 3, folds: int = 5, training_limit: int | None = None,
+                   digits: int | None = None) -> SegmentReport:
     """Named segments from k-means on principal components, with their quality.
 
-    ``sample_rows=None`` takes the silhouette over all users.
+    The tables it makes go to ``folder``, which belongs to the caller and holds the
+    users that are returned. The silhouette is over all users; ``sample_rows`` takes
+    it over a bootstrap sample. ``training_limit`` bounds the labelled rows that the
+    classifier search trains on, spread evenly over all users; everything else
+    covers all of them.
     """
-    profile = stage(user_profile(events, types).sortWithinPartitions("user_id"), "profile")
+    profile = stage(user_profile(events, types, digits).sortWithinPartitions("user_id"), "profile", folder)
     require_rows(profile, "user profile")
     model = fit_segments(profile, k, seed, pca_components=components)
     labelled = stage(model.transform(profile).select(
-        "user_id", *FEATURE_COLUMNS, "pca_vector", "cluster"), "labelled")
+        "user_id", *FEATURE_COLUMNS, "pca_vector", "cluster"), "labelled", folder)
     users = name_segments(labelled, names).select("user_id", *FEATURE_COLUMNS, "cluster", "cluster_name")
     scored = bootstrap_sample(labelled, sample_rows, seed) if sample_rows else labelled
     search = accuracy = None
     if classify:
-        rows = stage(training_rows(labelled), "training")
+        rows = stage(bounded_training(training_rows(labelled), training_limit, seed), "training", folder)
         search = search_classifier(rows, depths, rates, trees, search_folds, seed=seed)
         accuracy = cross_validate(rows, search.depth, search.rate, search.trees, folds, seed=seed)
     return SegmentReport(users, explained_variance(model), elbow_table(labelled, "pca_vector", max_k, seed),
                          silhouette(scored, "pca_vector"), search, accuracy)
+
+
+def write_report(report: SegmentReport, folder: str, name: str = "segments.csv.gz") -> str:
+    """The named segments as one file for people; returns its path."""
+    return export_csv_file(report.users, folder, name)

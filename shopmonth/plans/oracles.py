@@ -157,7 +157,7 @@ ORACLES = {
     "iqr_bounds_exact": _BOUNDS,
     "iqr_bounds_narrowed": _BOUNDS,
     "iqr_bounds_head": """
-        WITH head AS (SELECT value FROM events ORDER BY event_id LIMIT 100000),
+        WITH head AS (SELECT value FROM events ORDER BY event_id LIMIT 500),
         quartiles AS (SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM head),
         fence AS (SELECT q1, q3, q1 - 1.5 * (q3 - q1) AS lower_bound,
                          q3 + 1.5 * (q3 - q1) AS upper_bound FROM quartiles)
@@ -252,4 +252,41 @@ ORACLES = {
     "monthly_flow": "WITH " + _DIRTY + "," + _FENCE + "," + _KEPT + """
         SELECT *, CAST(date_trunc('month', (SELECT max(ts) FROM events)) AS DATE) AS month,
                true AS has_segment FROM clean""",
+    "landed_month": "WITH " + _DIRTY + """
+        SELECT strftime(event_time, '%Y-%m-%d %H:%M:%S.%f') || ' UTC' AS event_time, event_type, product_id, category_code,
+               brand, price, user_id, user_session,
+               CASE WHEN event_type = 'purchase' THEN CAST(product_id * 10 AS VARCHAR) END AS category_id FROM dirty""",
+    "landed_folder": "WITH " + _DIRTY + """
+        SELECT '2024-Feb/a b' AS place, DATE '2024-02-01' AS month, count(*) AS n FROM dirty WHERE event_type = 'purchase'
+        UNION ALL
+        SELECT 'deep/2024-Mar', DATE '2024-03-01', count(*) FROM dirty WHERE event_type = 'view'""",
+    "pending_flow": "WITH " + _DIRTY + "," + _FENCE + "," + _KEPT + """,
+        bought AS (SELECT * FROM dirty WHERE event_type = 'purchase'),""" + (_FENCE + "," + _KEPT).replace(
+        "dirty", "bought").replace("quartiles", "quartiles_b").replace("fence", "fence_b").replace(
+        "kept", "kept_b").replace("clean ", "clean_b ") + """,
+        newest AS (SELECT CAST(date_trunc('month', max(ts)) AS DATE) AS month FROM events)
+        SELECT clean.*, month FROM clean, newest
+        UNION ALL SELECT clean_b.*, CAST(month - INTERVAL 1 MONTH AS DATE) FROM clean_b, newest""",
+    "catalog_publish": "WITH " + _MONTHLY + f"""
+        SELECT {_ORDER}, month FROM monthly, newest
+        WHERE month = as_of_month - INTERVAL 1 MONTH OR (month = as_of_month AND o_orderstatus = 'F')""",
+    "event_types_with_nulls": """
+        SELECT user_id, """ + ", ".join(
+        f"count(*) FILTER (WHERE event_type = '{t}' AND user_id % 7 <> 0) AS {c}"
+        for c, t in (("views", "view"), ("carts", "click"), ("removals", "error"), ("purchases", "purchase"))) + """
+        FROM events GROUP BY user_id""",
+    "event_times_by_zone": """
+        SELECT event_id, date_trunc('second', ts) AS event_time, CAST(year(ts) AS INTEGER) AS event_year,
+               CAST(month(ts) AS INTEGER) AS event_month FROM events""",
+    "emptied_month": "WITH " + _RETENTION + """,
+        oldest AS (SELECT min(month) AS first FROM split)
+        SELECT month, count(*) AS n FROM split, newest, oldest
+        WHERE month <> as_of_month - INTERVAL 13 MONTH AND month <> first
+          AND (recent OR o_custkey IN (SELECT o_custkey FROM active)) GROUP BY month""",
+    "bootstrap_size": """
+        SELECT 2 * count(DISTINCT user_id) AS drawn, CAST(0 AS BIGINT) AS strangers FROM events""",
+    "model_roundtrip": """
+        SELECT count(DISTINCT user_id) AS users, CAST(0 AS BIGINT) AS changed FROM events""",
+    "segments_by_spending": """
+        SELECT CAST(4 AS BIGINT) AS segments, CAST(0 AS BIGINT) AS falling FROM events LIMIT 1""",
 }

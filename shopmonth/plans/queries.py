@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.months import expired_month, file_name, month_label, month_start, shift_month, table_label
+from ..functions.months import (expired_month, file_name, landed_stem, month_label, month_start, shift_month,
+                                table_label)
 from ..functions.text import array_count
 from ..operators import activity, cleaning, evaluation, months, quantiles, registry, retention, scoring, segments
 from ..operators.joins import HOT_SHARE
@@ -26,7 +29,8 @@ from .testbed import (EVENT_TYPES, ORDER_COLUMNS, busy_months, dirty_events, dir
 # a light, a middle and a heavy user.
 CENTROID_COLUMNS = ("purchases", "total_spent")
 CENTROIDS = ((10.0, 2000.0), (13.0, 3000.0), (16.0, 4000.0))
-HEAD_ROWS = 100_000
+HEAD_ROWS = 500  # fewer than any of the tables, so that the head cuts
+MONEY_DIGITS = 2   # the given prices are money
 
 _PARSED = T.StructType([T.StructField("event_time", T.TimestampNTZType())] + RAW_EVENTS.fields[1:])
 
@@ -51,9 +55,9 @@ def month_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- cleaning --------------------------------------------------------------
 
-def _raw_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored raw layer, which the fence and the cleaning both read."""
-    return stage(dirty_events(spark, sf_dir), "raw")
+def _bounds(spark: SparkSession, sf_dir: str, method: str = "exact") -> tuple[float, float]:
+    """The fence from the one price column; the rows themselves are then read once, with it as a literal."""
+    return quantiles.price_fence(dirty_prices(spark, sf_dir), method=method)
 
 
 def fill_and_drop_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,8 +77,7 @@ def valid_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def within_fence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = _raw_copy(spark, sf_dir)
-    return cleaning.keep_within_fence(raw, *quantiles.price_fence(raw, method="exact"))
+    return cleaning.keep_within_fence(dirty_events(spark, sf_dir), *_bounds(spark, sf_dir))
 
 
 def normalized_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,15 +94,15 @@ def parsed_event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.clean_events(_raw_copy(spark, sf_dir), method="exact")
+    return cleaning.clean_events(dirty_events(spark, sf_dir), _bounds(spark, sf_dir))
 
 
 def clean_events_dedup_last(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.clean_events(_raw_copy(spark, sf_dir), method="exact", dedup_after_normalize=True)
+    return cleaning.clean_events(dirty_events(spark, sf_dir), _bounds(spark, sf_dir), dedup_after_normalize=True)
 
 
 def clean_events_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.clean_events(_raw_copy(spark, sf_dir))
+    return cleaning.clean_events(dirty_events(spark, sf_dir), _bounds(spark, sf_dir, "approx"))
 
 
 # --- quantiles -------------------------------------------------------------
@@ -146,7 +149,7 @@ def iqr_bounds_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- user features ---------------------------------------------------------
 
 def user_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return activity.user_activity(shop_events(spark, sf_dir), EVENT_TYPES)
+    return activity.user_activity(shop_events(spark, sf_dir), EVENT_TYPES, MONEY_DIGITS)
 
 
 def event_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,22 +166,23 @@ def latest_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rfm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return activity.rfm(shop_events(spark, sf_dir))
+    return activity.rfm(shop_events(spark, sf_dir), MONEY_DIGITS)
 
 
 def user_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return activity.user_profile(shop_events(spark, sf_dir), EVENT_TYPES)
+    return activity.user_profile(shop_events(spark, sf_dir), EVENT_TYPES, MONEY_DIGITS)
 
 
 def rfm_join_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = shop_events(spark, sf_dir)
-    return activity.join_rfm_activity(activity.rfm(events), activity.user_activity(events, EVENT_TYPES))
+    return activity.join_rfm_activity(activity.rfm(events, MONEY_DIGITS),
+                                      activity.user_activity(events, EVENT_TYPES, MONEY_DIGITS))
 
 
 # --- segments --------------------------------------------------------------
 
 def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flows.stored_features(shop_events(spark, sf_dir), EVENT_TYPES)
+    return flows.stored_features(shop_events(spark, sf_dir), EVENT_TYPES, digits=MONEY_DIGITS)
 
 
 def _fixed_segments(features: DataFrame) -> DataFrame:
@@ -295,8 +299,15 @@ def segment_classifier_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def segment_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = flows.segment_report(shop_events(spark, sf_dir), types=EVENT_TYPES, max_k=3, classify=False)
-    return report.users
+    """The report as its file has it: default clusters, full elbow, silhouette over all users.
+
+    The classifier search in full is hours of boosted trees; ``segment_classifier_cv``
+    runs it with two settings.
+    """
+    folder = new_folder(spark, "report")
+    report = flows.segment_report(shop_events(spark, sf_dir), folder, types=EVENT_TYPES, classify=False, digits=MONEY_DIGITS)
+    path = flows.write_report(report, folder)
+    return files.read_exported_csv(spark, path, report.users.schema)
 
 
 def score_new_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -307,7 +318,7 @@ def score_new_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = activity.user_activity(orders.select(
         F.col("o_custkey").alias("user_id"), F.col("o_orderstatus").alias("event_type"),
         F.col("o_totalprice").alias("price"), F.col("o_orderdate").cast("string").alias("user_session")),
-        {"views": "O", "carts": "P", "removals": "X", "purchases": "F"})
+        {"views": "O", "carts": "P", "removals": "X", "purchases": "F"}, MONEY_DIGITS)
     return scoring.score_customers(customers, model)
 
 
@@ -466,7 +477,7 @@ def month_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "export")
     sinks.export_csv(dirty_events(spark, sf_dir), path)
-    return files.read_events_csv(spark, path, _PARSED)
+    return files.read_exported_csv(spark, path, _PARSED)
 
 
 def append_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -475,7 +486,7 @@ def append_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "append")
     sinks.append_csv(raw.where("event_type = 'purchase'"), path)
     sinks.append_csv(raw.where("event_type <> 'purchase'"), path)
-    return files.read_events_csv(spark, path, _PARSED)
+    return files.read_exported_csv(spark, path, _PARSED)
 
 
 def raw_copy_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -504,20 +515,131 @@ def monthly_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw copy, clean, segment, publish, ledger; the published month without the segment ids."""
     store = flows.Store(new_folder(spark, "store"))
     month = _event_month(spark, sf_dir)
-    flows.process_month(dirty_events(spark, sf_dir), store, month, types=EVENT_TYPES, method="exact")
+    flows.process_month(dirty_events(spark, sf_dir), store, month, types=EVENT_TYPES, method="exact",
+                        digits=MONEY_DIGITS)
     published = spark.read.parquet(store.published).join(
         F.broadcast(ledger.read_ledger(spark, store.ledger)), "month", "left_semi")
-    return published.withColumn("has_segment", F.col("cluster").isNotNull()).drop("cluster")
+    return published.withColumn("has_segment", F.col("cluster").isNotNull()).drop("cluster", "model_version")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned events with the k-means segment of their user."""
-    cleaned = stage(cleaning.clean_events(_raw_copy(spark, sf_dir)), "cleaned")
-    features = flows.stored_features(cleaned, EVENT_TYPES)
+    cleaned = stage(clean_events_approx(spark, sf_dir), "cleaned")
+    features = flows.stored_features(cleaned, EVENT_TYPES, digits=MONEY_DIGITS)
     model = segments.fit_segments(features)
     return segments.join_segments(cleaned, segments.assign_segments(model, features))
 
 
+def _land(spark: SparkSession, rows: DataFrame, place: str, columns: list[str] | None = None) -> None:
+    """Dirty events as landed text files, with times as text in UTC."""
+    text = F.concat(F.date_format("event_time", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit(" UTC"))
+    sinks.export_csv(rows.withColumn("event_time", text).select(*(columns or RAW_EVENTS.names)), place)
+
+
+def landed_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A month landed as several files in two layouts, one with its columns turned round and one more of them."""
+    raw, base, month = dirty_events(spark, sf_dir), new_folder(spark, "landing"), _event_month(spark, sf_dir)
+    place = f"{base}/{landed_stem(month)}"
+    extra = raw.where("event_type = 'purchase'").withColumn("category_id", F.col("product_id") * 10)
+    _land(spark, extra, f"{place}/purchases", ["category_id", *reversed(RAW_EVENTS.names)])
+    _land(spark, raw.where("event_type <> 'purchase'"), f"{place}/other ones")
+    return files.read_landed_month(spark, base, month)
+
+
+def landed_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and months by landed folder, names with blanks and signs included."""
+    raw, base = dirty_events(spark, sf_dir), new_folder(spark, "landing dir+%41")
+    _land(spark, raw.where("event_type = 'purchase'"), f"{base}/2024-Feb/a b")
+    _land(spark, raw.where("event_type = 'view'"), f"{base}/deep/2024-Mar")
+    found = files.read_landed_folder(spark, base)
+    place = F.regexp_replace("source_file", "/[^/]*$", "")
+    return found.groupBy(place.alias("place"), "month").agg(F.count(F.lit(1)).alias("n"))
+
+
+def pending_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two landed months through the whole flow; the published tables without the segment ids."""
+    raw, base, month = dirty_events(spark, sf_dir), new_folder(spark, "flow"), _event_month(spark, sf_dir)
+    _land(spark, raw, f"{base}/landing/{landed_stem(month)}")
+    _land(spark, raw.where("event_type = 'purchase'"), f"{base}/landing/{landed_stem(shift_month(month, -1))}")
+    store = flows.Store(f"{base}/store")
+    for _ in range(2):  # the second run finds nothing pending
+        flows.process_pending(spark, f"{base}/landing", store, month, window=2, types=EVENT_TYPES, method="exact",
+                              digits=MONEY_DIGITS, k=2)
+    return (spark.read.parquet(store.published).where("cluster IS NOT NULL AND model_version IN (1, 2)")
+            .drop("cluster", "model_version"))
+
+
+def catalog_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two months published, one of them again with fewer rows; the other stays."""
+    orders = monthly_orders(spark, sf_dir)
+    newest, name = shift_month(newest_order_date(orders), 0), f"published_{uuid.uuid4().hex}"
+    sinks.save_catalog_table(files.read_month(orders, shift_month(newest, -1)), name)
+    sinks.save_catalog_table(files.read_month(orders, newest), name)
+    sinks.save_catalog_table(files.read_month(orders, newest).where("o_orderstatus = 'F'"), name)
+    try:
+        return stage(spark.table(name).select(*orders.columns), "published")
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def event_types_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts by type where every seventh user has no type on any event."""
+    events = shop_events(spark, sf_dir).withColumn("event_type", F.expr("CASE WHEN user_id % 7 <> 0 THEN event_type END"))
+    return activity.histogram_counts(activity.event_type_histogram(events), EVENT_TYPES)
+
+
+def event_times_by_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times landed in several zones, parsed by a session that is far from UTC."""
+    away = spark.newSession()
+    events = table(away, sf_dir, "events")
+    away.conf.set("spark.sql.session.timeZone", "America/New_York")
+    zone = F.element_at(F.array(*map(F.lit, (" UTC", "Z", "", "+00:00"))), (F.col("event_id") % 4 + 1).cast("int"))
+    landed = events.select("event_id", F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), zone).alias("event_time"))
+    return cleaning.add_time_parts(landed)
+
+
+def emptied_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retention where the oldest month has inactive users only: the month goes."""
+    orders = monthly_orders(spark, sf_dir)
+    as_of = newest_order_date(orders)
+    oldest = orders.agg(F.min("month")).first()[0]
+    active = retention.active_users(orders, as_of, "o_custkey", "o_orderdate")
+    kept = orders.where(F.col("month") != oldest).unionByName(
+        orders.where(F.col("month") == oldest).join(active, "o_custkey", "left_anti").select(*orders.columns))
+    path = _stored_orders(spark, kept)
+    flows.run_retention(spark, path, as_of, "o_custkey")
+    return spark.read.parquet(path).groupBy("month").agg(F.count(F.lit(1)).alias("n"))
+
+
+def bootstrap_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Draws in all, and draws of users that are not there."""
+    features = _features(spark, sf_dir)
+    drawn = evaluation.bootstrap_sample_exact(features, 2 * features.count())
+    known = features.select("user_id", F.lit(True).alias("known"))
+    return drawn.join(known, "user_id", "left").agg(
+        F.count(F.lit(1)).alias("drawn"), F.count_if(F.col("known").isNull()).alias("strangers"))
+
+
+def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users, and those whose segment changes when the model is saved and loaded."""
+    features, base = _features(spark, sf_dir), new_folder(spark, "models")
+    model = segments.fit_segments(features)
+    registry.save_model(model, spark, base)
+    again = segments.assign_segments(registry.load_latest_model(spark, base), features).withColumnRenamed("cluster", "again")
+    both = segments.assign_segments(model, features).join(again, "user_id")
+    return both.agg(F.count(F.lit(1)).alias("users"), F.count_if(F.col("cluster") != F.col("again")).alias("changed"))
+
+
+def segments_by_spending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segment ids, and how many of them spend less on average than the one before."""
+    features = _features(spark, sf_dir)
+    labelled = segments.fit_segments(features).transform(features)
+    average = labelled.groupBy("cluster").agg(F.avg("total_spent").alias("spent"))
+    before = F.lag("spent").over(Window.orderBy("cluster"))  # one row for each segment
+    return (average.withColumn("falls", F.coalesce(F.col("spent") < before, F.lit(False)))
+            .agg(F.count(F.lit(1)).alias("segments"), F.count_if("falls").alias("falling")))
+
+
 QUERIES = {query.__name__: query for query in (
     row_count, preview, month_scan,
     fill_and_drop_nulls, fill_numeric_nulls, dedup_rows, valid_prices, within_fence, normalized_texts,
@@ -536,4 +658,6 @@ QUERIES = {query.__name__: query for query in (
     retention_report, without_expired_month, drop_month, retention_run,
     month_roundtrip, csv_export_roundtrip, append_roundtrip, raw_copy_roundtrip,
     incremental_ingest, monthly_flow, flagship,
+    landed_month, landed_folder, pending_flow, catalog_publish, event_types_with_nulls, event_times_by_zone,
+    emptied_month, bootstrap_size, model_roundtrip, segments_by_spending,
 )}

@@ -2,53 +2,112 @@
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
+from collections.abc import Iterable, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.months import landed_file, month_from_label
-from .schema import RAW_EVENTS
-from .storage import absolute_path
+from ..functions.months import CSV_SUFFIXES, landed_stem, month_from_label
+from .schema import KEY_COLUMNS, RAW_EVENTS
+from .storage import encoded_path, first_line, list_files
 
-# Matches .csv and .csv.gz in any case.
-CSV_GLOB = "{*.[cC][sS][vV],*.[cC][sS][vV].[gG][zZ]}"
+# Two quotes inside a quoted value are one quote; nothing else is escaped.
+CSV_QUOTING = {"quote": '"', "escape": '"'}
 
 
-def read_events_csv(spark: SparkSession, path: str | list[str],
-                    schema: T.StructType = RAW_EVENTS, mode: str = "PERMISSIVE",
-                    null_value: str = "") -> DataFrame:
-    """Typed CSV scan with a header; no inference pass over the files.
+def csv_header(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """Column names of one file; reads its first line only."""
+    names = tuple(name.strip() for name in next(csv.reader([first_line(spark, path).removeprefix("﻿")]), []))
+    if len(set(map(str.lower, names))) < len(names):
+        raise ValueError(f"{path} names a column twice: {', '.join(names)}")
+    return names
 
-    A gzip file is read by one task, so land a month as several files when it is
-    large; every step after the raw copy reads splittable Parquet.
+
+def read_events_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType = RAW_EVENTS,
+                    mode: str = "PERMISSIVE", null_value: str = "", required: Iterable[str] | None = None,
+                    multi_line: bool = False, path_column: str | None = None) -> DataFrame:
+    """Typed CSV scan by header name; no inference pass over the files.
+
+    Columns of ``schema`` come first, in its order and with its types, and are
+    null where a file lacks them; all others follow as text. Files of one layout
+    share a scan, whatever the order of their columns. A file without one of
+    ``required`` (by default the schema's key columns) raises, and so does a path
+    without files. ``multi_line`` allows line breaks inside quoted text, as our
+    own exports may have; such files are not split. Empty text reads as null.
+    ``path_column`` adds the URI of each row's file.
     """
-    return (spark.read.schema(schema).option("header", True).option("mode", mode)
-            .option("nullValue", null_value).csv(path))
+    found = [name for one in ([path] if isinstance(path, str) else path) for name in list_files(spark, one, CSV_SUFFIXES)]
+    if not found:
+        raise FileNotFoundError(f"no CSV file at {path}")
+    required = [c for c in KEY_COLUMNS if c in schema.names] if required is None else list(required)
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for name in found:
+        layouts.setdefault(csv_header(spark, name), []).append(name)
+    known = {field.name.lower(): field for field in schema.fields}
+    scans = []
+    for header, names in layouts.items():
+        missing = [c for c in required if c.lower() not in map(str.lower, header)]
+        if missing:
+            raise ValueError(f"{names[0]} lacks the columns {', '.join(missing)}")
+        typed = T.StructType([T.StructField(known[c.lower()].name, known[c.lower()].dataType) if c.lower() in known
+                              else T.StructField(c, T.StringType()) for c in header])
+        scan = (spark.read.schema(typed).options(**CSV_QUOTING).option("header", True).option("enforceSchema", False)
+                .option("mode", mode).option("nullValue", null_value).option("multiLine", multi_line).csv(names))
+        absent = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in typed.names]
+        uri = [F.col("_metadata.file_path").alias(path_column)] if path_column else []
+        scans.append(scan.select("*", *absent, *uri))
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
+    return rows.select(*schema.names, *[c for c in rows.columns if c not in schema.names])
+
+
+def read_exported_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """What ``export_csv``, ``append_csv`` or ``export_csv_file`` wrote, line breaks included."""
+    return read_events_csv(spark, path, schema, required=schema.names, multi_line=True)
+
+
+def landed_files(spark: SparkSession, base: str, month: dt.date) -> list[str]:
+    """Files of one month: ``2019-Oct.csv.gz`` or ``2019-Oct.csv``, and all CSV files below ``2019-Oct/``."""
+    stem = f"{base.rstrip('/')}/{landed_stem(month)}"
+    return [name for place in (f"{stem}.csv.gz", f"{stem}.csv", stem) for name in list_files(spark, place, CSV_SUFFIXES)]
 
 
 def read_landed_month(spark: SparkSession, base: str, month: dt.date,
                       schema: T.StructType = RAW_EVENTS) -> DataFrame:
-    """The landed file of one month; a missing file raises."""
-    return read_events_csv(spark, f"{base.rstrip('/')}/{landed_file(month)}", schema)
+    """The landed rows of one month, from one file or many; a month without files raises."""
+    found = landed_files(spark, base, month)
+    if not found:
+        raise FileNotFoundError(f"no file of {landed_stem(month)} below {base}")
+    return read_events_csv(spark, found, schema)
 
 
 def read_landed_folder(spark: SparkSession, base: str,
                        schema: T.StructType = RAW_EVENTS) -> DataFrame:
     """All CSV files below a folder, with their path relative to it and their month.
 
-    The month comes from names like ``2019-Oct.csv.gz``; other names give null.
+    The month comes from names like ``2019-Oct.csv.gz``, or from a folder of that
+    name; other files give null.
     """
-    files = (spark.read.schema(schema).option("header", True)
-             .option("recursiveFileLookup", True).option("pathGlobFilter", CSV_GLOB)
-             .csv(base))
-    prefix = absolute_path(spark, base).rstrip("/") + "/"
-    full_name = F.col("_metadata.file_path")
-    start = F.locate(prefix, full_name) + len(prefix)
-    named = files.select("*", F.substring(full_name, start, F.length(full_name)).alias("source_file"))
-    label = F.regexp_extract("source_file", r"([^/.]+)\.[^/]*$", 1)
-    return named.withColumn("month", month_from_label(label))
+    rows = read_events_csv(spark, base, schema, path_column="source_file")
+    named = rows.withColumn("source_file", relative_name(F.col("source_file"), encoded_path(spark, base)))
+    return named.withColumn("month", month_of_path("source_file"))
+
+
+def relative_name(uri: Column, base_path: str) -> Column:
+    """Path below the base, decoded; both are compared as they are encoded in URIs, without scheme and authority."""
+    base = base_path.rstrip("/") + "/"
+    path = F.regexp_replace(uri, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    rest = F.substring(path, len(base) + 1, 1 << 30)
+    return F.when(F.startswith(path, F.lit(base)), F.url_decode(F.replace(rest, F.lit("+"), F.lit("%2B"))))
+
+
+def month_of_path(column: str) -> Column:
+    """Month of ``2019-Oct.csv.gz`` or of the nearest folder ``2019-Oct`` above a file."""
+    by_name = month_from_label(F.regexp_extract(column, r"([^/.]+)\.[^/]*$", 1))
+    return F.coalesce(by_name, month_from_label(F.regexp_extract(column, r"(?:^|.*/)(\d{4}-[A-Z][a-z]{2})/", 1)))
 
 
 def read_month(table: DataFrame, month: dt.date) -> DataFrame:

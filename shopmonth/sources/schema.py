@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+# Names and types of the landed columns, key and text columns, features.
 # event_time stays text in the raw layer: a value that does not parse is kept as
 # it landed, and becomes null only in the cleaning step.
 RAW_EVENTS = T.StructType([

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .files import CSV_QUOTING
 from .storage import delete_path, list_names, move_path
 
 
@@ -39,21 +40,18 @@ def export_csv(df: DataFrame, path: str) -> None:
 
 def _csv_writer(df: DataFrame, mode: str):
     # By default the CSV writer strips blanks around values and cuts times to milliseconds.
-    return (df.write.mode(mode).option("header", True).option("compression", "gzip")
+    return (df.write.mode(mode).options(**CSV_QUOTING).option("header", True).option("compression", "gzip")
             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
             .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
             .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
 
 
-def export_csv_file(df: DataFrame, folder: str, name: str, max_rows: int = 5_000_000) -> str:
+def export_csv_file(df: DataFrame, folder: str, name: str) -> str:
     """Export as one named gzip CSV file, for results a person downloads.
 
-    One file means one writing task, so a frame above ``max_rows`` is refused
-    (nothing is cut off); ``export_csv`` writes any size.
+    One file means one writing task, whatever the size; ``export_csv`` writes the
+    same rows in parallel.
     """
-    rows = df.count()
-    if rows > max_rows:
-        raise ValueError(f"{rows} rows do not belong in one file; use export_csv")
     spark = df.sparkSession
     parts = f"{folder.rstrip('/')}/_{name}.parts"
     target = f"{folder.rstrip('/')}/{name}"
@@ -72,20 +70,27 @@ def empty_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, options: Mapping[str, str] | None = None,
-               connections: int = 8, batch_rows: int = 10_000) -> None:
+               connections: int = 8, batch_rows: int = 10_000,
+               swap: Callable[[str, str], None] | None = None) -> None:
     """Replace a warehouse table over JDBC.
 
     ``connections`` bounds how many tasks write at once, so that a large cluster
     does not exhaust the database; credentials and driver come in ``options``.
+    With ``swap`` the rows go to ``{table}_staging`` first, and ``swap(staging,
+    table)`` puts it in place once all are there, so readers never see a part of
+    them. Without it the table is emptied and filled in place, keeping its grants.
     """
-    jdbc_writer(df, url, table, options, connections, batch_rows).save()
+    target = f"{table}_staging" if swap else table
+    jdbc_writer(df, url, target, options, connections, batch_rows).save()
+    if swap:
+        swap(target, table)
 
 
 def jdbc_writer(df, url, table, options=None, connections=8, batch_rows=10_000):
     """The configured writer behind ``write_jdbc``."""
     return (df.write.format("jdbc").mode("overwrite").options(**dict(options or {}))
             .option("url", url).option("dbtable", table)
-            .option("numPartitions", connections).option("batchsize", batch_rows))
+            .option("truncate", True).option("numPartitions", connections).option("batchsize", batch_rows))
 
 
 def drop_table_month(spark: SparkSession, table: str, month: dt.date) -> None:
@@ -99,5 +104,20 @@ def drop_path_month(spark: SparkSession, path: str, month: dt.date) -> bool:
 
 
 def save_catalog_table(df: DataFrame, name: str, partition_by: Sequence[str] = ("month",)) -> None:
-    """Publish as a catalog table, partitioned by month."""
-    df.write.mode("overwrite").partitionBy(*partition_by).format("parquet").saveAsTable(name)
+    """Publish in a catalog table: exactly the partitions in ``df`` are replaced, all others stay.
+
+    Columns go by name. The first call makes the table; later calls need its columns.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(name):
+        df.limit(0).write.partitionBy(*partition_by).format("parquet").saveAsTable(name)
+    known = spark.table(name).columns
+    if sorted(known) != sorted(df.columns):
+        raise ValueError(f"{name} has the columns {', '.join(known)}, the rows have {', '.join(df.columns)}")
+    setting = "spark.sql.sources.partitionOverwriteMode"  # insertInto takes it from the session only
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        df.select(*known).write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(setting, before)

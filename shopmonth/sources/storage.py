@@ -16,10 +16,43 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
-def absolute_path(spark: SparkSession, path: str) -> str:
-    """Path without scheme and authority, relative ones resolved."""
+def encoded_path(spark: SparkSession, path: str) -> str:
+    """Absolute path without scheme and authority, encoded as in a URI."""
     fs, target = _file_system(spark, path)
-    return fs.makeQualified(target).toUri().getPath()
+    return fs.makeQualified(target).toUri().getRawPath()
+
+
+def list_files(spark: SparkSession, path: str, suffixes: tuple[str, ...] = ("",)) -> list[str]:
+    """The file at a path, or all files below it, whose names end in a suffix (in any case).
+
+    Names that begin with a dot or an underscore are left out, also as folders.
+    """
+    fs, target = _file_system(spark, path)
+    if not fs.exists(target):
+        return []
+    found, open_ = [], [fs.getFileStatus(target)]
+    while open_:
+        status = open_.pop()
+        name = status.getPath().getName()
+        if status.isDirectory():
+            open_ += [s for s in fs.listStatus(status.getPath()) if s.getPath().getName()[0] not in "._"]
+        elif name.lower().endswith(suffixes):
+            found.append(status.getPath().toString())
+    return sorted(found)
+
+
+def first_line(spark: SparkSession, path: str) -> str:
+    """First line of a text file, unpacked by its suffix; empty for an empty file."""
+    jvm = spark.sparkContext._jvm
+    fs, target = _file_system(spark, path)
+    stream = fs.open(target)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
+            spark.sparkContext._jsc.hadoopConfiguration()).getCodec(target)
+        plain = codec.createInputStream(stream) if codec else stream
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8")).readLine() or ""
+    finally:
+        stream.close()
 
 
 def list_names(spark: SparkSession, path: str) -> list[str]:

@@ -21,12 +21,14 @@ def shared_root(spark: SparkSession) -> str:
 
     Only a local session without that setting gets a temporary folder; a cluster
     without it is refused, because no executor could read another's local disk.
+    Whether a ``file:`` path is a shared mount only its owner can know, so it is taken.
     """
     global _local_fallback
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     if _local_fallback is None:
         _local_fallback = tempfile.mkdtemp(prefix="shopmonth-")

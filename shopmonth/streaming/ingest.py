@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..sources.files import CSV_QUOTING
 from ..sources.schema import RAW_EVENTS
 
 
@@ -24,7 +25,8 @@ def ingest_landed(spark: SparkSession, landing: str, table: str, checkpoint: str
     """
     reader = spark.readStream.schema(schema).format(file_format)
     if file_format == "csv":
-        reader = reader.option("header", True)
+        # A file whose header differs from the schema fails the run instead of shifting its columns.
+        reader = reader.options(**CSV_QUOTING).option("header", True).option("enforceSchema", False)
     source = reader.options(**dict(options or {})).option("maxFilesPerTrigger", files_per_batch).load(landing)
     rows = transform(source) if transform else source
     query = (rows.writeStream.format("parquet").outputMode("append").partitionBy(*partition_by)

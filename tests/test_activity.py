@@ -22,7 +22,7 @@ def events(spark):
 
 
 def test_user_activity(events):
-    assert tuples(A.user_activity(events)) == [
+    assert tuples(A.user_activity(events, digits=2)) == [
         (1, 2, 1, 0, 1, 2, 20.3), (2, 0, 0, 1, 0, 1, 0.0), (3, 1, 0, 0, 0, 1, 7.0)]
 
 
@@ -38,13 +38,25 @@ def test_null_users_stay_one_group(spark):
 
 def test_sums_do_not_depend_on_order(spark):
     rows = [(1, at(1), "view", 0.1 * i, "a") for i in range(1000)]
-    sums = {A.user_activity(spark.createDataFrame(rows[::step], SCHEMA).repartition(n)).first().total_spent
+    sums = {A.user_activity(spark.createDataFrame(rows[::step], SCHEMA).repartition(n), digits=2).first().total_spent
             for step, n in ((1, 1), (1, 7), (-1, 3))}
     assert sums == {49950.0}
-    plain = A.user_activity(spark.createDataFrame(rows, SCHEMA), digits=None).first().total_spent
+    plain = A.user_activity(spark.createDataFrame(rows, SCHEMA)).first().total_spent
     assert plain == pytest.approx(49950.0)
 
 
+def test_small_and_large_prices_are_kept(spark):
+    small = [(1, at(1), "view", 0.00004, "a")] * 1000
+    assert A.user_activity(spark.createDataFrame(small, SCHEMA)).first().total_spent == pytest.approx(0.04)
+    large = [(1, at(1), "view", 1e300, "a"), (1, at(1), "view", float("inf"), "a")]
+    assert A.user_activity(spark.createDataFrame(large, SCHEMA)).first().total_spent == float("inf")
+
+
+def test_users_without_types_stay(spark):
+    events = spark.createDataFrame([(1, at(1), None, 1.0, "a"), (2, at(1), "view", 1.0, "a")], SCHEMA)
+    assert tuples(A.histogram_counts(A.event_type_histogram(events)), "user_id", "views", "carts") == [(1, 0, 0), (2, 1, 0)]
+
+
 def test_histogram(events):
     histogram = A.event_type_histogram(events)
     maps = {r.user_id: r.event_types for r in histogram.collect()}
@@ -53,7 +65,7 @@ def test_histogram(events):
 
 
 def test_rfm_counts_whole_days_and_skips_rows_without_time(events):
-    assert tuples(A.rfm(events)) == [(1, 7, 2, 20.3), (2, 0, 1, 0.0)]
+    assert tuples(A.rfm(events, digits=2)) == [(1, 7, 2, 20.3), (2, 0, 1, 0.0)]
 
 
 def test_profile_equals_join(events):

@@ -1,5 +1,6 @@
 import datetime as dt
 import gzip
+import inspect
 import os
 
 import pytest
@@ -42,7 +43,7 @@ def test_pending_months_are_processed_once(spark, landed):
                                   publish=lambda spark, store, month: published.append(month))
     assert [(r.month, r.status) for r in first.collect()] == [
         (month(2019, 12), "failed"), (month(2019, 11), "done"), (month(2019, 10), "done")]
-    assert "2019-Dec.csv.gz" in first.first().error
+    assert "2019-Dec" in first.first().error
     assert published == [month(2019, 11), month(2019, 10)]
     table = spark.read.parquet(store.published)
     assert tuples(table.groupBy("month").count()) == [(month(2019, 10), 240), (month(2019, 11), 120)]
@@ -133,13 +134,34 @@ def test_retention_without_active_users_stops(spark, folder):
     assert spark.read.parquet(path).count() == 1
 
 
-def test_segment_report(spark):
+def test_report_by_defaults_takes_all_users(spark, folder):
+    assert inspect.signature(flows.segment_report).parameters["sample_rows"].default is None
+
+
+def test_raw_layers_are_one(spark, landed):
+    """Rows copied by folder are cleaned like rows copied by month; a file without a month is refused."""
+    store = flows.Store(f"{landed}/store")
+    land_month(f"{landed}/landing/2019-Oct", "2019-Oct-again.csv.gz", 20)
+    flows.copy_raw_folder(spark, f"{landed}/landing", store)
+    flows.clean_month(spark, store, month(2019, 10), method="exact")
+    cleaned = flows.stored_month(spark, store.cleaned, month(2019, 10))
+    assert cleaned.count() == 240 and "source_file" not in cleaned.columns
+    flows.copy_raw_month(flows.read_landed_month(spark, f"{landed}/landing", month(2019, 10)), store, month(2019, 10))
+    assert spark.read.parquet(store.raw).columns[-2:] == ["source_file", "month"]
+    land_month(f"{landed}/landing", "2019-Nov.csv.gz", 1)
+    os.rename(f"{landed}/landing/2019-Nov.csv.gz", f"{landed}/landing/extra.csv.gz")
+    with pytest.raises(ValueError, match="extra.csv.gz"):
+        flows.copy_raw_folder(spark, f"{landed}/landing", store)
+
+
+def test_segment_report(spark, folder):
     rows = [(u, dt.datetime(2019, 10, 1 + e % 28), ("view", "cart", "purchase")[(u + e) % 3], float(u % 5 * 10 + e),
              f"{u}-{e % 4}") for u in range(40) for e in range(5 + u % 7)]
     events = spark.createDataFrame(
         rows, "user_id long, event_time timestamp_ntz, event_type string, price double, user_session string")
-    report = flows.segment_report(events, k=3, max_k=3, depths=(1,), rates=(0.1,), trees=(2,),
-                                  search_folds=2, folds=2)
+    report = flows.segment_report(events, folder, k=3, max_k=3, depths=(1,), rates=(0.1,), trees=(2,),
+                                  search_folds=2, folds=2, training_limit=30)
+    assert os.path.basename(flows.write_report(report, folder)) in os.listdir(folder)
     assert report.users.columns[-2:] == ["cluster", "cluster_name"] and report.users.count() == 40
     assert len(report.explained_variance) == 2 and -1 <= report.silhouette <= 1
     assert report.elbow.count() == 2 and report.search.scores.count() == 1 and 0 <= report.accuracy <= 1

@@ -41,10 +41,22 @@ def test_no_values(spark):
             Q.price_fence(df, method=method)
 
 
-def test_narrowing_pushes_the_bracket_to_the_scan(spark, folder):
+def test_bracket_reaches_the_scan(spark, folder):
     frame(spark, list(map(float, range(5000)))).write.parquet(f"{folder}/v")
-    got = Q.exact_quantiles(spark.read.parquet(f"{folder}/v"), "price", [0.25], 100, 0.005)
-    assert got == [1249.75]
+    stored = spark.read.parquet(f"{folder}/v")
+    assert Q.exact_quantiles(stored, "price", [0.25], 100, 0.005) == [1249.75]
+    plan = Q._inside(stored.withColumnRenamed("price", "v"), [(3.0, 9.0)])._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(price), GreaterThan(price,3.0), LessThan(price,9.0)]" in plan
+
+
+def test_both_ways_give_the_same_bits(spark):
+    rng = np.random.default_rng(8)
+    values = [*rng.exponential(size=2000).tolist(), *[float("inf")] * 500, -float("inf"), 0.1, 0.1, 0.1]
+    df = frame(spark, values).cache()
+    wanted = [k / 48 for k in range(49)]
+    direct = Q.exact_quantiles(df, "price", wanted)
+    narrowed = Q.exact_quantiles(df, "price", wanted, direct_rows=50, narrowing_error=0.002)
+    assert [float(x).hex() for x in direct] == [float(x).hex() for x in narrowed]
 
 
 @pytest.mark.parametrize("error", [0.01, 0.05])

@@ -4,9 +4,13 @@ import pytest
 
 import __spark_entry__ as entry
 import compare
+from shopmonth.plans.oracles import ORACLES
+from shopmonth.plans.queries import QUERIES
 
 SF_DIR = f"{compare.TESTDATA}/sf0.001"
 SLOW = {"segment_classifier_cv"}
+# The queries of the optional subpackage are tested in its own folder.
+OWN = [name for name in QUERIES if name not in SLOW]
 
 
 @pytest.fixture(scope="module")
@@ -14,7 +18,7 @@ def con():
     return compare.duck(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, con, name):
     sql = entry.oracle_sql()[name]
     df = entry.queries()[name](spark, SF_DIR)
@@ -22,7 +26,7 @@ def test_matches_sql(spark, con, name):
     assert compare.rows_of_spark(df) == compare.rows_of_sql(con, sql)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(OWN) - set(ORACLES)))
 def test_gives_rows(spark, name):
     assert entry.queries()[name](spark, SF_DIR).count() > 0
 
