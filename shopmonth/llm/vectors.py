@@ -33,7 +33,7 @@ from ..sources.workdir import stage, work_folder
 from .graph import connected_components, settled
 
 THRESHOLD = 0.93
-LINES = 64
+LINES = 32
 RECALL = 0.9999
 BLOCK = 2048
 SEED = 20240101
@@ -53,15 +53,21 @@ def calibrated(threshold: float, lines: int = LINES, recall: float = RECALL) ->
 
 def collisions(queries: np.ndarray, others: np.ndarray, half_width: float) -> np.ndarray:
     """Number of lines on which each other vector lies in the window of each query."""
-    counts = np.zeros((len(queries), len(others)), dtype=np.uint16)
+    width = len(others)
+    counts = np.zeros(len(queries) * width, dtype=np.uint8)
+    rows = np.arange(len(queries)) * width
+    small = np.int32 if len(counts) < 1 << 31 else np.int64
     for line in range(queries.shape[1]):
-        order = np.argsort(others[:, line], kind="stable")
+        order = np.argsort(others[:, line], kind="stable").astype(small)
         places = others[order, line]
         low = np.searchsorted(places, queries[:, line] - half_width, side="left")
         sizes = np.searchsorted(places, queries[:, line] + half_width, side="right") - low
-        inside = np.repeat(low - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-        counts[np.repeat(np.arange(len(queries)), sizes), order[inside]] += 1
-    return counts
+        inside = np.repeat((low - np.cumsum(sizes) + sizes).astype(small), sizes)
+        inside += np.arange(len(inside), dtype=small)
+        at = order[inside]
+        at += np.repeat(rows.astype(small), sizes)
+        counts[at] += np.uint8(1)
+    return counts.reshape(len(queries), width)
 
 
 def linked_pairs(left: np.ndarray, right: np.ndarray, threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
