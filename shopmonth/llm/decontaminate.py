@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.workdir import stage
-from .words import ALPHANUMERIC, Words, slices
+from .words import ALPHANUMERIC, Words, slices, whole_hash
 
 WINDOW = 13
 MAX_BROADCAST_BYTES = 32 << 20
@@ -65,7 +65,7 @@ class WindowIndex:
         for (name, _), first, last in zip(items, words.bounds[:-1], words.bounds[1:]):
             length = min(window, last - first)
             for start in range(first, last - length + 1) if length else ():
-                value = int(words_hash(words, start, length))
+                value = int(whole_hash(words.hashes[start:start + length])[0])
                 found = self.windows.setdefault(length, {}).setdefault(value, {})
                 found.setdefault(words.text(start, start + length), set()).add(name)
         self.sorted = {n: np.array(sorted(by_hash), dtype=np.uint64) for n, by_hash in self.windows.items()}
@@ -95,11 +95,6 @@ class WindowIndex:
         return Hits(words, np.cumsum(change[:-1]) > 0, items)
 
 
-def words_hash(words: Words, start: int, length: int) -> np.uint64:
-    from .words import whole_hash
-    return whole_hash(words.hashes[start:start + length])[0]
-
-
 def indexes(benchmark: DataFrame, window: int = WINDOW, max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
             item_col: str = "item_id", text_col: str = "text") -> Iterator:
     """Broadcast window indexes that together hold every item; one, unless the items are too large."""
@@ -124,13 +119,10 @@ def scan_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     """
     if hit_col in docs.columns:
         raise ValueError(f"the documents have a column {hit_col} already; name another hit_col")
-    out = docs
-    shards = list(indexes(benchmark, window, max_broadcast_bytes))
-    for k, index in enumerate(shards):
-        previous, name = out, hit_col
-        out = _scan(previous, index, text_col, name)
-        if k + 1 < len(shards):
-            out = stage(out, "scanned")
+    out = None
+    for index in indexes(benchmark, window, max_broadcast_bytes):
+        # A further index takes a pass of its own over what the last one wrote.
+        out = _scan(docs if out is None else stage(out, "scanned"), index, text_col, hit_col)
     return out
 
 
