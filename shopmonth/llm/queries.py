@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..sources.workdir import new_folder
 from . import decontaminate, jaccard, kneser_ney, licenses, pii, piece_bpe, tokenfile, urls, vectors, warc
+from .oracles import ORACLES
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,7 +66,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scanned.select(
         "doc_id", "hits.n_words", "hits.n_hit", F.size(items).cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", items), 256).alias("items_sha256"),
-        decontaminate.is_contaminated().alias("contaminated"), "hits.spans")
+        decontaminate.is_contaminated().alias("contaminated"))
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,14 +91,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": op9_decontamination,
     "op10_jaccard_join": op10_jaccard_join,
 }
-ORACLES: dict[str, str] = {
-    "op8_warc": """
-WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
-d AS (SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes, sha1(payload) AS payload_digest FROM p),
-g AS (SELECT payload_digest, max(page_id) AS last FROM d WHERE payload_bytes >= 1000 GROUP BY payload_digest)
-SELECT page_id, payload_bytes, payload_digest,
-       CASE WHEN last IS NULL OR last = page_id THEN 'response' ELSE 'revisit' END AS record_type,
-       CASE WHEN last <> page_id THEN last END AS refers_to
-FROM d LEFT JOIN g USING (payload_digest)
-""",
-}
