@@ -258,11 +258,17 @@ def decode_ids(ids: np.ndarray, offsets: np.ndarray, vocab: Vocabulary) -> tuple
 
 
 def encode(docs: DataFrame, model_path: str, rate: float = DROPOUT, seed: int = 0, text_col: str = "text",
-           id_col: str = "doc_id", ids_col: str = "token_ids") -> DataFrame:
-    """All rows and columns and a column of ids (an existing one of that name is replaced); no shuffle."""
+           id_col: str = "doc_id", ids_col: str = "token_ids", lossless_col: str | None = None) -> DataFrame:
+    """All rows and columns and a column of ids (existing ones of the new names are replaced); no shuffle.
+
+    With ``lossless_col`` the ids are decoded in the same pass, and the column says
+    whether they give every byte back.
+    """
     key = F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text_col)).alias("__key")
-    rows = docs.drop(ids_col).select("*", key)
-    schema = T.StructType([*docs.drop(ids_col).schema, T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
+    new = [ids_col, *([lossless_col] if lossless_col else [])]
+    rows = docs.drop(*new).select("*", key)
+    schema = T.StructType([*docs.drop(*new).schema, T.StructField(ids_col, T.ArrayType(T.IntegerType())),
+                           *([T.StructField(lossless_col, T.BooleanType())] if lossless_col else [])])
     at = rows.schema.names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,11 +279,23 @@ def encode(docs: DataFrame, model_path: str, rate: float = DROPOUT, seed: int =
                 ids, offsets = encode_texts(part.column(at), vocab, rate, seed, keys)
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()),
                                                  mask=part.column(at).is_null())
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], lists], names=schema.names)
+                same = [pa.array(gives_back(part.column(at), ids, offsets, vocab))] if lossless_col else []
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], lists, *same], names=schema.names)
 
     return rows.mapInArrow(run, schema)
 
 
+def gives_back(texts: pa.Array, ids: np.ndarray, offsets: np.ndarray, vocab: Vocabulary) -> np.ndarray:
+    """Whether the ids of each text decode to its bytes."""
+    data, wanted = text_buffer(texts)
+    content, bounds = decode_ids(ids, offsets, vocab)
+    if len(content) == len(data) and (bounds == wanted).all():
+        wrong = np.concatenate([[0], np.cumsum(content != data)])
+        return wrong[wanted[1:]] == wrong[wanted[:-1]]
+    return np.array([np.array_equal(content[a:b], data[c:d])
+                     for a, b, c, d in zip(bounds[:-1], bounds[1:], wanted[:-1], wanted[1:])])
+
+
 def decode(tokens: DataFrame, model_path: str, ids_col: str = "token_ids", text_col: str = "decoded") -> DataFrame:
     """All rows and columns and a column of texts (an existing one of that name is replaced); no shuffle."""
     rows = tokens.drop(text_col)

@@ -30,9 +30,8 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    decoded = piece_bpe.decode(piece_bpe.encode(docs, path), path)
-    return decoded.select("doc_id", F.size("token_ids").alias("n_tokens"), "token_ids",
-                          F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+    encoded = piece_bpe.encode(docs, path, lossless_col="lossless")
+    return encoded.select("doc_id", F.size("token_ids").alias("n_tokens"), "token_ids", "lossless")
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -72,6 +72,15 @@ def test_frames(spark):
     out = piece_bpe.decode(piece_bpe.encode(docs, PATH), PATH, text_col="decoded").collect()
     assert len(out) == 5 and all(r.decoded == r.text for r in out)
     assert piece_bpe.encode(docs.limit(0), PATH).count() == 0
+    assert all(r.lossless for r in piece_bpe.encode(docs, PATH, 0.3, lossless_col="lossless").collect())
+
+
+def test_lost_bytes_are_seen():
+    texts = pa.array(["abc def", "", "xyz"])
+    ids, offsets = encode_texts(texts, vocabulary(PATH))
+    assert piece_bpe.gives_back(texts, ids, offsets, vocabulary(PATH)).all()
+    assert piece_bpe.gives_back(pa.array(["abc dXf", "", "xyz"]), ids, offsets, vocabulary(PATH)).tolist() == [False, True, True]
+    assert piece_bpe.gives_back(pa.array(["abc de", "", "xyz"]), ids, offsets, vocabulary(PATH)).tolist() == [False, True, True]
 
 
 def test_query_round_trip_on_whole_table(spark):
