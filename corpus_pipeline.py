@@ -48,10 +48,8 @@ def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids with merge dropout, and whether they decode to the text."""
     path = public_tokenizers.path(PIECES)
-    tokens = piece_bpe.encode(docs, path, DROPOUT, SEED)
-    decoded = piece_bpe.decode(tokens, path, text_col="decoded")
-    return decoded.select(*docs.columns, "token_ids", F.size("token_ids").alias("n_tokens"),
-                          F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+    tokens = piece_bpe.encode(docs, path, DROPOUT, SEED, lossless_col="lossless")
+    return tokens.select(*docs.columns, "token_ids", F.size("token_ids").alias("n_tokens"), "lossless")
 
 
 STAGES = [
