@@ -38,7 +38,7 @@ from ..sources.workdir import stage, work_folder
 from .graph import settled
 from .words import mix, slices, text_buffer
 
-ORDER = 4
+ORDER = 5
 QUANTILE = 0.995
 MARGIN = 1.1
 HELD_OUT = 5

@@ -115,3 +115,11 @@ def test_windows_of_padded_texts():
     windows, inverse = chars.distinct()
     assert [str(kn.as_strings(windows)[k]) for k in inverse] == [
         "\x02\x02a", "\x02ab", "ab\x03", "\x02\x02\x03", "\x02\x02c", "\x02c0", "c0\x03"]
+
+
+def test_four_characters_of_context_count(spark):
+    trained = spark.createDataFrame([("x", t) for t in ("pabcq", "rabcs")], "lang string, text string")
+    model = kn.kneser_ney(kn.count_ngrams(trained))
+    docs = spark.createDataFrame([(1, "x", "pabcq"), (2, "x", "pabcs")], "id long, lang string, text string")
+    got = {r.id: r.perplexity for r in kn.perplexities(docs, model).collect()}
+    assert got[1] < got[2] * 0.99
