@@ -12,7 +12,7 @@ kind           what is permuted
 =============  ======================================================================
 card           12 to 18 digits before the Luhn check digit, which is computed anew
 iban           digits and letters after the country, then the check digits anew
-phone          digits after the country code; at least 9 digits in all
+phone          digits after the country code or a leading zero; at least 9 digits in all
 ip             the 32 bits of a dotted IPv4 address
 ssn            the nine digits of ddd-dd-dddd
 date           the day within years 1900 to 2099, in ISO, slash or dotted order; dd/mm
@@ -23,8 +23,11 @@ secret         runs of 16 and more with letters and digits after a word like tok
 =============  ======================================================================
 
 Defined results: null stays null; texts without valid values keep every byte;
-overlapping matches go to the kind listed first at the leftmost place. Matching
-takes time in proportion to the text: every repetition in a pattern is bounded.
+overlapping matches go to the kind listed first at the leftmost place, but a phone
+never takes digits of a valid card. After a match that is not valid the search
+goes on one character further. Digits long enough for a card that are none hold
+a phone only if it starts with a zero. Matching takes time in proportion to the
+text: every repetition in a pattern is bounded.
 """
 
 from __future__ import annotations
@@ -56,8 +59,19 @@ PATTERN = re.compile(r"""
   | (?P<ip>(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d))
   | (?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))
   | (?P<card>(?<![\w.-])\d(?:[\x20-]?\d){12,18}(?![\w-]))
-  | (?P<phone>(?<![\w.-])(?:\+\d{1,3}[\x20.-]?)?(?:\(\d{2,4}\)|\d{2,4})[\x20.-]?\d{3,4}[\x20.-]?\d{3,4}(?![\w-]))
+  | (?P<phone>(?<![\w.-])(?:(?:\+\d{1,3}[\x20.-]?)?(?:\(\d{2,4}\)|\d{2,4})[\x20.-]?\d{3,4}[\x20.-]?\d{3,4}
+              |(?:\+\d{1,3}[\x20.-]?(?:\(\d{1,4}\)|\d{1,4})|\(0\d{1,3}\)|0\d{1,3})(?:[\x20.-]?\d{2,4}){2,3}(?:[\x20.-]?\d{2}){1,2})(?![\w-]))
 """, re.VERBOSE | re.ASCII)
+CARD = re.compile(r"\d(?:[\x20-]?\d){12,18}(?![\w-])", re.ASCII)
+PHONE = re.compile(PATTERN.pattern[PATTERN.pattern.index("(?P<phone>"):], re.VERBOSE | re.ASCII)
+# Characters of an IBAN by country.
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "BY": 28, "CH": 21,
+    "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FO": 18, "FR": 27,
+    "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26,
+    "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "MC": 27, "MD": 24,
+    "ME": 22, "MK": 19, "MR": 27, "MT": 31, "MU": 30, "NL": 18, "NO": 15, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29,
+    "RO": 24, "RS": 22, "SA": 24, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20}
 REPORTED = {"iso": "date", "slash": "date", "dotted": "date", "access": "secret"}
 _MAY_MATCH = re.compile(r"[0-9@]")
 LATE_DAYS = [d for d in range(DAYS) if dt.date.fromordinal(FIRST_DAY + d).day > 12]
@@ -156,11 +170,25 @@ class Pseudonyms:
         body = self.feistel.digits(digits[:-1], "card", self.inverse)
         return _refill(text, body + luhn_digit(body))
 
-    def _card_within(self, text: str) -> tuple[int, int] | None:
-        """The first valid card that starts and ends with groups of digits of the match."""
-        groups = [m.span() for m in re.finditer(r"\d+", text)]
-        return next(((a, b) for k, (a, _) in enumerate(groups) for _, b in reversed(groups[k:])
-                     if self.known("card", text[a:b])), None)
+    def _card_ahead(self, text: str, first: int, last: int) -> tuple[int, int] | None:
+        """The first valid card that starts with a group of digits in the stretch and ends with a group, the longest there."""
+        for group in re.finditer(r"\d+", text[first:last]):
+            start = first + group.start()
+            match = CARD.match(text, start)
+            if not match:
+                continue
+            ends = [start + m.end() for m in re.finditer(r"\d+", match[0]) if m.end() >= 13]
+            for end in reversed(ends):
+                if self.known("card", text[start:end]):
+                    return start, end
+        return None
+
+    def _iban_end(self, text: str) -> int:
+        """Where the IBAN at the start of the match ends: at its country's length, or the last place with valid check digits."""
+        ends = [m.end() for m in re.finditer(r"[A-Z0-9]+", text)]
+        length = IBAN_LENGTHS.get(text[:2])
+        ends.sort(key=lambda e: (len(_bare(text[:e])) != length, -e))
+        return next((e for e in ends if self.known("iban", text[:e])), len(text))
 
     def iban(self, text: str) -> str | None:
         bare = _bare(text)
@@ -175,7 +203,13 @@ class Pseudonyms:
         if not 9 <= len(digits) <= 15 or digits == text:
             return None
         country = _bare(re.match(r"\+\d{1,3}(?=[\x20.(-])|", text)[0])
-        return _refill(text, country + self.feistel.digits(digits[len(country):], f"phone{country}", self.inverse))
+        if text[0] == "+":
+            return _refill(text, country + self.feistel.digits(digits[len(country):], f"phone{country}", self.inverse))
+        # A leading zero stays, and none appears: numbers in pairs are known by it.
+        if digits[0] == "0":
+            return _refill(text, "0" + self.feistel.digits(digits[1:], "phone0", self.inverse))
+        least = 10 ** (len(digits) - 1)
+        return _refill(text, str(least + self.feistel.permute(int(digits) - least, 9 * least, "phone", self.inverse)))
 
     def ip(self, text: str) -> str | None:
         octets = text.split(".")
@@ -230,16 +264,34 @@ class Pseudonyms:
         out, found, last, size, at = [], [], 0, 0, 0
         if not _MAY_MATCH.search(text):
             return text, found
-        while match := PATTERN.search(text, at):
-            kind = match.lastgroup if match.lastgroup != "value" else "secret"
-            kind = "secret" if match["secret"] else kind
-            start, end = match.span("value") if kind == "secret" else match.span()
-            if kind == "card" and (span := self._card_within(match[0])):
-                start, end = start + span[0], start + span[1]
-            new = self.secret(match["value"]) if kind == "secret" else self.known(kind, text[start:end])
-            if new is None:
-                at = start if kind == "secret" else end
-                continue
+        # A valid card ahead, the end of digits that are no card, and up to where no other card starts.
+        limit, card, run_end, searched = len(text), None, 0, 0
+        while (match := PATTERN.search(text, at, limit)) or card:
+            if not match:
+                kind, (start, end), limit, card = "card", card, len(text), None
+                searched = end
+                new = self.known(kind, text[start:end])
+            else:
+                kind = match.lastgroup if match.lastgroup != "value" else "secret"
+                kind = "secret" if match["secret"] else kind
+                start, end = match.span("value") if kind == "secret" else match.span()
+                if kind in ("card", "phone") and not card:
+                    card, searched = self._card_ahead(text, max(start, searched), end), max(searched, end)
+                    if card:
+                        at, limit, run_end = start, card[0], max(run_end, end)
+                        continue
+                if kind == "card":
+                    # Digits that are no card are a phone only by their leading zero.
+                    run_end, match = max(run_end, end), PHONE.match(text, start, limit)
+                    kind, end = "phone", match.end() if match else start
+                if kind == "iban":
+                    end = start + self._iban_end(match[0])
+                new = self.secret(match["value"]) if kind == "secret" else self.known(kind, text[start:end])
+                if kind == "phone" and start < run_end and text[start] not in "0(+":
+                    new = None
+                if new is None:
+                    at = start if kind == "secret" else start + 1
+                    continue
             out += [text[last:start], new]
             size += start - last
             found.append((REPORTED.get(kind, kind), size, size + len(new)))

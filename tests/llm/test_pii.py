@@ -91,3 +91,26 @@ def test_query_changes_only_found_places(spark):
         assert back == before[row.doc_id]
         if not row.n_found:
             assert row.text == before[row.doc_id]
+
+
+@pytest.mark.parametrize("text,kind,value", [
+    ("order 2024 4111 1111 1111 1111", "card", "4111 1111 1111 1111"), ("1234 5678 4111 1111 1111 1111", "card", "4111 1111 1111 1111"),
+    ("12-4111-1111-1111-1111", "card", "4111-1111-1111-1111"), ("tel 020 4111 1111 1111 1111", "card", "4111 1111 1111 1111"),
+    ("ES91 2100 0418 4502 0005 1332 EUR 20", "iban", "ES91 2100 0418 4502 0005 1332"), ("BE68539007547034 BIC", "iban", "BE68539007547034"),
+    ("AT611904300234573201 EUR", "iban", "AT611904300234573201"), ("AB13 3456 7890 BE68 5390 0754 7034 X", "iban", "BE68 5390 0754 7034"),
+    ("4111 1111 1111 192.168.1.1", "ip", "192.168.1.1"), ("020 7946 0958 1234 5670 9", "phone", "020 7946 0958"),
+    ("call +33 1 23 45 67 89 now", "phone", "+33 1 23 45 67 89"), ("call 01 23 45 67 89 now", "phone", "01 23 45 67 89"),
+    ("call +34 91 234 56 78 now", "phone", "+34 91 234 56 78"), ("call 01.23.45.67.89.", "phone", "01.23.45.67.89"),
+    ("999.1.1.1 2021-02-30 555-12-3456", "ssn", "555-12-3456")])
+def test_value_inside_a_match_that_is_not_valid(text, kind, value):
+    new, found = NAMES.replace(text)
+    at = text.index(value)
+    assert [f[:2] for f in found] == [(kind, at)] and value not in new
+    assert new[:at] + value + new[found[0][2]:] == text
+
+
+def test_card_after_phone_in_one_run_of_digits():
+    new, found = NAMES.replace("020 7946 0958 4111 1111 1111 1111")
+    assert [k for k, *_ in found] == ["phone", "card"]
+    new, found = NAMES.replace("+49 30 1234 4111 1111 1111 1111")
+    assert found[-1] == ("card", 12, 31) and "4111" not in new
