@@ -4,8 +4,9 @@ Byte-level BPE merges inside the pieces that its pattern cuts a text into, and a
 piece alone is cut into itself. So the pieces of a slice are found with array
 operations, each different piece is encoded by the library once, and the ids are
 put together. Texts with characters whose class may differ between Unicode
-versions go to the library whole. Either way the ids are the library's for the
-whole text, with the strings of special tokens as ordinary text.
+versions, and texts with the string of an added token, go to the library whole.
+Either way the ids are the library's for the whole text. ``special_text`` takes
+the strings of special tokens as ordinary text; the library's default does not.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from .words import mix, text_buffer
 
@@ -39,13 +41,14 @@ def character_classes() -> np.ndarray:
 
 
 class ByteBpe:
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_text: bool = True):
         from tokenizers import Tokenizer
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs as many tasks as there are cores
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.library.encode_special_tokens = special_text
         with open(path, encoding="utf-8") as file:
             about = json.load(file)
+        self.added = [t["content"] for t in about.get("added_tokens") or [] if not (special_text and t["special"])]
         step = about["pre_tokenizer"] or {}
         plain = (step.get("type") == "ByteLevel" and not step.get("add_prefix_space") and step.get("use_regex", True)
                  and about["normalizer"] is None and about["model"]["type"] == "BPE")
@@ -54,8 +57,8 @@ class ByteBpe:
 
     @classmethod
     @lru_cache(maxsize=2)
-    def load(cls, path: str) -> ByteBpe:
-        return cls(path)
+    def load(cls, path: str, special_text: bool = True) -> ByteBpe:
+        return cls(path, special_text)
 
     def _forget(self) -> None:
         self.numbers: dict[int, int] = {}
@@ -68,7 +71,10 @@ class ByteBpe:
         ends = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
         kinds = self.classes[codes] if self.classes is not None else np.full(len(codes), UNSURE, np.uint8)
         unsure = np.concatenate([[0], np.cumsum(kinds == UNSURE)])
-        whole = np.flatnonzero(unsure[ends[1:]] > unsure[ends[:-1]])
+        alone = unsure[ends[1:]] > unsure[ends[:-1]]
+        for content in self.added:
+            alone |= pc.match_substring(texts, content).fill_null(False).to_numpy(zero_copy_only=False)
+        whole = np.flatnonzero(alone)
         parts, counts = self._by_piece(codes, kinds, ends, whole)
         if len(whole):
             found = self.library.encode_batch_fast([texts[int(k)].as_py() for k in whole], add_special_tokens=False)

@@ -15,7 +15,8 @@ identifier; the manifest, written by Spark after them, names exactly the files o
 the attempts that counted, so a lost executor or a repeated task leaves at most
 files nobody reads. Paths go through Arrow's file systems.
 
-Defined results: a null text has the end id only; documents without id come
+Texts are encoded as the library does by default without adding tokens: the
+string of a special token in a text becomes its id. Defined results: a null text has the end id only; documents without id come
 first; documents with the same id all stay, in any order; no documents, no file.
 """
 
@@ -174,7 +175,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     ordered = rows.repartitionByRange(max(1, math.ceil(size / shard_bytes)), "id").sortWithinPartitions("id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, writer, name = ByteBpe.load(tokenizer_path), None, f"tokens-{uuid.uuid4().hex}.bin"
+        coder, writer, name = ByteBpe.load(tokenizer_path, False), None, f"tokens-{uuid.uuid4().hex}.bin"
         for batch in batches:
             for part in slices(batch, "text"):
                 writer = writer or Writer(folder, name, 2 if max(coder.size, end_id + 1) <= 1 << 16 else 4)

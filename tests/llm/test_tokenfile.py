@@ -88,3 +88,13 @@ def test_query(spark, library):
         expected.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
     assert sorted(tuple(r) for r in queries.op6_token_files(spark, sf).collect()) == expected
+
+
+def test_special_strings_are_their_ids_in_files(spark, folder):
+    plain = Tokenizer.from_file(PATH)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>漢", "<|endoftext| >", None, "a b"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    manifest = tokenfile.write_tokens(docs, f"file://{folder}/s", PATH)
+    stored = {r.doc_id: r.token_ids for r in tokenfile.read_documents(manifest, f"file://{folder}/s").collect()}
+    assert stored == {k: plain.encode(t or "", add_special_tokens=False).ids + [0] for k, t in enumerate(texts)}
+    assert 50256 in stored[0] and 50256 not in stored[3]
