@@ -260,6 +260,6 @@ def page_captures(captures: DataFrame) -> DataFrame:
         F.col("response.refers_to").alias("refers"))
     wanted = facts.where("refers IS NOT NULL").select(F.col("refers").alias("capture_id")).distinct()
     target = (facts.join(wanted, "capture_id", "left_semi")
-              .select(F.col("capture_id").alias("refers"), F.col("page_id").alias("refers_to")))
+              .groupBy(F.col("capture_id").alias("refers")).agg(F.max("page_id").alias("refers_to")))
     return (facts.join(target, "refers", "left")
             .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))

@@ -57,3 +57,11 @@ def test_both_directions_and_orphans(spark):
                                      row("q2", "request", ["gone"]), row("r3", "revisit", [])], warc.RECORD)
     got = {r.capture_id: (r.response is not None, len(r.requests or []), len(r.metadata or [])) for r in warc.assemble(records).collect()}
     assert got == {"r1": (True, 1, 1), "gone": (False, 1, 0), "r3": (True, 0, 0)}
+
+
+def test_repeated_rows_do_not_multiply_revisits(spark, folder):
+    rows = [(9, "u", "x" * 2000)] * 2 + [(1, "v", "x" * 2000), (2, "w", "x" * 2000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    manifest = warc.write_archives(pages, f"file://{folder}/r")
+    got = warc.page_captures(warc.assemble(warc.read_records(manifest, f"file://{folder}/r")))
+    assert sorted((r.page_id, r.refers_to) for r in got.where("record_type = 'revisit'").collect()) == [(1, 9), (2, 9)]
