@@ -103,10 +103,42 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN last <> page_id THEN last END AS refers_to
 FROM d LEFT JOIN g USING (payload_digest)"""
 
+_AUDIT = """
+WITH l(f, bit) AS (VALUES ('A', 16), ('B', 8), ('C', 4), ('D', 2), ('E', 1)),
+orders AS (SELECT concat(a.f, b.f, c.f, d.f, e.f) AS filter_order, unnest([
+             {'step': 1, 'own': a.bit, 'before': 0}, {'step': 2, 'own': b.bit, 'before': a.bit},
+             {'step': 3, 'own': c.bit, 'before': a.bit + b.bit}, {'step': 4, 'own': d.bit, 'before': a.bit + b.bit + c.bit},
+             {'step': 5, 'own': e.bit, 'before': 31 - e.bit}]) AS s
+           FROM l a, l b, l c, l d, l e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+             AND len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+             regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+d AS (SELECT doc_id, part, CASE WHEN len(ws) < 200 THEN 16 ELSE 0 END
+             + CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 8 ELSE 0 END
+             + CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) THEN 4 ELSE 0 END
+             + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 2 ELSE 0 END
+             + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 1 ELSE 0 END AS cell FROM t),
+g AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+c AS (SELECT part, cell, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+      FROM d LEFT JOIN g USING (doc_id) GROUP BY part, cell),
+r AS (SELECT part, filter_order, s.step AS step, s.own AS own,
+             sum(CASE WHEN cell & (s.own | s.before) = 0 THEN n ELSE 0 END) AS kept,
+             sum(CASE WHEN cell & s.own > 0 AND cell & s.before = 0 THEN n ELSE 0 END) AS removed,
+             sum(CASE WHEN cell & s.own > 0 AND cell & s.before > 0 THEN n ELSE 0 END) AS redundant,
+             sum(CASE WHEN cell = s.own THEN n ELSE 0 END) AS unique_fails,
+             sum(CASE WHEN cell & s.own > 0 AND cell & s.before = 0 THEN good ELSE 0 END) AS good_lost,
+             sum(CASE WHEN cell & s.own > 0 AND cell & s.before = 0 THEN toxic ELSE 0 END) AS toxic_lost
+      FROM c, orders GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM r"""
+
 ORACLES: dict[str, str] = {
     "op4_url_filter": _url_filter(),
     "op5_embedding_near_dedup": _NEAR_VECTORS,
     "op8_warc": _WARC,
     "op9_decontamination": _DECONTAMINATION,
     "op10_jaccard_join": _JACCARD,
+    "op12_filter_audit": _AUDIT,
 }

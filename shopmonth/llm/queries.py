@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.workdir import new_folder
-from . import decontaminate, jaccard, kneser_ney, licenses, pii, piece_bpe, tokenfile, urls, vectors, warc
+from . import audit, decontaminate, jaccard, kneser_ney, licenses, pii, piece_bpe, tokenfile, urls, vectors, warc
 from .oracles import ORACLES
 
 
@@ -78,6 +78,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_captures(warc.assemble(warc.read_records(manifest, folder)))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_license_scan": op2_license_scan,
@@ -89,4 +93,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_decontamination": op9_decontamination,
     "op10_jaccard_join": op10_jaccard_join,
+    "op12_filter_audit": op12_filter_audit,
 }

@@ -35,11 +35,12 @@ _BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1B54A32D192
 
 
 class Alphabet:
-    """Which bytes belong to words; A-Z are lower-cased first, all bytes from 0x80 on belong to words."""
+    """Which bytes belong to words; A-Z are lower-cased first unless ``fold`` is off, all bytes from 0x80 on belong to words."""
 
-    def __init__(self, word_bytes: bytes):
+    def __init__(self, word_bytes: bytes, fold: bool = True):
         self.lower = np.arange(256, dtype=np.uint8)
-        self.lower[ord("A"):ord("Z") + 1] += 32
+        if fold:
+            self.lower[ord("A"):ord("Z") + 1] += 32
         member = np.zeros(256, dtype=bool)
         member[list(word_bytes)] = True
         member[0x80:] = True
@@ -47,7 +48,9 @@ class Alphabet:
         self.values = _BYTE_VALUES[self.lower]
 
 
-NOT_SPACE = Alphabet(bytes(b for b in range(0x80) if b != 0x20 and not 0x09 <= b <= 0x0D))
+_PRINTED = bytes(b for b in range(0x80) if b != 0x20 and not 0x09 <= b <= 0x0D)
+NOT_SPACE = Alphabet(_PRINTED)
+UNCHANGED = Alphabet(_PRINTED, fold=False)
 ALPHANUMERIC = Alphabet(b"0123456789abcdefghijklmnopqrstuvwxyz")
 
 
