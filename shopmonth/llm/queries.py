@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.workdir import new_folder
-from . import audit, decontaminate, jaccard, kneser_ney, licenses, pii, piece_bpe, tokenfile, urls, vectors, warc
+from . import audit, conversations, decontaminate, jaccard, kneser_ney, licenses, pii, piece_bpe, tokenfile, urls, vectors, warc
 from .oracles import ORACLES
 
 
@@ -78,6 +78,12 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_captures(warc.assemble(warc.read_records(manifest, folder)))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversations.prepared(table(spark, sf_dir, "conversations"))
+    judged = conversations.judged(conversations.damaged(rows))
+    return judged.select(F.col("conv").alias("conv_id"), *conversations.FIGURES, "audit", "repaired_sha256")
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -93,5 +99,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_decontamination": op9_decontamination,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_filter_audit": op12_filter_audit,
 }
