@@ -134,6 +134,18 @@ SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) A
        CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
 FROM r"""
 
+_PASSAGES = """
+WITH d AS (SELECT doc_id, row_number() OVER () AS nr, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+w AS (SELECT nr, doc_id, i, array_to_string(ws[i:i + 12], ' ') AS words FROM (
+        SELECT nr, doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM d WHERE len(ws) >= 13)),
+lost AS (SELECT nr, i FROM (SELECT nr, doc_id, i, min(doc_id) OVER (PARTITION BY words) AS first FROM w) WHERE first < doc_id),
+gone AS (SELECT DISTINCT nr, p FROM (SELECT nr, unnest(range(i, i + 13)) AS p FROM lost)),
+said AS (SELECT nr, unnest(range(1, len(ws) + 1)) AS p, unnest(ws) AS word FROM d),
+kept AS (SELECT nr, string_agg(word, ' ' ORDER BY p) AS words, count(*) AS n FROM said ANTI JOIN gone USING (nr, p) GROUP BY nr)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(words, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (nr)"""
+
 ORACLES: dict[str, str] = {
     "op4_url_filter": _url_filter(),
     "op5_embedding_near_dedup": _NEAR_VECTORS,
@@ -141,4 +153,5 @@ ORACLES: dict[str, str] = {
     "op9_decontamination": _DECONTAMINATION,
     "op10_jaccard_join": _JACCARD,
     "op12_filter_audit": _AUDIT,
+    "op13_substring_dedup": _PASSAGES,
 }

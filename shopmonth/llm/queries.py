@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.workdir import new_folder
-from . import audit, conversations, decontaminate, jaccard, kneser_ney, licenses, pii, piece_bpe, tokenfile, urls, vectors, warc
+from . import (audit, conversations, decontaminate, jaccard, kneser_ney, licenses, passages, pii, piece_bpe, tokenfile,
+               urls, vectors, warc)
 from .oracles import ORACLES
 
 
@@ -88,6 +89,11 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = passages.without_repeats(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_license_scan": op2_license_scan,
@@ -101,4 +107,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_jaccard_join": op10_jaccard_join,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_filter_audit": op12_filter_audit,
+    "op13_substring_dedup": op13_substring_dedup,
 }
