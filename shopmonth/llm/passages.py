@@ -7,9 +7,9 @@ suffix automata of reference shards, over which the passages of documents are st
    equal anchors. Neighbouring windows with one anchor form a span. Anchors are counted
    over all documents by a shuffle, and only spans whose anchor lies in several
    documents go on.
-2. Spans with the same anchor go to the same shard; equal spans are combined in the map
-   tasks before, so a passage that a third of all documents share is one reference
-   passage. An anchor in more than ``HOT`` documents is dealt out by window instead.
+2. Spans with the same anchor go to the same shard. Equal spans of a slice of documents
+   travel as one row, and are one reference passage in the shard. An anchor in more than
+   ``HOT`` documents is dealt out by window instead.
 3. A shard's automaton holds its spans with the smallest document of every substring.
    Its spans are streamed over it, and matching statistics give the first document of
    each of their windows.
@@ -17,8 +17,8 @@ suffix automata of reference shards, over which the passages of documents are st
    windows that start in a smaller one.
 
 Copies of a whole text are told by their digest and never enter a shard. Nothing is
-collected; side tables are broadcast up to ``BROADCAST_BYTES``, measured, and shuffled
-beyond that. Spans are named by 128 bits of content.
+collected. Texts meet their marks and their hits by plain joins on the id, packed for the
+way. Spans are named by 128 bits of content.
 
 Defined results: a null text has no words; texts of fewer than 13 words keep them all;
 documents without an id keep all words and take none from others; rows with one id are
@@ -33,19 +33,20 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.joins import join_facts
-from ..sources.workdir import stage
+from ..sources.workdir import stage, work_folder
 from .automaton import SuffixAutomaton
-from .words import UNCHANGED, Words, mix, powers, slices
+from .words import CHUNK_BYTES, UNCHANGED, Words, mix, powers, slices
 
 WINDOW = 13
 GRAM = 5
-HOT = 5_000
+HOT = 256
 SHARD_WORDS = 50_000
-BROADCAST_BYTES = 64 << 20
 
 
 class Spans(NamedTuple):
@@ -146,24 +147,52 @@ def _shared(anchors: DataFrame, hot: int) -> DataFrame:
             .groupBy("id").agg(F.array_join(F.sort_array(F.collect_set("mark")), ",").alias("marks")))
 
 
-def _beside(docs: DataFrame, side: DataFrame, how: str, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Documents with their row of a staged side table ``(id, text column)``: broadcast while its measured size allows."""
+def _packed(docs: DataFrame) -> DataFrame:
+    """The same rows with their text compressed, for a shuffle."""
+    schema = T.StructType([T.StructField("text", T.BinaryType()) if f.name == "text" else f for f in docs.schema.fields])
+    place = docs.columns.index("text")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            columns = list(batch.columns)
+            columns[place] = pa.array([None if t is None else packer.compress(t) for t in columns[place].cast(pa.binary()).to_pylist()],
+                                      pa.binary())
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return docs.mapInArrow(pack, schema)
+
+
+def _unpacked(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in slices with whole texts, unpacked slice by slice."""
+    place, unpacker = batch.schema.get_field_index("text"), zstandard.ZstdDecompressor()
+    packed = batch.column(place)
+    sizes = [0 if t is None else zstandard.frame_content_size(t) for t in packed.to_pylist()]
+    start, held = 0, 0
+    for at, size in enumerate(sizes):
+        held += size
+        if held >= CHUNK_BYTES or at + 1 == len(sizes):
+            part = batch.slice(start, at + 1 - start)
+            texts = pa.array([None if t is None else unpacker.decompress(t) for t in part.column(place).to_pylist()], pa.binary())
+            yield part.set_column(place, "text", texts.cast(pa.string()))
+            start, held = at + 1, 0
+
+
+def _beside(docs: DataFrame, side: DataFrame, how: str) -> DataFrame:
+    """Documents, packed, with their row of a side table ``(id, text column)``; rows without an id are joined with nothing."""
     value = side.columns[1]
-    rows, size = side.agg(F.count(F.lit(1)), F.sum(F.octet_length(value))).first()
-    if 64 * rows + (size or 0) <= limit:
-        return docs.join(F.broadcast(side), "id", how)
-    named = docs.where("id IS NOT NULL").join(side, "id", how)
+    named = _packed(docs.where("id IS NOT NULL")).join(side, "id", how)
     if how == "inner":
         return named
-    return named.unionByName(docs.where("id IS NULL").withColumn(value, F.lit(None).cast("string")))
+    return named.unionByName(_packed(docs.where("id IS NULL")).withColumn(value, F.lit(None).cast("string")))
 
 
-def _passages(units: DataFrame, shared: DataFrame, limit: int) -> DataFrame:
-    """``key, name, id, words`` of each span with a shared anchor; hot anchors give their windows one by one."""
+def _passages(units: DataFrame, shared: DataFrame, folder: str) -> DataFrame:
+    """``key, name, words, ids`` of each different span of a slice with a shared anchor; hot anchors give their windows one by one."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in _unpacked(batch):
                 words = Words(_column(part, "text"), UNCHANGED)
                 spans = spans_of(words)
                 if not len(spans.group):
@@ -187,13 +216,19 @@ def _passages(units: DataFrame, shared: DataFrame, limit: int) -> DataFrame:
                 names = Names(words).of(first, stop)
                 text, begins = joined_words(words)
                 data = text.tobytes()
-                found = [data[a:b] for a, b in zip(begins[first].tolist(), (begins[stop] - 1).tolist())]
+                spots: dict[bytes, int] = {}
+                spot = np.array([spots.setdefault(name, len(spots)) for name in names], dtype=np.int64)
+                _, one = np.unique(spot, return_index=True)
+                order = np.argsort(spot, kind="stable")
+                bounds = np.searchsorted(spot[order], np.arange(len(spots) + 1))
+                found = [data[a:b] for a, b in zip(begins[first[one]].tolist(), (begins[stop[one]] - 1).tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), pa.array(names, pa.binary()), _column(part, "id").take(pa.array(owner)),
-                     pa.array(found, pa.binary()).cast(pa.string())], names=["key", "name", "id", "words"])
+                    [pa.array(key[one].view(np.int64)), pa.array(list(spots), pa.binary()), pa.array(found, pa.binary()).cast(pa.string()),
+                     pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), _column(part, "id").take(pa.array(owner[order])))],
+                    names=["key", "name", "words", "ids"])
 
-    found = _beside(units.select("id", "text"), shared, "inner", limit)
-    return stage(found.select("id", "text", "marks").mapInArrow(scan, "key long, name binary, id long, words string"), "spans")
+    found = _beside(units.select("id", "text"), shared, "inner")
+    return stage(found.select("id", "text", "marks").mapInArrow(scan, "key long, name binary, words string, ids array<long>"), "spans", folder)
 
 
 def shard_owners(texts: list[str], ids: list[int], window: int = WINDOW) -> list[list[int]]:
@@ -209,8 +244,6 @@ def shard_owners(texts: list[str], ids: list[int], window: int = WINDOW) -> list
 
 def _first_owners(spans: DataFrame, shard_words: int) -> DataFrame:
     """``name, firsts``: of each different span that some document loses words to, the first document of each window."""
-    distinct = spans.groupBy("key", "name", "words").agg(F.min("id").alias("lowest"), F.max("id").alias("highest"))
-
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def shard() -> pa.RecordBatch:
             owners = shard_owners(texts, lowest)
@@ -225,6 +258,9 @@ def _first_owners(spans: DataFrame, shard_words: int) -> DataFrame:
                 if key != before and held >= shard_words:
                     yield shard()
                     texts, names, lowest, highest, held = [], [], [], [], 0
+                if key == before and names and name == names[-1]:
+                    lowest[-1], highest[-1] = min(low, lowest[-1]), max(high, highest[-1])
+                    continue
                 texts.append(words)
                 names.append(name)
                 lowest.append(low)
@@ -233,14 +269,15 @@ def _first_owners(spans: DataFrame, shard_words: int) -> DataFrame:
         if texts:
             yield shard()
 
-    ordered = distinct.select("key", "name", "words", "lowest", "highest").repartition("key").sortWithinPartitions("key")
+    bounded = spans.select("key", "name", "words", F.array_min("ids").alias("lowest"), F.array_max("ids").alias("highest"))
+    ordered = bounded.repartition("key").sortWithinPartitions("key", "name")
     return ordered.mapInArrow(build, "name binary, firsts array<long>")
 
 
 def _lost(spans: DataFrame, firsts: DataFrame) -> DataFrame:
     """``id, hits``: of each document the names of spans that lose windows, with a flag for each window."""
     flags = F.array_join(F.transform("firsts", lambda first: F.when(first < F.col("id"), "1").otherwise("0")), "")
-    met = join_facts(spans.select("name", "id"), firsts, "name", "inner").select("id", "name", flags.alias("flags"))
+    met = join_facts(spans.select("name", F.explode("ids").alias("id")), firsts, "name", "inner").select("id", "name", flags.alias("flags"))
     return (met.where(F.contains("flags", F.lit("1"))).groupBy("id")
             .agg(F.array_join(F.collect_set(F.concat(F.hex("name"), F.col("flags"))), ",").alias("hits")))
 
@@ -250,7 +287,7 @@ def _kept(docs: DataFrame) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in _unpacked(batch):
                 words = Words(_column(part, "text"), UNCHANGED)
                 gone = removed_words(words, _column(part, "hits").to_pylist(), _column(part, "copy").to_pylist())
                 sums = np.concatenate([[0], np.cumsum(gone)])
@@ -297,7 +334,7 @@ def _flag(change: np.ndarray, names: list[bytes], starts: np.ndarray, flags: dic
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT,
-                    shard_words: int = SHARD_WORDS, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+                    shard_words: int = SHARD_WORDS) -> DataFrame:
     """``id, n_words, n_removed, kept`` of every document; ``kept`` are its remaining words, joined by one blank."""
     named = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
                         F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)).alias("digest"))
@@ -306,7 +343,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     marked = (join_facts(named, stage(copied, "copied"), "digest", "left")
               .select("id", "text", F.coalesce(F.col("id") > F.col("first"), F.lit(False)).alias("copy")))
     units = marked.where("NOT copy AND id IS NOT NULL AND text IS NOT NULL")
-    shared = stage(_shared(_anchors(units), hot), "shared")
-    spans = _passages(units, shared, broadcast_bytes)
-    hits = stage(_lost(spans, _first_owners(spans, shard_words)), "hits")
-    return _kept(_beside(marked, hits, "left", broadcast_bytes))
+    with work_folder(docs.sparkSession, "passages") as folder:
+        shared = stage(_shared(_anchors(units), hot), "shared", folder)
+        spans = _passages(units, shared, folder)
+        hits = stage(_lost(spans, _first_owners(spans, shard_words)), "hits")
+    return _kept(_beside(marked, hits, "left"))
