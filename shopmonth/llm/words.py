@@ -14,7 +14,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 4 << 20  # texts are handled in slices of about this size; a longer text is one slice
+CHUNK_BYTES = 1 << 20  # texts are handled in slices of about this size; a longer text is one slice
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
@@ -54,7 +54,6 @@ UNCHANGED = Alphabet(_PRINTED, fold=False)
 ALPHANUMERIC = Alphabet(b"0123456789abcdefghijklmnopqrstuvwxyz")
 
 
-@lru_cache(maxsize=2)
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     up = np.full(size, _BASE, dtype=np.uint64)
     down = np.full(size, _BASE_INVERSE, dtype=np.uint64)
@@ -62,12 +61,15 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
 
 
+_slice_powers = lru_cache(maxsize=1)(_powers)
+
+
 def powers(length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rising powers of the base and of its inverse, at least ``length`` + 1 of them."""
-    size = CHUNK_BYTES + 1
-    while size <= length:
-        size *= 2
-    return _powers(size)
+    """Rising powers of the base and of its inverse, at least ``length`` + 1 of them.
+
+    One table is kept, for slices of usual size; a longer text has a table of its own.
+    """
+    return _slice_powers(2 * CHUNK_BYTES + 1) if length <= 2 * CHUNK_BYTES else _powers(length + 1)
 
 
 def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
