@@ -15,12 +15,13 @@ import json
 import os
 import unicodedata
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .words import mix, text_buffer
+from .words import mix, powers, text_buffer
 
 REMEMBERED = 400_000  # pieces kept; then the memory starts anew
 OTHER, LETTER, NUMBER, SPACE, UNSURE = range(5)
@@ -61,8 +62,10 @@ class ByteBpe:
         return cls(path, special_text)
 
     def _forget(self) -> None:
-        self.numbers: dict[int, int] = {}
-        self.pool, self.starts, self.sizes, self.used = np.zeros(1 << 16, np.uint32), [], [], 0
+        # Hashes of the known pieces in order, with the place of each one's ids in the pool.
+        self.keys = np.zeros(0, np.uint64)
+        self.begins, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
 
     def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a batch and the number of ids of each text, the end id included."""
@@ -102,35 +105,35 @@ class ByteBpe:
             return np.zeros(0, np.uint32), np.zeros(len(ends) - 1, np.int64)
         keys = piece_hashes(codes, starts, stops)
         known, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
-        numbers = self._numbers(known, codes, starts[first], stops[first])
-        sizes, begins = np.array(self.sizes)[numbers], np.array(self.starts)[numbers]
+        begins, sizes = self._places(known, codes, starts[first], stops[first])
         counts = sizes[inverse]
         total = np.cumsum(counts)
         source = np.repeat(begins[inverse] - (total - counts), counts) + np.arange(total[-1])
         return self.pool[source], np.bincount(owner, weights=counts, minlength=len(ends) - 1).astype(np.int64)
 
-    def _numbers(self, known: np.ndarray, codes, starts, stops) -> np.ndarray:
-        if len(self.numbers) > REMEMBERED:
+    def _places(self, known: np.ndarray, codes, starts, stops) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of each piece begin in the pool, and how many there are; ``known`` are hashes in order."""
+        if len(self.keys) > REMEMBERED:
             self._forget()
-        names = known.tolist()
-        numbers = np.array([self.numbers.get(k, -1) for k in names], dtype=np.int64)
-        new = np.flatnonzero(numbers < 0)
-        if len(new):
-            strings = [codes[a:b].tobytes().decode("utf-32-le") for a, b in zip(starts[new].tolist(), stops[new].tolist())]
+        at = np.searchsorted(self.keys, known)
+        new = np.ones(len(known), dtype=bool)
+        inside = at < len(self.keys)
+        new[inside] = self.keys[at[inside]] != known[inside]
+        if new.any():
+            text = codes.tobytes().decode("utf-32-le")
+            strings = [text[a:b] for a, b in zip(starts[new].tolist(), stops[new].tolist())]
             found = [e.ids for e in self.library.encode_batch_fast(strings, add_special_tokens=False)]
-            sizes = [len(f) for f in found]
-            flat = np.array([i for f in found for i in f], dtype=np.uint32)
-            while self.used + len(flat) > len(self.pool):
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            total = int(sizes.sum())
+            while self.used + total > len(self.pool):
                 self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-            self.pool[self.used:self.used + len(flat)] = flat
+            self.pool[self.used:self.used + total] = np.fromiter(chain.from_iterable(found), np.uint32, total)
             begins = self.used + np.cumsum(sizes) - sizes
-            self.used += len(flat)
-            numbers[new] = len(self.sizes) + np.arange(len(new))
-            self.starts += begins.tolist()
-            self.sizes += sizes
-            for k in new.tolist():
-                self.numbers[names[k]] = int(numbers[k])
-        return numbers
+            self.used += total
+            self.keys = np.insert(self.keys, at[new], known[new])
+            self.begins, self.sizes = np.insert(self.begins, at[new], begins), np.insert(self.sizes, at[new], sizes)
+            at = np.searchsorted(self.keys, known)
+        return self.begins[at], self.sizes[at]
 
 
 def piece_starts(codes: np.ndarray, kinds: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -164,14 +167,8 @@ def piece_starts(codes: np.ndarray, kinds: np.ndarray, ends: np.ndarray) -> np.n
     return np.flatnonzero(opens[:total])
 
 
-_FACTOR = 0x9E3779B97F4A7C15
-_INVERSE = pow(_FACTOR, -1, 1 << 64)
-
-
 def piece_hashes(codes: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    up = np.full(len(codes) + 1, _FACTOR, dtype=np.uint64)
-    down = np.full(len(codes) + 1, _INVERSE, dtype=np.uint64)
-    up[0] = down[0] = 1
-    up, down = np.cumprod(up), np.cumprod(down)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(codes.astype(np.uint64) + np.uint64(1)) * up[:-1])])
+    up, down = powers(len(codes))
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum(mix(codes.astype(np.uint64) + np.uint64(1)) * up[:len(codes)], out=sums[1:])
     return mix((sums[stops] - sums[starts]) * down[starts])
