@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from ..functions.months import published_table, shift_month
 from ..operators.activity import user_activity, user_profile
 from ..operators.cleaning import clean_events
-from ..operators.evaluation import (LEARNING_RATES, TREE_COUNTS, TREE_DEPTHS, SearchResult,
-                                    bootstrap_sample, bounded_training, cross_validate, elbow_table,
-                                    search_classifier, silhouette, training_rows)
+from ..operators.boosting import TRAINING_ROWS, BoostedSearch, search_boosted, training_table
+from ..operators.evaluation import (LEARNING_RATES, TREE_COUNTS, TREE_DEPTHS, bootstrap_sample, elbow_table,
+                                    silhouette)
 from ..operators.months import PENDING_WINDOW, pending_months
 from ..operators.registry import latest_model_version, load_latest_model, save_model
 from ..operators.retention import (KEEP_MONTHS, active_users, require_active, retention_report,
@@ -223,7 +223,7 @@ class SegmentReport:
     explained_variance: list[float]
     elbow: DataFrame
     silhouette: float
-    search: SearchResult | None
+    search: BoostedSearch | None
     accuracy: float | None
 
 
@@ -232,14 +232,14 @@ def segment_report(events: DataFrame, folder: str, k: int = REPORT_K, seed: int
                    components: int = 2, max_k: int = 10, sample_rows: int | None = None,
                    classify: bool = True, depths: Sequence[int] = TREE_DEPTHS,
                    rates: Sequence[float] = LEARNING_RATES, trees: Sequence[int] = TREE_COUNTS,
-                   search_folds: int = 3, folds: int = 5, training_limit: int | None = None,
+                   search_folds: int = 3, folds: int = 5, training_limit: int = TRAINING_ROWS,
                    digits: int | None = None) -> SegmentReport:
     """Named segments from k-means on principal components, with their quality.
 
     The tables it makes go to ``folder``, which belongs to the caller and holds the
     users that are returned. The silhouette is over all users; ``sample_rows`` takes
     it over a bootstrap sample. ``training_limit`` bounds the labelled rows that the
-    classifier search trains on, spread evenly over all users; everything else
+    classifier search trains on, taken by a hash of the user; everything else
     covers all of them.
     """
     profile = stage(user_profile(events, types, digits).sortWithinPartitions("user_id"), "profile", folder)
@@ -251,9 +251,9 @@ def segment_report(events: DataFrame, folder: str, k: int = REPORT_K, seed: int
     scored = bootstrap_sample(labelled, sample_rows, seed) if sample_rows else labelled
     search = accuracy = None
     if classify:
-        rows = stage(bounded_training(training_rows(labelled), training_limit, seed), "training", folder)
-        search = search_classifier(rows, depths, rates, trees, search_folds, seed=seed)
-        accuracy = cross_validate(rows, search.depth, search.rate, search.trees, folds, seed=seed)
+        rows = stage(training_table(labelled, training_limit, seed), "training", folder)
+        search = search_boosted(rows, depths, rates, trees, search_folds, folds, seed)
+        accuracy = search.accuracy
     return SegmentReport(users, explained_variance(model), elbow_table(labelled, "pca_vector", max_k, seed),
                          silhouette(scored, "pca_vector"), search, accuracy)
 

@@ -104,6 +104,63 @@ scores AS (
 SELECT round(avg(CASE WHEN own_n = 1 THEN 0.0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette
 FROM scores"""
 
+# K-means in whole numbers, step by step: moments, rounded values, seeds by hash, rounds for k = 2 … 10.
+_Z = [f"z{k}" for k in range(len(_FEATURES))]
+_KMEANS_ROUNDS, _MOST_CENTRES = 20, 10
+
+
+def _distance(a: str, b: str) -> str:
+    return "(" + " + ".join(f"({a}.{z} - {b}.{z}) * ({a}.{z} - {b}.{z})" for z in _Z) + ")"
+
+
+def _whole_number_kmeans() -> str:
+    units = {c: 100.0 if c == "total_spent" else 1.0 for c in _FEATURES}
+    steps = [_ACTIVITY, "whole AS MATERIALIZED (SELECT user_id, " + ", ".join(
+        f"CAST(floor(CAST({c} AS DOUBLE) * {u} + 0.5) AS HUGEINT) AS {c}" for c, u in units.items()) + " FROM activity)",
+        "moments AS MATERIALIZED (SELECT " + ", ".join(
+            f"CAST(sum({c}) AS DOUBLE) / count(*) AS m_{c}, sqrt(CAST(count(*) * sum({c} * {c}) - sum({c}) * sum({c}) AS DOUBLE) "
+            f"/ CAST(count(*) * (count(*) - 1) AS DOUBLE)) AS s_{c}" for c in _FEATURES) + " FROM whole)",
+        "points AS MATERIALIZED (SELECT user_id, " + ", ".join(
+            f"CASE WHEN s_{c} = 0 THEN 0 ELSE CAST(floor((CAST({c} AS DOUBLE) - m_{c}) / s_{c} * 100000.0 + 0.5) AS BIGINT) END AS {z}"
+            for c, z in zip(_FEATURES, _Z)) + " FROM whole, moments)",
+        "seeds0 AS MATERIALIZED (SELECT 0 AS id, * EXCLUDE user_id FROM points ORDER BY md5('42:0:' || user_id), user_id LIMIT 1)"]
+    for k in range(1, _MOST_CENTRES):
+        steps.append(f"""seeds{k} AS MATERIALIZED (SELECT * FROM seeds{k - 1} UNION ALL (
+          SELECT {k} AS id, {", ".join(_Z)} FROM (
+            SELECT p.*, min({_distance("p", "s")}) AS near FROM points p, seeds{k - 1} s GROUP BY ALL) WHERE near > 0
+          ORDER BY -ln(CAST(CAST('0x' || substr(md5('42:{k}:' || user_id), 1, 15) AS BIGINT) + 1 AS DOUBLE) / {float(1 << 60)}) / CAST(near AS DOUBLE),
+                   user_id LIMIT 1))""")
+    steps.append(f"runs AS (SELECT unnest(range(2, {_MOST_CENTRES + 1})) AS run), centres0 AS MATERIALIZED (SELECT run, s.* FROM runs JOIN seeds{_MOST_CENTRES - 1} s ON s.id < run)")
+    for k in range(_KMEANS_ROUNDS + 1):
+        steps.append(f"""near{k} AS MATERIALIZED (SELECT run, user_id, min(CAST(d AS HUGEINT) * 16 + id) AS best FROM (
+          SELECT run, id, user_id, {_distance("p", "c")} AS d FROM points p, centres{k} c) GROUP BY run, user_id)""")
+        moved = ", ".join(f"coalesce(m.{z}, c.{z}) AS {z}" for z in _Z)
+        sums = ", ".join(f"CAST(floor(CAST(sum({z}) AS DOUBLE) / count(*) + 0.5) AS BIGINT) AS {z}" for z in _Z)
+        steps.append(f"""centres{k + 1} AS MATERIALIZED (SELECT c.run, c.id, {moved} FROM centres{k} c LEFT JOIN (
+          SELECT run, CAST(best % 16 AS INTEGER) AS id, {sums} FROM near{k} JOIN points USING (user_id) GROUP BY ALL) m USING (run, id))""")
+    return "WITH " + ",\n".join(steps)
+
+
+_WHOLE_KMEANS = _whole_number_kmeans()
+_RANKED = f"""{_WHOLE_KMEANS},
+ranked AS (SELECT CAST(row_number() OVER (ORDER BY z5, {", ".join(_Z)}) - 1 AS INTEGER) AS cluster, {", ".join(_Z)}
+           FROM centres{_KMEANS_ROUNDS} WHERE run = 4)"""
+_FIXED_KMEANS = f"""{_RANKED}
+SELECT user_id, CAST(min(CAST({_distance("p", "r")} AS HUGEINT) * 16 + cluster) % 16 AS INTEGER) AS cluster
+FROM points p, ranked r GROUP BY user_id"""
+_FIXED_ELBOW = f"""{_WHOLE_KMEANS}
+SELECT CAST(run AS INTEGER) AS k, round(CAST(sum(best // 16) AS DOUBLE) / 10000000000.0, 6) AS inertia FROM near{_KMEANS_ROUNDS} GROUP BY run"""
+_ORDER_FEATURES = {"views": "count(*) FILTER (WHERE o_orderstatus = 'O')", "carts": "count(*) FILTER (WHERE o_orderstatus = 'P')",
+                   "removals": "0", "purchases": "count(*) FILTER (WHERE o_orderstatus = 'F')", "sessions": "count(DISTINCT o_orderdate)",
+                   "total_spent": "CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE)"}
+_SCORED_ORDERS = f"""{_RANKED},
+customers AS (SELECT o_custkey AS user_id, {", ".join(f"{e} AS {c}" for c, e in _ORDER_FEATURES.items())} FROM orders GROUP BY o_custkey),
+placed AS (SELECT user_id, {", ".join(
+    f"CASE WHEN s_{c} = 0 THEN 0 ELSE CAST(least(greatest(floor((floor(CAST({c} AS DOUBLE) * {100.0 if c == 'total_spent' else 1.0} + 0.5) - m_{c}) "
+    f"/ s_{c} * 100000.0 + 0.5), -134217728), 134217728) AS BIGINT) END AS {z}" for c, z in zip(_FEATURES, _Z))} FROM customers, moments)
+SELECT user_id, CAST(min(CAST({_distance("p", "r")} AS HUGEINT) * 16 + cluster) % 16 AS INTEGER) AS cluster
+FROM placed p, ranked r GROUP BY user_id"""
+
 _MONTHLY = """
 monthly AS (SELECT *, CAST(date_trunc('month', o_orderdate) AS DATE) AS month FROM orders),
 newest AS (SELECT CAST(max(o_orderdate) AS DATE) AS as_of,
@@ -289,4 +346,10 @@ ORACLES = {
         SELECT count(DISTINCT user_id) AS users, CAST(0 AS BIGINT) AS changed FROM events""",
     "segments_by_spending": """
         SELECT CAST(4 AS BIGINT) AS segments, CAST(0 AS BIGINT) AS falling FROM events LIMIT 1""",
+    "classifier_against_majority": "WITH " + _LABELLED + """, sizes AS (SELECT cluster, count(*) AS n FROM labelled GROUP BY cluster)
+        SELECT CAST(sum(n) AS BIGINT) AS users, round(max(n) / sum(n), 6) AS majority, CAST(8 AS BIGINT) AS settings, true AS better FROM sizes""",
+    "kmeans_fixed_point": _FIXED_KMEANS,
+    "kmeans_repartitioned": "SELECT count(DISTINCT user_id) AS users, CAST(0 AS BIGINT) AS changed FROM events",
+    "elbow_fixed_point": _FIXED_ELBOW,
+    "score_by_expression": _SCORED_ORDERS,
 }

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from ..functions.months import (expired_month, file_name, landed_stem, month_label, month_start, shift_month,
                                 table_label)
 from ..functions.text import array_count
-from ..operators import activity, cleaning, evaluation, months, quantiles, registry, retention, scoring, segments
+from ..operators import activity, boosting, cleaning, evaluation, months, quantiles, registry, retention, scoring, segments, stable_segments
 from ..operators.joins import HOT_SHARE
 from ..sources import files, ledger, sinks
 from ..sources.catalog import monthly_names
@@ -298,21 +298,29 @@ TRAINING_LIMIT = 2_000
 def segment_classifier_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean accuracy of all settings over 3 folds, and of the best one over 5.
 
-    At most about ``TRAINING_LIMIT`` labelled rows are trained on, drawn evenly.
+    At most ``TRAINING_LIMIT`` labelled rows are trained on, taken by a hash of the user.
     """
     features = _features(spark, sf_dir)
     labelled = segments.fit_segments(features).transform(features)
-    rows = stage(evaluation.bounded_training(evaluation.training_rows(labelled), TRAINING_LIMIT), "training")
-    found = evaluation.search_classifier(rows)
-    final = evaluation.cross_validate(rows, found.depth, found.rate, found.trees)
-    last = spark.createDataFrame([(found.depth, found.rate, found.trees, final, 5)], "max_depth int, learning_rate double, trees int, accuracy double, folds int")
+    found = boosting.search_boosted(stage(boosting.training_table(labelled, TRAINING_LIMIT), "training"))
+    last = spark.createDataFrame([(found.depth, found.rate, found.trees, found.accuracy, 5)],
+                                 "max_depth int, learning_rate double, trees int, accuracy double, folds int")
     return found.scores.withColumn("folds", F.lit(3)).unionByName(last)
 
 
+def classifier_against_majority(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The search on fixed segments, beside the accuracy of always naming the largest one."""
+    rows = stage(boosting.training_table(_fixed_segments(_features(spark, sf_dir)), TRAINING_LIMIT), "training")
+    found = boosting.search_boosted(rows)
+    largest = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n").alias("users"), (F.max("n") / F.sum("n")).alias("majority"))
+    return largest.select("users", F.round("majority", 6).alias("majority"), F.lit(found.scores.count()).cast("long").alias("settings"),
+                          (F.col("majority") < found.accuracy).alias("better"))
+
+
 def segment_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report as its file has it: default clusters, full elbow, silhouette over all users, full classifier search.
 
-    The classifier trains on at most about ``TRAINING_LIMIT`` labelled rows.
+    The classifier trains on at most ``TRAINING_LIMIT`` labelled rows.
     """
     folder = new_folder(spark, "report")
     report = flows.segment_report(shop_events(spark, sf_dir), folder, types=EVENT_TYPES, training_limit=TRAINING_LIMIT,
@@ -321,16 +329,50 @@ def segment_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_exported_csv(spark, path, report.users.schema)
 
 
-def score_new_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers known only from their orders, scored by the model of the event users."""
+def _stable(features: DataFrame) -> stable_segments.StableSegments:
+    return stable_segments.fit_stable(features, lambda df: stage(df, "points"))
+
+
+def kmeans_fixed_point(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments from k-means in whole numbers."""
     features = _features(spark, sf_dir)
-    model = segments.fit_segments(features)
+    return _stable(features).assign(features)
+
+
+def kmeans_repartitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users, and those whose segment changes when the model is fitted on other partitions."""
+    features = _features(spark, sf_dir)
+    labels = [_stable(features.repartition(parts)).cluster() for parts in (1, 7, 64)]
+    changed = (labels[0] != labels[1]) | (labels[0] != labels[2])
+    return features.agg(F.count(F.lit(1)).alias("users"), F.count_if(changed).alias("changed"))
+
+
+def elbow_fixed_point(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Costs of k = 2 … 10 from one set of rounds."""
+    features = _features(spark, sf_dir)
+    rows = stage(stable_segments.points(features, stable_segments.fit_scaling(features)), "points")
+    return stable_segments.elbow(rows).withColumn("inertia", F.round("inertia", 6))
+
+
+def score_by_expression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of the orders, scored by the expression of the event users' model."""
+    return _order_customers(spark, sf_dir).select("user_id", _stable(_features(spark, sf_dir)).cluster().alias("cluster"))
+
+
+def _order_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of customers known only from their orders."""
     orders = table(spark, sf_dir, "orders")
-    customers = activity.user_activity(orders.select(
+    return activity.user_activity(orders.select(
         F.col("o_custkey").alias("user_id"), F.col("o_orderstatus").alias("event_type"),
         F.col("o_totalprice").alias("price"), F.col("o_orderdate").cast("string").alias("user_session")),
         {"views": "O", "carts": "P", "removals": "X", "purchases": "F"}, MONEY_DIGITS)
-    return scoring.score_customers(customers, model)
+
+
+def score_new_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers known only from their orders, scored by the model of the event users."""
+    features = _features(spark, sf_dir)
+    model = segments.fit_segments(features)
+    return scoring.score_customers(_order_customers(spark, sf_dir), model)
 
 
 def latest_model_version(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -670,5 +712,6 @@ QUERIES = {query.__name__: query for query in (
     month_roundtrip, csv_export_roundtrip, append_roundtrip, raw_copy_roundtrip,
     incremental_ingest, monthly_flow, flagship,
     landed_month, landed_folder, pending_flow, catalog_publish, event_types_with_nulls, event_times_by_zone,
-    emptied_month, bootstrap_size, model_roundtrip, segments_by_spending,
+    emptied_month, bootstrap_size, model_roundtrip, segments_by_spending, classifier_against_majority,
+    kmeans_fixed_point, kmeans_repartitioned, elbow_fixed_point, score_by_expression,
 )}

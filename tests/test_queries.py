@@ -8,9 +8,8 @@ from shopmonth.plans.oracles import ORACLES
 from shopmonth.plans.queries import QUERIES
 
 SF_DIR = f"{compare.TESTDATA}/sf0.001"
-SLOW = {"segment_classifier_cv"}
 # The queries of the optional subpackage are tested in its own folder.
-OWN = [name for name in QUERIES if name not in SLOW]
+OWN = list(QUERIES)
 
 
 @pytest.fixture(scope="module")
