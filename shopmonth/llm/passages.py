@@ -46,7 +46,7 @@ from .words import CHUNK_BYTES, UNCHANGED, Words, mix, powers, slices
 WINDOW = 13
 GRAM = 5
 HOT = 256
-SHARD_WORDS = 50_000
+SHARD_WORDS = 30_000
 
 
 class Spans(NamedTuple):
@@ -155,10 +155,11 @@ def _packed(docs: DataFrame) -> DataFrame:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            columns = list(batch.columns)
-            columns[place] = pa.array([None if t is None else packer.compress(t) for t in columns[place].cast(pa.binary()).to_pylist()],
-                                      pa.binary())
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+            for part in slices(batch, "text"):
+                columns = list(part.columns)
+                columns[place] = pa.array([None if t is None else packer.compress(t) for t in columns[place].cast(pa.binary()).to_pylist()],
+                                          pa.binary())
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return docs.mapInArrow(pack, schema)
 
