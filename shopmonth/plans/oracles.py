@@ -346,6 +346,13 @@ ORACLES = {
         SELECT count(DISTINCT user_id) AS users, CAST(0 AS BIGINT) AS changed FROM events""",
     "segments_by_spending": """
         SELECT CAST(4 AS BIGINT) AS segments, CAST(0 AS BIGINT) AS falling FROM events LIMIT 1""",
+    "emptied_publish": "WITH " + _MONTHLY + f"""
+        SELECT {_ORDER}, month FROM monthly, newest
+        WHERE month < as_of_month AND (month <> as_of_month - INTERVAL 1 MONTH OR o_orderstatus = 'F')""",
+    "month_table_publish": "WITH " + _MONTHLY + f"""
+        SELECT {_ORDER}, month FROM monthly, newest
+        WHERE month < as_of_month AND month <> as_of_month - INTERVAL 2 MONTH
+          AND (month <> as_of_month - INTERVAL 1 MONTH OR o_orderstatus = 'F')""",
     "classifier_against_majority": "WITH " + _LABELLED + """, sizes AS (SELECT cluster, count(*) AS n FROM labelled GROUP BY cluster)
         SELECT CAST(sum(n) AS BIGINT) AS users, round(max(n) / sum(n), 6) AS majority, CAST(8 AS BIGINT) AS settings, true AS better FROM sizes""",
     "kmeans_fixed_point": _FIXED_KMEANS,

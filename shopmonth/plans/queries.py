@@ -16,7 +16,7 @@ from ..functions.months import (expired_month, file_name, landed_stem, month_lab
 from ..functions.text import array_count
 from ..operators import activity, boosting, cleaning, evaluation, months, quantiles, registry, retention, scoring, segments, stable_segments
 from ..operators.joins import HOT_SHARE
-from ..sources import files, ledger, sinks
+from ..sources import files, ledger, month_table, sinks
 from ..sources.catalog import monthly_names
 from ..sources.schema import FEATURE_COLUMNS, RAW_EVENTS
 from ..sources.workdir import new_folder, stage
@@ -628,13 +628,40 @@ def catalog_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     newest, name = shift_month(newest_order_date(orders), 0), f"published_{uuid.uuid4().hex}"
     sinks.save_catalog_table(files.read_month(orders, shift_month(newest, -1)), name)
     sinks.save_catalog_table(files.read_month(orders, newest), name)
-    sinks.save_catalog_table(files.read_month(orders, newest).where("o_orderstatus = 'F'"), name)
+    sinks.save_catalog_table(files.read_month(orders, newest).where("o_orderstatus = 'F'"), name, months=[newest])
     try:
         return stage(spark.table(name).select(*orders.columns), "published")
     finally:
         spark.sql(f"DROP TABLE {name}")
 
 
+def emptied_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A month written again without rows is empty, one with fewer rows has those; all others stay."""
+    orders = monthly_orders(spark, sf_dir)
+    newest, path = shift_month(newest_order_date(orders), 0), new_folder(spark, "emptied")
+    sinks.write_months(orders.hint("rebalance", "month"), path)
+    before = shift_month(newest, -1)
+    sinks.write_month(files.read_month(orders, newest).where("o_orderkey < 0"), path, newest)
+    sinks.write_month(files.read_month(orders, before).where("o_orderstatus = 'F'"), path, before)
+    return spark.read.parquet(path).select(*ORDER_COLUMNS, "month")
+
+
+def month_table_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by pointers, with a month dropped, old versions deleted, and a write that broke off."""
+    orders = monthly_orders(spark, sf_dir).select(*ORDER_COLUMNS, "month")
+    newest = shift_month(newest_order_date(orders), 0)
+    published = month_table.MonthTable(spark, new_folder(spark, "published"), orders.schema)
+    published.replace(orders.hint("rebalance", "month"), [r.month for r in order_months(orders).collect()])
+    before, dropped = shift_month(newest, -1), shift_month(newest, -2)
+    published.replace(files.read_month(orders, newest).where("o_orderkey < 0"), [newest])
+    published.replace(files.read_month(orders, before).where("o_orderstatus = 'F'"), [before])
+    published.drop([dropped])
+    published.vacuum()
+    broken = files.read_month(orders, newest).withColumn("version", F.lit("broken-off"))
+    broken.write.mode("append").partitionBy("month", "version").parquet(published.data)
+    return published.rows()
+
+
 def event_types_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts by type where every seventh user has no type on any event."""
     events = shop_events(spark, sf_dir).withColumn("event_type", F.expr("CASE WHEN user_id % 7 <> 0 THEN event_type END"))
@@ -713,5 +740,5 @@ QUERIES = {query.__name__: query for query in (
     incremental_ingest, monthly_flow, flagship,
     landed_month, landed_folder, pending_flow, catalog_publish, event_types_with_nulls, event_times_by_zone,
     emptied_month, bootstrap_size, model_roundtrip, segments_by_spending, classifier_against_majority,
-    kmeans_fixed_point, kmeans_repartitioned, elbow_fixed_point, score_by_expression,
+    emptied_publish, month_table_publish, kmeans_fixed_point, kmeans_repartitioned, elbow_fixed_point, score_by_expression,
 )}

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping, Sequence
+import uuid
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,15 +14,28 @@ from .files import CSV_QUOTING
 from .storage import delete_path, list_names, move_path
 
 
-def write_months(df: DataFrame, path: str, partition_by: Sequence[str] = ("month",)) -> None:
-    """Replace exactly the partitions present in ``df``; the others stay."""
+def write_months(df: DataFrame, path: str, partition_by: Sequence[str] = ("month",), months: Iterable[dt.date] = ()) -> None:
+    """Replace the partitions present in ``df``, and empty those of ``months`` that it has no rows of; the others stay.
+
+    Written files have new names, so a named month whose files are still the old ones got
+    no rows: it is dropped without looking at the rows again.
+    """
+    spark = df.sparkSession
+    before = {month: list_names(spark, _month_folder(path, month)) for month in months}
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(path))
+    for month, files in before.items():
+        if files and files == list_names(spark, _month_folder(path, month)):
+            drop_path_month(spark, path, month)
+
+
+def _month_folder(path: str, month: dt.date) -> str:
+    return f"{path.rstrip('/')}/month={month.isoformat()}"
 
 
 def write_month(df: DataFrame, path: str, month: dt.date) -> None:
-    """Replace one month of a table partitioned by ``month``."""
-    write_months(df.withColumn("month", F.lit(month)), path)
+    """Replace one month of a table partitioned by ``month``; without rows the month is emptied."""
+    write_months(df.withColumn("month", F.lit(month)), path, months=[month])
 
 
 def append_rows(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -100,13 +114,14 @@ def drop_table_month(spark: SparkSession, table: str, month: dt.date) -> None:
 
 def drop_path_month(spark: SparkSession, path: str, month: dt.date) -> bool:
     """Drop one month of a path-based table; False when it is not there."""
-    return delete_path(spark, f"{path.rstrip('/')}/month={month.isoformat()}")
+    return delete_path(spark, _month_folder(path, month))
 
 
-def save_catalog_table(df: DataFrame, name: str, partition_by: Sequence[str] = ("month",)) -> None:
-    """Publish in a catalog table: exactly the partitions in ``df`` are replaced, all others stay.
+def save_catalog_table(df: DataFrame, name: str, partition_by: Sequence[str] = ("month",), months: Iterable[dt.date] = ()) -> None:
+    """Publish in a catalog table: the partitions in ``df`` are replaced, those of ``months`` without rows dropped, all others stay.
 
     Columns go by name. The first call makes the table; later calls need its columns.
+    The insert runs in a session of its own, whose settings no other publish shares.
     """
     spark = df.sparkSession
     if not spark.catalog.tableExists(name):
@@ -114,10 +129,18 @@ def save_catalog_table(df: DataFrame, name: str, partition_by: Sequence[str] = (
     known = spark.table(name).columns
     if sorted(known) != sorted(df.columns):
         raise ValueError(f"{name} has the columns {', '.join(known)}, the rows have {', '.join(df.columns)}")
-    setting = "spark.sql.sources.partitionOverwriteMode"  # insertInto takes it from the session only
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
+    files = lambda month: sorted(spark.table(name).where(F.col("month") == F.lit(month)).inputFiles())
+    before = {month: files(month) for month in months}
+    own, view = spark.newSession(), f"published_{uuid.uuid4().hex}"
+    own.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    df.createGlobalTempView(view)
+    columns = ", ".join(f"`{column}`" for column in known)
     try:
-        df.select(*known).write.insertInto(name, overwrite=True)
+        own.sql(f"INSERT OVERWRITE TABLE {name} SELECT {columns} FROM global_temp.{view}")
     finally:
-        spark.conf.set(setting, before)
+        spark.catalog.dropGlobalTempView(view)
+    spark.catalog.refreshTable(name)
+    for month, old in before.items():
+        if old and old == files(month):
+            drop_table_month(spark, name, month)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from helpers import event, month, raw, tuples
 from shopmonth.sources import catalog, files, sinks, storage
+from shopmonth.sources.month_table import MonthTable
 from shopmonth.sources.schema import RAW_EVENTS
 from shopmonth.sources.workdir import new_folder, shared_root, stage, work_folder
 
@@ -194,3 +195,55 @@ def test_work_folder_comes_from_the_session(spark, monkeypatch):
         shared_root(Session(spark_master="yarn"))
     with pytest.raises(RuntimeError):
         shared_root(Session(spark_master="local-cluster[2,1,1024]"))
+
+
+def test_months_without_rows_are_emptied(spark, folder):
+    path = f"{folder}/t"
+    both = spark.createDataFrame([(1, month(2019, 10)), (2, month(2019, 11))], "v int, month date")
+    sinks.write_months(both, path)
+    sinks.write_month(spark.createDataFrame([], "v int"), path, month(2019, 11))
+    assert tuples(spark.read.parquet(path)) == [(1, month(2019, 10))]
+    sinks.write_month(spark.createDataFrame([], "v int"), path, month(2020, 1))
+    sinks.write_month(spark.createDataFrame([(5,)], "v int"), path, month(2019, 11))
+    sinks.write_months(both.where("v = 1"), path, months=[month(2019, 10)])
+    assert tuples(spark.read.parquet(path)) == [(1, month(2019, 10)), (5, month(2019, 11))]
+
+
+def test_catalog_months_without_rows_are_dropped(spark):
+    both = spark.createDataFrame([(1, month(2019, 10)), (2, month(2019, 11))], "v int, month date")
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    try:
+        sinks.save_catalog_table(both, "data_emptied")
+        sinks.save_catalog_table(both.where("v = 9"), "data_emptied", months=[month(2019, 11), month(2019, 12)])
+        assert tuples(spark.table("data_emptied")) == [(1, month(2019, 10))]
+        sinks.save_catalog_table(both.where("v = 9"), "data_emptied")
+        sinks.save_catalog_table(both.selectExpr("v + 10 AS v", "month"), "data_emptied", months=[month(2019, 10), month(2019, 11)])
+        assert tuples(spark.table("data_emptied")) == [(11, month(2019, 10)), (12, month(2019, 11))]
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
+    finally:
+        spark.sql("DROP TABLE IF EXISTS data_emptied")
+
+
+def test_month_table(spark, folder):
+    rows = lambda *values: spark.createDataFrame(list(values), "v int, month date")
+    table = MonthTable(spark, f"{folder}/m", rows((1, month(2019, 10))).schema)
+    october, november = month(2019, 10), month(2019, 11)
+    assert tuples(table.rows()) == []
+    table.replace(rows((1, october), (2, november)), [october, november])
+    table.replace(rows((3, november)), [november])
+    assert tuples(table.rows()) == [(1, october), (3, november)]
+    seen = table.rows()
+    rows((9, october)).withColumn("version", F.lit("half")).write.mode("append").partitionBy("month", "version").parquet(table.data)
+    assert tuples(table.rows()) == [(1, october), (3, november)] == tuples(seen)
+    assert table.vacuum() == 2
+    table.replace(rows((7, october)).where("v = 0"), [october])
+    assert tuples(table.rows()) == [(3, november)]
+    table.drop([november])
+    assert tuples(table.rows()) == [] and table.vacuum() == 2
+    for bad in ((1, november), (1, None)):
+        with pytest.raises(Exception, match="another month"):
+            table.replace(rows(bad), [october])
+    table.replace(rows((4, october)), [october])
+    assert tuples(table.rows()) == [(4, october)]
+    with pytest.raises(ValueError):
+        table.replace(rows(), [])
