@@ -161,6 +161,29 @@ placed AS (SELECT user_id, {", ".join(
 SELECT user_id, CAST(min(CAST({_distance("p", "r")} AS HUGEINT) * 16 + cluster) % 16 AS INTEGER) AS cluster
 FROM placed p, ranked r GROUP BY user_id"""
 
+# 10,000 draws with replacement, each at a rank by hash.
+_DRAWS = """
+ranked AS (SELECT user_id, row_number() OVER (ORDER BY md5('42:' || user_id)) - 1 AS rank, count(*) OVER () AS n FROM activity),
+drawn AS (SELECT draw, user_id FROM (SELECT unnest(range(10000)) AS draw) JOIN ranked
+          ON rank = CAST('0x' || substr(md5('42:draw:' || draw), 1, 15) AS BIGINT) % n)"""
+
+# A row drawn several times counts so often.
+_SAMPLED_SILHOUETTE = "WITH " + _LABELLED + "," + _DRAWS + """,
+weighted AS (SELECT l.*, w FROM labelled l JOIN (SELECT user_id, count(*) AS w FROM drawn GROUP BY user_id) USING (user_id)),
+sizes AS (SELECT cluster, sum(w) AS n FROM weighted GROUP BY cluster),
+pairs AS (
+  SELECT a.user_id, a.w, a.cluster, b.cluster AS other,
+         sum(b.w * sqrt((a.purchases - b.purchases) * (a.purchases - b.purchases)
+                        + (a.total_spent - b.total_spent) * (a.total_spent - b.total_spent))) AS d
+  FROM weighted a CROSS JOIN weighted b GROUP BY ALL),
+scores AS (
+  SELECT user_id, w, max(CASE WHEN other = p.cluster THEN n END) AS own_n,
+         max(CASE WHEN other = p.cluster AND n > 1 THEN d / (n - 1) END) AS a,
+         min(CASE WHEN other <> p.cluster THEN d / n END) AS b
+  FROM pairs p JOIN sizes s ON s.cluster = other GROUP BY user_id, w)
+SELECT CAST(sum(w) AS BIGINT) AS rows, round(sum(w * CASE WHEN own_n = 1 OR greatest(a, b) = 0 THEN 0.0
+         ELSE (b - a) / greatest(a, b) END) / sum(w), 6) AS silhouette FROM scores"""
+
 _MONTHLY = """
 monthly AS (SELECT *, CAST(date_trunc('month', o_orderdate) AS DATE) AS month FROM orders),
 newest AS (SELECT CAST(max(o_orderdate) AS DATE) AS as_of,
@@ -353,6 +376,8 @@ ORACLES = {
         SELECT {_ORDER}, month FROM monthly, newest
         WHERE month < as_of_month AND month <> as_of_month - INTERVAL 2 MONTH
           AND (month <> as_of_month - INTERVAL 1 MONTH OR o_orderstatus = 'F')""",
+    "bootstrap_by_rank": "WITH " + _ACTIVITY + "," + _DRAWS + " SELECT draw, user_id FROM drawn",
+    "silhouette_sample": _SAMPLED_SILHOUETTE,
     "classifier_against_majority": "WITH " + _LABELLED + """, sizes AS (SELECT cluster, count(*) AS n FROM labelled GROUP BY cluster)
         SELECT CAST(sum(n) AS BIGINT) AS users, round(max(n) / sum(n), 6) AS majority, CAST(8 AS BIGINT) AS settings, true AS better FROM sizes""",
     "kmeans_fixed_point": _FIXED_KMEANS,

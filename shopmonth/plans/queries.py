@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from ..functions.months import (expired_month, file_name, landed_stem, month_label, month_start, shift_month,
                                 table_label)
 from ..functions.text import array_count
-from ..operators import activity, boosting, cleaning, evaluation, months, quantiles, registry, retention, scoring, segments, stable_segments
+from ..operators import activity, boosting, cleaning, evaluation, months, quantiles, registry, retention, sampling, scoring, segments, stable_segments
 from ..operators.joins import HOT_SHARE
 from ..sources import files, ledger, month_table, sinks
 from ..sources.catalog import monthly_names
@@ -329,6 +329,19 @@ def segment_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_exported_csv(spark, path, report.users.schema)
 
 
+def bootstrap_by_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """10,000 draws of users with replacement, the same whatever the partitions."""
+    return sampling.bootstrap_by_rank(_features(spark, sf_dir).repartition(7)).select("draw", "user_id")
+
+
+def silhouette_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean silhouette with plain Euclidean distances over a bootstrap sample of 10,000 rows."""
+    drawn = sampling.bootstrap_by_rank(_fixed_segments(_features(spark, sf_dir)))
+    vector = F.array(*[F.col(c).cast("double") for c in CENTROID_COLUMNS])
+    rows = sampling.pairwise_silhouette(stage(drawn.select("draw", "cluster", vector.alias("vector")), "drawn"), "vector")
+    return rows.agg(F.count(F.lit(1)).alias("rows"), F.round(F.avg("silhouette"), 6).alias("silhouette"))
+
+
 def _stable(features: DataFrame) -> stable_segments.StableSegments:
     return stable_segments.fit_stable(features, lambda df: stage(df, "points"))
 
@@ -740,5 +753,5 @@ QUERIES = {query.__name__: query for query in (
     incremental_ingest, monthly_flow, flagship,
     landed_month, landed_folder, pending_flow, catalog_publish, event_types_with_nulls, event_times_by_zone,
     emptied_month, bootstrap_size, model_roundtrip, segments_by_spending, classifier_against_majority,
-    emptied_publish, month_table_publish, kmeans_fixed_point, kmeans_repartitioned, elbow_fixed_point, score_by_expression,
+    bootstrap_by_rank, silhouette_sample, emptied_publish, month_table_publish, kmeans_fixed_point, kmeans_repartitioned, elbow_fixed_point, score_by_expression,
 )}
