@@ -376,6 +376,27 @@ ORACLES = {
         SELECT {_ORDER}, month FROM monthly, newest
         WHERE month < as_of_month AND month <> as_of_month - INTERVAL 2 MONTH
           AND (month <> as_of_month - INTERVAL 1 MONTH OR o_orderstatus = 'F')""",
+    "csv_file_roundtrip": "WITH " + _ACTIVITY + " SELECT * FROM activity",
+    "bulk_copy": "WITH " + _DIRTY + """
+        SELECT CASE event_type WHEN 'view' THEN DATE '2024-03-01' ELSE DATE '2024-02-01' END AS month, count(*) AS n,
+               count(DISTINCT user_id) AS users, CAST(0 AS BIGINT) AS nameless
+        FROM dirty WHERE event_type IN ('view', 'purchase') GROUP BY 1""",
+    "emptied_store": "SELECT count(*) AS before, CAST(0 AS BIGINT) AS after, CAST(7 AS BIGINT) AS columns FROM orders",
+    "catalog_months": "WITH " + _MONTHLY + """
+        SELECT DISTINCT 'data_' || lower(strftime(month, '%Y_%b')) AS table_name FROM monthly, newest
+        WHERE month >= as_of_month - INTERVAL 2 MONTH""",
+    "landed_months": "WITH " + _DIRTY + """,
+        newest AS (SELECT CAST(date_trunc('month', max(ts)) AS DATE) AS month FROM events)
+        SELECT CAST(month - to_months(back) AS DATE) AS month, back = 0 AS landed,
+               CASE WHEN back = 0 THEN (SELECT count(*) FROM dirty WHERE event_type = 'purchase') ELSE 0 END AS n
+        FROM newest, (SELECT CAST(unnest(range(3)) AS INTEGER) AS back)""",
+    "guards": """
+        SELECT 'columns there' AS guard, CAST(NULL AS VARCHAR) AS message UNION ALL
+        SELECT 'columns missing', 'missing columns: price, brand' UNION ALL
+        SELECT 'rows there', NULL UNION ALL SELECT 'rows missing', 'events holds no rows'""",
+    "variance_shares": """
+        SELECT count(DISTINCT user_id) AS users, CAST(1 AS DOUBLE) AS all_shares, true AS two_match,
+               CAST(0 AS DOUBLE) AS covariance, CAST(6 AS DOUBLE) AS variance FROM events""",
     "bootstrap_by_rank": "WITH " + _ACTIVITY + "," + _DRAWS + " SELECT draw, user_id FROM drawn",
     "silhouette_sample": _SAMPLED_SILHOUETTE,
     "classifier_against_majority": "WITH " + _LABELLED + """, sizes AS (SELECT cluster, count(*) AS n FROM labelled GROUP BY cluster)

@@ -11,14 +11,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.months import (expired_month, file_name, landed_stem, month_label, month_start, shift_month,
-                                table_label)
+from ..functions.months import (expired_month, file_name, landed_stem, month_label, month_start, published_table,
+                                shift_month, table_label)
 from ..functions.text import array_count
 from ..operators import activity, boosting, cleaning, evaluation, months, quantiles, registry, retention, sampling, scoring, segments, stable_segments
 from ..operators.joins import HOT_SHARE
 from ..sources import files, ledger, month_table, sinks
-from ..sources.catalog import monthly_names
-from ..sources.schema import FEATURE_COLUMNS, RAW_EVENTS
+from ..sources.catalog import monthly_names, tables_like
+from ..sources.schema import FEATURE_COLUMNS, RAW_EVENTS, require_columns, require_rows
 from ..sources.workdir import new_folder, stage
 from ..streaming.ingest import ingest_landed
 from . import flows
@@ -622,6 +622,96 @@ def landed_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy(place.alias("place"), "month").agg(F.count(F.lit(1)).alias("n"))
 
 
+def csv_file_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The user table as one named gzip file, read back."""
+    features = _features(spark, sf_dir)
+    path = sinks.export_csv_file(features, new_folder(spark, "export"), "users.csv.gz")
+    return files.read_exported_csv(spark, path, features.schema)
+
+
+def bulk_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All landed months copied to the raw store in one job: rows, users and files by month."""
+    raw, base = dirty_events(spark, sf_dir), new_folder(spark, "bulk")
+    _land(spark, raw.where("event_type = 'purchase'"), f"{base}/landing/2024-Feb")
+    _land(spark, raw.where("event_type = 'view'"), f"{base}/landing/deep/2024-Mar")
+    store = flows.Store(f"{base}/store")
+    for _ in range(2):  # the second copy replaces the first
+        flows.copy_raw_folder(spark, f"{base}/landing", store)
+    return spark.read.parquet(store.raw).groupBy("month").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("user_id").alias("users"), F.count_if(F.col("source_file").isNull()).alias("nameless"))
+
+
+def emptied_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A filled store, then emptied: rows before and after, and the columns that stay."""
+    orders = monthly_orders(spark, sf_dir)
+    path = _stored_orders(spark, orders)
+    before = spark.read.parquet(path).count()
+    sinks.empty_table(spark, path, orders.schema)
+    after = spark.read.parquet(path)
+    return after.agg(F.lit(before).cast("long").alias("before"), F.count(F.lit(1)).alias("after"),
+                     F.lit(len(after.columns)).cast("long").alias("columns"))
+
+
+def catalog_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly tables found in a catalog by pattern; other tables are left out."""
+    orders, name = monthly_orders(spark, sf_dir), f"shop_{uuid.uuid4().hex}"
+    newest = shift_month(newest_order_date(orders), 0)
+    spark.sql(f"CREATE DATABASE {name}")
+    try:
+        for back in range(3):
+            month = shift_month(newest, -back)
+            files.read_month(orders, month).write.saveAsTable(f"{name}.{published_table(month)}")
+        orders.limit(1).write.saveAsTable(f"{name}.dataless")
+        return stage(tables_like(spark, "data_20%", name), "names")
+    finally:
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def landed_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which of the last three months have landed; reading one that has not is refused."""
+    raw, base, month = dirty_events(spark, sf_dir), new_folder(spark, "landing"), _event_month(spark, sf_dir)
+    _land(spark, raw.where("event_type = 'purchase'"), f"{base}/{landed_stem(month)}")
+    rows = []
+    for back in range(3):
+        asked = shift_month(month, -back)
+        try:
+            rows.append((asked, True, files.read_landed_month(spark, base, asked).count()))
+        except FileNotFoundError:
+            rows.append((asked, False, 0))
+    return spark.createDataFrame(rows, "month date, landed boolean, n long")
+
+
+def guards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the guards say to the events, whole, without a column and without rows."""
+    events = dirty_events(spark, sf_dir)
+
+    def said(guard) -> str | None:
+        try:
+            guard()
+        except ValueError as refused:
+            return str(refused)
+
+    wanted = ("user_id", "price", "brand")
+    rows = [("columns there", said(lambda: require_columns(events, wanted))),
+            ("columns missing", said(lambda: require_columns(events.drop("price", "brand"), wanted))),
+            ("rows there", said(lambda: require_rows(events, "events"))),
+            ("rows missing", said(lambda: require_rows(events.where("price < -1e9"), "events")))]
+    return spark.createDataFrame(rows, "guard string, message string")
+
+
+def variance_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Principal components: shares add up, the first two are those of the scores, and scores are not correlated."""
+    features = _features(spark, sf_dir)
+    scores, shares = segments.pca_scores(features, len(FEATURE_COLUMNS))
+    _, two = segments.pca_scores(features)
+    parts = vector_to_array("pca_vector")
+    total = sum((F.var_samp(parts[k]) for k in range(1, len(FEATURE_COLUMNS))), F.var_samp(parts[0]))
+    share = (F.var_samp(parts[0]) + F.var_samp(parts[1])) / total
+    return scores.agg(F.count(F.lit(1)).alias("users"), F.lit(round(sum(shares), 6)).alias("all_shares"),
+                      (F.abs(share - F.lit(sum(two))) < 1e-9).alias("two_match"),
+                      (F.round(F.abs(F.covar_samp(parts[0], parts[1])), 6) + 0.0).alias("covariance"), F.round(total, 6).alias("variance"))
+
+
 def pending_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two landed months through the whole flow; the published tables without the segment ids."""
     raw, base, month = dirty_events(spark, sf_dir), new_folder(spark, "flow"), _event_month(spark, sf_dir)
@@ -753,5 +843,6 @@ QUERIES = {query.__name__: query for query in (
     incremental_ingest, monthly_flow, flagship,
     landed_month, landed_folder, pending_flow, catalog_publish, event_types_with_nulls, event_times_by_zone,
     emptied_month, bootstrap_size, model_roundtrip, segments_by_spending, classifier_against_majority,
+    csv_file_roundtrip, bulk_copy, emptied_store, catalog_months, landed_months, guards, variance_shares,
     bootstrap_by_rank, silhouette_sample, emptied_publish, month_table_publish, kmeans_fixed_point, kmeans_repartitioned, elbow_fixed_point, score_by_expression,
 )}
