@@ -6,7 +6,8 @@ folder and hands the next one what it reads back. All stages but the last return
 the columns of documents.
 
 Defined results: a null or empty text goes in the first stage; rows without id are
-judged like others and kept as groups of their own where nothing else names them.
+judged like others and kept as groups of their own where nothing else names them;
+columns named like those that the last stage adds are replaced by it.
 """
 
 from __future__ import annotations
@@ -48,6 +49,8 @@ def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids with merge dropout, and whether they decode to the text."""
     path = public_tokenizers.path(PIECES)
+    # Columns that the documents bring under the names of the result make way.
+    docs = docs.drop("token_ids", "n_tokens", "lossless")
     tokens = piece_bpe.encode(docs, path, DROPOUT, SEED, lossless_col="lossless")
     return tokens.select(*docs.columns, "token_ids", F.size("token_ids").alias("n_tokens"), "lossless")
 

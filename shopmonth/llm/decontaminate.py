@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.workdir import stage
-from .words import ALPHANUMERIC, Words, slices, whole_hash
+from .words import ALPHANUMERIC, Words, free_name, slices, whole_hash
 
 WINDOW = 13
 MAX_BROADCAST_BYTES = 32 << 20
@@ -181,18 +181,20 @@ def is_contaminated(hit_col: str = "hits", share: int = 20):
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, **options) -> DataFrame:
     """The documents that are not contaminated, unchanged."""
-    scanned = scan_documents(docs, benchmark, window, hit_col="__hits", **options)
-    return scanned.where(~is_contaminated("__hits")).drop("__hits")
+    hits = free_name(docs, "__hits")
+    scanned = scan_documents(docs, benchmark, window, hit_col=hits, **options)
+    return scanned.where(~is_contaminated(hits)).drop(hits)
 
 
 def cut_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text",
               **options) -> DataFrame:
     """All documents, without the bytes of their hit spans; texts without hits stay as they are."""
-    scanned = scan_documents(docs, benchmark, window, text_col, hit_col="__hits", **options)
-    source, spans = F.encode(F.col(text_col), "UTF-8"), F.col("__hits.spans")
+    hits = free_name(docs, "__hits")
+    scanned = scan_documents(docs, benchmark, window, text_col, hit_col=hits, **options)
+    source, spans = F.encode(F.col(text_col), "UTF-8"), F.col(hits)["spans"]
     starts = F.concat(F.array(F.lit(0).cast("long")), F.transform(spans, lambda s: s["end_byte"]))
     ends = F.concat(F.transform(spans, lambda s: s["first_byte"]), F.array(F.octet_length(text_col).cast("long")))
     kept = F.transform(F.arrays_zip(starts.alias("a"), ends.alias("b")), lambda p: F.decode(
         F.substring(source, (p["a"] + 1).cast("int"), (p["b"] - p["a"]).cast("int")), "UTF-8"))
     text = F.when(F.size(spans) > 0, F.array_join(kept, "")).otherwise(F.col(text_col))
-    return scanned.withColumn(text_col, text).drop("__hits")
+    return scanned.withColumn(text_col, text).drop(hits)

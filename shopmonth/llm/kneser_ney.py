@@ -11,9 +11,11 @@ bytes as they are read, each block lists the n-grams that occur in it, the list
 joined with the model's rows, shard by shard, and the rows found go to the
 block's documents. The packed blocks are the only text that is moved.
 
-One trusted document in ``HELD_OUT`` is not trained on. A document is kept when its
-perplexity is at most the given quantile of those of its language's held-out
-documents, times a margin: what the model has seen would look too easy.
+One trusted document in ``HELD_OUT`` is not trained on, but never the first of its
+language by hash. A document is kept when its perplexity is at most the given quantile
+of those of its language's held-out documents, times a margin: what the model has seen
+would look too easy. Only a language with so few trusted documents that none is held out
+takes the quantile of those that it was trained on.
 
 Defined results: a null or empty text has no perplexity and is not kept; a
 language without trusted text has no threshold, and its documents are kept. A
@@ -339,18 +341,23 @@ def judged(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: flo
                        F.coalesce("lang", F.lit("")).alias("lang"), "text")
     good = trusted_ids(labels)
     good = F.broadcast(good) if good.count() <= BROADCAST_ROWS else good
-    rows = rows.join(good, "id", "left").select("id", "hash", "lang", F.coalesce("trusted", F.lit(False)).alias("trusted"), "text")
-    held_out = F.col("trusted") & (F.pmod(F.xxhash64("id"), F.lit(HELD_OUT)) == 0)
+    rows = rows.join(good, "id", "left").select("id", "hash", "lang", F.coalesce("trusted", F.lit(False)).alias("trusted"), "text",
+                                                F.coalesce(F.octet_length("text") > 0, F.lit(False)).alias("has_text"))
+    # One row for each language that has trusted text.
+    first = {r.lang: r.least for r in rows.where("trusted AND has_text").groupBy("lang").agg(F.min(F.xxhash64("id")).alias("least")).collect()}
+    is_first = F.coalesce(F.create_map(*[F.lit(v) for pair in first.items() for v in pair])[F.col("lang")] == F.xxhash64("id"),
+                          F.lit(False)) if first else F.lit(False)
+    held_out = F.col("trusted") & (F.pmod(F.xxhash64("id"), F.lit(HELD_OUT)) == 0) & ~is_first
     with work_folder(spark, "quality") as folder:
         counts = stage(count_ngrams(rows.where(F.col("trusted") & ~held_out), order), "counts", folder)
         model = stage(kneser_ney(counts, order), "model", folder)
         scored = settled(perplexities(rows, model, order))
-    limits = (scored.where(held_out & F.col("perplexity").isNotNull()).groupBy("lang")
-              .agg((F.percentile_approx("perplexity", quantile, 10_000) * margin).alias("threshold")))
+    seen = scored.where(F.col("trusted") & F.col("perplexity").isNotNull()).withColumn("held_out", held_out)
+    limit = lambda rows: F.percentile_approx(F.when(rows, F.col("perplexity")), quantile, 10_000)
+    limits = seen.groupBy("lang").agg((F.coalesce(limit(F.col("held_out")), limit(~F.col("held_out"))) * margin).alias("threshold"))
     known = scored.join(limits, "lang", "left")
-    keep = F.when(F.col("threshold").isNull(), F.lit(True)).otherwise(F.col("perplexity") <= F.col("threshold"))
-    has_text = F.col("perplexity").isNotNull() | F.col("threshold").isNull()
-    return known.select("id", "hash", "lang", "perplexity", "threshold", (F.coalesce(keep, F.lit(False)) & has_text).alias("keep"))
+    passes = F.col("threshold").isNull() | F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(False))
+    return known.select("id", "hash", "lang", "perplexity", "threshold", (F.col("has_text") & passes).alias("keep"))
 
 
 def row_hash():

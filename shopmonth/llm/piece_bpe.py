@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .words import mix, slices, text_buffer
+from .words import free_name, mix, slices, text_buffer
 
 MARKER = "▁"
 DROPOUT = 0.1
@@ -264,7 +264,7 @@ def encode(docs: DataFrame, model_path: str, rate: float = DROPOUT, seed: int =
     With ``lossless_col`` the ids are decoded in the same pass, and the column says
     whether they give every byte back.
     """
-    key = F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text_col)).alias("__key")
+    key = F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text_col)).alias(free_name(docs, "__key"))
     new = [ids_col, *([lossless_col] if lossless_col else [])]
     rows = docs.drop(*new).select("*", key)
     schema = T.StructType([*docs.drop(*new).schema, T.StructField(ids_col, T.ArrayType(T.IntegerType())),

@@ -46,12 +46,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ROUNDS = 8
+LONGEST_BLOCK = 128  # characters permuted together; half of them fit in one digest
 FIRST_DAY, DAYS = dt.date(1900, 1, 1).toordinal(), dt.date(2100, 1, 1).toordinal() - dt.date(1900, 1, 1).toordinal()
 
 PATTERN = re.compile(r"""
     (?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9]))
-  | (?P<secret>(?<![A-Za-z0-9])(?i:api[_-]?key|access[_-]?key|secret|token|password|passwd|key)["']?\s{0,3}[:=]\s{0,3}["']?(?P<value>[A-Za-z0-9_+/-]{16,200}))
-  | (?P<access>(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9_-]{20,200}|xox[abprs]-[A-Za-z0-9-]{10,200})(?![A-Za-z0-9]))
+  | (?P<secret>(?<![A-Za-z0-9])(?i:api[_-]?key|access[_-]?key|secret|token|password|passwd|key)["']?\s{0,3}[:=]\s{0,3}["']?(?P<value>[A-Za-z0-9_+/-]{16,}))
+  | (?P<access>(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9_-]{20,}|xox[abprs]-[A-Za-z0-9-]{10,})(?![A-Za-z0-9]))
   | (?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))
   | (?P<iso>(?<![\w.-])\d{4}-\d{2}-\d{2}(?![\w-]))
   | (?P<slash>(?<![\w/.-])\d{1,2}/\d{1,2}/\d{4}(?![\w/]))
@@ -106,7 +107,17 @@ class Feistel:
         return str(self.permute(int(text), 10 ** len(text), tweak, inverse)).zfill(len(text))
 
     def symbols(self, text: str, tweak: str, inverse: bool = False) -> str:
-        """Each letter and digit stays of its kind and case; all are permuted together."""
+        """Each letter and digit stays of its kind and case; all are permuted together.
+
+        Long texts go in stretches, each tweaked by the pseudonym of the one before.
+        """
+        if len(text) > LONGEST_BLOCK:
+            out, before = [], ""
+            for start in range(0, len(text), LONGEST_BLOCK):
+                stretch = text[start:start + LONGEST_BLOCK]
+                out.append(self.symbols(stretch, f"{tweak}+{before}", inverse))
+                before = stretch if inverse else out[-1]
+            return "".join(out)
         sets = [next((s for s in (string.digits, string.ascii_lowercase, string.ascii_uppercase) if c in s), None) for c in text]
         value, size = 0, 1
         for c, s in zip(text, sets):

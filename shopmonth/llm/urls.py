@@ -36,7 +36,8 @@ ROUNDS = 10
 THRESHOLD = 0.5
 BROADCAST_ROWS = 1_000_000
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
-_LINK = r"""(?is)\b(?:href|src)\s{0,9}=\s{0,9}["']?\s{0,9}((?:[a-z][a-z0-9+.-]{0,20}:)?//[^\s"'<>]+)"""
+_BLANKS = r"[ \t\n\f\r]*+"  # never given back, so any number of them costs one pass
+_LINK = rf"""(?is)\b(?:href|src){_BLANKS}={_BLANKS}["']?{_BLANKS}((?:[a-z][a-z0-9+.-]*+:)?//[^\s"'<>]+)"""
 
 
 def lower_ascii(text: Column) -> Column:

@@ -34,6 +34,14 @@ def mix(values: np.ndarray) -> np.ndarray:
 _BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
 
 
+def free_name(df, name: str) -> str:
+    """``name``, longer by underscores where the frame has a column of that name already."""
+    taken = set(map(str.lower, df.columns))
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 class Alphabet:
     """Which bytes belong to words; A-Z are lower-cased first unless ``fold`` is off, all bytes from 0x80 on belong to words."""
 

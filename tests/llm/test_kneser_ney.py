@@ -83,18 +83,29 @@ def test_probabilities_add_up_to_one():
 def test_decisions_and_clashing_columns(spark):
     docs = [(k, "the cat sat on the mat number %d" % (k % 3), "en") for k in range(60)]
     docs += [(100, "QZ!!## XX ||| %%% ~~~~", "en"), (101, None, "en"), (102, "", "en"), (103, "no model here", "fi"),
-             (104, "the cat sat on the mat", None), (None, docs[1][1], "en"), (5, docs[5][1], "en")]
+             (104, "the cat sat on the mat", None), (105, None, "fi"), (106, "", None), (None, docs[1][1], "en"), (5, docs[5][1], "en")]
     frame = spark.createDataFrame([(*d, 1.0, True) for d in docs], "doc_id long, text string, lang string, perplexity double, keep boolean")
     labels = spark.createDataFrame([(k, 1, 0) for k in range(60)] + [(100, 0, 0), (100, 1, 0), (None, 1, 0)],
                                    "doc_id long, quality int, toxic int")
     judged = kn.judged(frame, labels)
     assert judged.count() == len(docs)
     dropped = {r.id for r in judged.where("NOT keep").collect()}
-    assert dropped == {100, 101, 102}
+    assert dropped == {100, 101, 102, 105, 106}
     kept = kn.keep_good(frame, labels)
-    assert kept.columns == frame.columns and kept.count() == len(docs) - 3
+    assert kept.columns == frame.columns and kept.count() == len(docs) - 5
     assert kn.judged(frame.limit(0), labels).count() == 0
-    assert kn.keep_good(frame, labels.limit(0)).count() == len(docs) - 2
+    assert kn.keep_good(frame, labels.limit(0)).count() == len(docs) - 4
+
+
+@pytest.mark.parametrize("trusted", [1, 2, 3, 5])
+def test_few_trusted_documents_still_give_a_threshold(spark, trusted):
+    for shift in (0, 50, 99):
+        docs = [(shift + k, f"the cat sat on the mat and the dog number {k}", "en") for k in range(trusted)]
+        docs += [(900, "QZ!!## XX ||| %%% ~~~~ {{}} $$$ ^^^", "en")]
+        frame = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+        labels = spark.createDataFrame([(d[0], 1, 0) for d in docs[:-1]], "doc_id long, quality int, toxic int")
+        judged = kn.judged(frame, labels).collect()
+        assert all(r.threshold is not None for r in judged) and [r.keep for r in judged if r.id == 900] == [False]
 
 
 def test_labels_are_told_apart(spark):

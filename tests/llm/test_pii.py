@@ -70,6 +70,20 @@ def test_long_texts_take_time_in_proportion():
         NAMES.replace(text)
 
 
+@pytest.mark.parametrize("size", [16, 200, 201, 300, 100_000])
+def test_secrets_of_any_length_are_replaced_to_their_end(size):
+    value = ("aB3xY9" * size)[:size]
+    back = pii.Pseudonyms("k", inverse=True)
+    names = pii.Pseudonyms("k")
+    for before in ("token = ", "sk-"):
+        text = f"{before}{value if before == 'token = ' else value + 'q' * 8} end"
+        new, found = names.replace(text)
+        assert [k for k, *_ in found] == ["secret"] and new.startswith(before) and new.endswith(" end") and len(new) == len(text)
+        same = sum(a == b for a, b in zip(new[len(before):-4], text[len(before):-4]))
+        assert same < 0.2 * size + 8
+        assert back.replace(new)[0] == text
+
+
 def test_rows_and_columns_stay(spark):
     rows = [(1, "mail x@y.org", "c"), (1, None, "c"), (None, "", None), (2, "no 1 data", "d"), (3, "x@y.org", "e")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, found string")

@@ -102,3 +102,11 @@ def test_no_python_in_the_plan(spark):
 
 def test_empty(spark):
     assert urls.judged(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+@pytest.mark.parametrize("blanks", [0, 12, 1000, 200_000])
+def test_any_number_of_blanks_before_a_link(spark, blanks):
+    gap = " \n" * (blanks // 2)
+    html = f'<a href{gap}={gap}"{gap}//b.com/x">{gap}<img src={gap}'
+    pages = spark.createDataFrame([("a.com", html)], "host string, html string")
+    assert [tuple(r) for r in urls.host_links(pages).collect()] == [("a.com", "b.com", 1)]
