@@ -25,7 +25,7 @@ make it untrusted. Digits count as one character.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import blake2b
 
 import numpy as np
@@ -138,24 +138,26 @@ def count_ngrams(trusted: DataFrame, order: int = ORDER) -> DataFrame:
             .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
 
 
-def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
+def kneser_ney(counts: DataFrame, order: int = ORDER,
+               stored: Callable[[DataFrame, str], DataFrame] = lambda df, name: df) -> DataFrame:
     """``lang``, ``gram``, ``logp`` and ``back``: log probability of a gram, log back-off weight of it as a context.
 
     The row with the empty gram has the uniform probability of any character and
-    the weight of the empty context.
+    the weight of the empty context. Each order builds on the one below; ``stored``
+    may write each step and read it back, so that no plan holds all of them.
     """
     levels = {order: counts}
     for size in range(order - 1, 0, -1):
-        levels[size] = (levels[size + 1].groupBy("lang", F.substring("gram", 2, size).alias("gram"))
-                        .agg(F.count(F.lit(1)).alias("n")))
+        levels[size] = stored(levels[size + 1].groupBy("lang", F.substring("gram", 2, size).alias("gram"))
+                              .agg(F.count(F.lit(1)).alias("n")), f"level{size}")
     lower = levels[1].groupBy("lang").agg((-F.log(F.count(F.lit(1)) + 1.0)).alias("logp")).withColumn("gram", F.lit(""))
     grams, contexts = [lower], []
     for size in range(1, order + 1):
-        level = _discounted(levels[size], size)
+        level = stored(_discounted(levels[size], size), f"discounted{size}")
         contexts.append(level.groupBy("lang", F.col("context").alias("gram")).agg(F.log(F.first("weight")).alias("back")))
         below = lower.select("lang", F.col("gram").alias("suffix"), F.col("logp").alias("below"))
-        lower = (level.withColumn("suffix", F.substring("gram", 2, size - 1)).join(below, ["lang", "suffix"])
-                 .select("lang", "gram", F.log(F.col("own") + F.col("weight") * F.exp("below")).alias("logp")))
+        lower = stored(level.withColumn("suffix", F.substring("gram", 2, size - 1)).join(below, ["lang", "suffix"])
+                       .select("lang", "gram", F.log(F.col("own") + F.col("weight") * F.exp("below")).alias("logp")), f"lower{size}")
         grams.append(lower)
     union = lambda frames: frames[0] if len(frames) == 1 else frames[0].unionByName(union(frames[1:]))
     return union(grams).join(union(contexts), ["lang", "gram"], "full").select("lang", "gram", "logp", "back")
@@ -350,7 +352,7 @@ def judged(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: flo
     held_out = F.col("trusted") & (F.pmod(F.xxhash64("id"), F.lit(HELD_OUT)) == 0) & ~is_first
     with work_folder(spark, "quality") as folder:
         counts = stage(count_ngrams(rows.where(F.col("trusted") & ~held_out), order), "counts", folder)
-        model = stage(kneser_ney(counts, order), "model", folder)
+        model = stage(kneser_ney(counts, order, lambda df, name: stage(df, name, folder)), "model", folder)
         scored = settled(perplexities(rows, model, order))
     seen = scored.where(F.col("trusted") & F.col("perplexity").isNotNull()).withColumn("held_out", held_out)
     limit = lambda rows: F.percentile_approx(F.when(rows, F.col("perplexity")), quantile, 10_000)
