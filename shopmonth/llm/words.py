@@ -102,6 +102,8 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iter
         stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
+    # What Arrow keeps for later would add up over the operators that share a worker.
+    pa.default_memory_pool().release_unused()
 
 
 class Words:
