@@ -357,7 +357,9 @@ def judged(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: flo
     seen = scored.where(F.col("trusted") & F.col("perplexity").isNotNull()).withColumn("held_out", held_out)
     limit = lambda rows: F.percentile_approx(F.when(rows, F.col("perplexity")), quantile, 10_000)
     limits = seen.groupBy("lang").agg((F.coalesce(limit(F.col("held_out")), limit(~F.col("held_out"))) * margin).alias("threshold"))
-    known = scored.join(limits, "lang", "left")
+    # A language may hold most rows, so its one threshold goes to the rows where the measured table allows it.
+    limits = settled(limits)
+    known = scored.join(F.broadcast(limits) if limits.count() <= BROADCAST_ROWS else limits, "lang", "left")
     passes = F.col("threshold").isNull() | F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(False))
     return known.select("id", "hash", "lang", "perplexity", "threshold", (F.col("has_text") & passes).alias("keep"))
 
