@@ -40,12 +40,12 @@ named AS (SELECT src, """ + _lower("regexp_extract(regexp_extract(link, '(?s)//.
 links AS (SELECT src, dst, count(*) AS n FROM named WHERE dst <> '' AND dst <> src GROUP BY src, dst),
 seeds AS (SELECT host, avg(CASE WHEN kind = 'allow' THEN 1.0 ELSE 0.0 END) AS good,
                  avg(CASE WHEN kind = 'block' THEN 1.0 ELSE 0.0 END) AS bad FROM ruled WHERE host <> '' GROUP BY host)"""]
-    for name, seed, src, dst in (("t", "good", "src", "dst"), ("d", "bad", "dst", "src")):
-        steps.append(f"{name}s AS (SELECT {src} AS src, {dst} AS dst, n / sum(n) OVER (PARTITION BY {src}) AS share FROM links)")
+    steps.append("shares AS (SELECT src, dst, n / sum(n) OVER (PARTITION BY src) AS share FROM links)")
+    for name, seed, src, dst, kept in (("t", "good", "src", "dst", "1"), ("d", "bad", "dst", "src", "(1 - sum(seed))")):
         steps.append(f"{name}0 AS (SELECT host, {seed} AS rank FROM seeds WHERE {seed} > 0)")
-        steps += [f"""{name}{k} AS (SELECT host, sum(rank) AS rank FROM (
-                SELECT s.dst AS host, {DAMPING} * r.rank * s.share AS rank FROM {name}{k - 1} r JOIN {name}s s ON s.src = r.host
-                UNION ALL SELECT host, rank FROM {name}0) GROUP BY host)""" for k in range(1, ROUNDS + 1)]
+        steps += [f"""{name}{k} AS (SELECT host, sum(seed) + {kept} * {DAMPING} * sum(moved) AS rank FROM (
+                SELECT s.{dst} AS host, 0.0::DOUBLE AS seed, r.rank * s.share AS moved FROM {name}{k - 1} r JOIN shares s ON s.{src} = r.host
+                UNION ALL SELECT host, rank, 0.0::DOUBLE FROM {name}0) GROUP BY host)""" for k in range(1, ROUNDS + 1)]
     steps.append(f"""bad AS (SELECT d.host FROM d{ROUNDS} d LEFT JOIN t{ROUNDS} t USING (host)
                      WHERE d.rank >= {THRESHOLD} AND d.rank > coalesce(t.rank, 0))""")
     return "WITH " + ",\n".join(steps) + """

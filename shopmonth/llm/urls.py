@@ -22,7 +22,6 @@ from __future__ import annotations
 
 import string
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -71,33 +70,48 @@ def host_links(pages: DataFrame) -> DataFrame:
     return links.where("dst <> '' AND dst <> src").groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 
 
-def spread(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
-    """``host`` and ``rank``: personalised PageRank from ``seeds`` (host, seed) along ``links`` (src, dst, n)."""
+def link_shares(links: DataFrame) -> DataFrame:
+    """``src``, ``dst`` and ``share``: the part of a host's links (src, dst, n) that goes to each other host."""
     out = links.groupBy("src").agg(F.sum("n").alias("total"))
-    shares = settled(links.join(out, "src").select("src", "dst", (F.col("n") / F.col("total")).alias("share")))
+    return links.join(out, "src").select("src", "dst", (F.col("n") / F.col("total")).alias("share"))
+
+
+def _spread(seeds: DataFrame, shares: DataFrame, origin: str, target: str, value: Column, rounds: int) -> DataFrame:
+    """``host`` and ``rank``: in each round what ``seed`` and ``moved``, the shares of others' ranks, make by ``value``."""
+    zero = F.lit(0.0)
+    start = seeds.select("host", "seed", zero.alias("moved"))
     ranks = settled(seeds.select("host", F.col("seed").alias("rank")))
     for _ in range(rounds):
-        moved = (ranks.join(shares, ranks["host"] == shares["src"])
-                 .groupBy(F.col("dst").alias("host")).agg((damping * F.sum(F.col("rank") * F.col("share"))).alias("rank")))
-        ranks = settled(moved.unionByName(seeds.select("host", F.col("seed").alias("rank")))
-                        .groupBy("host").agg(F.sum("rank").alias("rank")))
+        moved = (ranks.join(shares, ranks["host"] == shares[origin])
+                 .groupBy(F.col(target).alias("host")).agg(F.sum(F.col("rank") * F.col("share")).alias("moved")))
+        both = start.unionByName(moved.select("host", zero.alias("seed"), "moved"))
+        both = both.groupBy("host").agg(F.sum("seed").alias("seed"), F.sum("moved").alias("moved"))
+        ranks = settled(both.select("host", value.alias("rank")))
     return ranks
 
 
+def spread_trust(seeds: DataFrame, shares: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+    """``host`` and ``rank``: personalised PageRank from ``seeds`` (host, seed) along ``shares``."""
+    return _spread(seeds, shares, "src", "dst", F.col("seed") + damping * F.col("moved"), rounds)
+
+
+def spread_distrust(seeds: DataFrame, shares: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+    """``host`` and ``rank``: the damped chance to come from a host along ``shares`` to the blocked part of ``seeds``."""
+    return _spread(seeds, shares, "dst", "src", F.col("seed") + (1 - F.col("seed")) * damping * F.col("moved"), rounds)
+
+
 def host_scores(pages: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
     """``host``, ``trust`` and ``distrust`` of all hosts that seeds or links touch."""
     share = lambda kind: F.avg(F.when(F.col("rule_verdict") == kind, 1.0).otherwise(0.0))
     seeds = settled(pages.where("host <> ''").groupBy("host").agg(share("allow").alias("good"), share("block").alias("bad"))
                     .where("good > 0 OR bad > 0"))
-    links = settled(host_links(pages))
-    back = links.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n")
-    trust = seeds.where("good > 0").select("host", F.col("good").alias("seed"))
-    distrust = seeds.where("bad > 0").select("host", F.col("bad").alias("seed"))
-    if links.isEmpty():
+    shares = settled(link_shares(settled(host_links(pages))))
+    if shares.isEmpty():
         rounds = 0
-    ranks = [spread(t, e, damping, rounds).withColumnRenamed("rank", n)
-             for t, e, n in ((trust, links, "trust"), (distrust, back, "distrust"))]
-    return reduce(lambda a, b: a.join(b, "host", "full"), ranks).na.fill(0.0)
+    trust = spread_trust(seeds.where("good > 0").select("host", F.col("good").alias("seed")), shares, damping, rounds)
+    distrust = spread_distrust(seeds.where("bad > 0").select("host", F.col("bad").alias("seed")), shares, damping, rounds)
+    return (trust.withColumnRenamed("rank", "trust").join(distrust.withColumnRenamed("rank", "distrust"), "host", "full")
+            .na.fill(0.0))
 
 
 def judged(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, threshold: float = THRESHOLD,
