@@ -21,7 +21,7 @@ A null text has null ids and an empty text has none; both decode to themselves.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -30,13 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .words import free_name, mix, slices, text_buffer
+from .words import free_name, mix, mix_one, slices, text_buffer
 
 MARKER = "▁"
 DROPOUT = 0.1
-LONG = 64
+LONG = 256
 SLICE_BYTES = 1 << 20
 _NONE = np.int64(1) << 62
+_ALL = (1 << 64) - 1
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
@@ -75,7 +76,7 @@ class Vocabulary:
         self.content = np.frombuffer(b"".join(contents), dtype=np.uint8)
 
     def _pairs(self, pairs: dict[tuple[int, int], int]) -> None:
-        self.pairs = pairs
+        self.candidates = {left << 20 | right: int(self.rank[merged]) << 20 | merged for (left, right), merged in pairs.items()}
         bits = max(4, (8 * len(pairs)).bit_length())
         self.mask, self.shift = (1 << bits) - 1, np.uint64(64 - bits)
         self.keys = np.full(1 << bits, -1, dtype=np.int64)
@@ -121,6 +122,11 @@ class Dropout:
         start, middle, end = (x.astype(np.uint64) for x in (start, middle, end))
         return mix(self.base[doc] + start * _A + middle * _B + end * _C) < self.limit
 
+    def skipped_one(self, doc: int) -> Callable[[int, int, int], bool]:
+        """The same of one candidate at a time in whole numbers, which costs less than arrays of one value."""
+        base, limit, a, b, c = int(self.base[doc]), int(self.limit), int(_A), int(_B), int(_C)
+        return lambda start, middle, end: limit > 0 and mix_one(base + start * a + middle * b + end * c & _ALL) < limit
+
 
 def encode_texts(texts: pa.Array, vocab: Vocabulary, rate: float = 0.0, seed: int = 0,
                  keys: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -216,34 +222,44 @@ def _merge_all(symbols: np.ndarray, doc: np.ndarray, first: np.ndarray, vocab: V
 
 
 def _merge_long(symbols, at: int, size: int, doc: int, origin: int, vocab: Vocabulary, drop: Dropout, final) -> None:
-    """Agenda of one long word, on a heap."""
-    piece = symbols[at:at + size].tolist()
-    after, before, end = list(range(1, size + 1)), list(range(-1, size - 1)), list(range(1, size + 1))
-    offset, home, heap = at - origin, np.array([doc]), []
-
-    def offer(left: int) -> None:
-        right = after[left] if left >= 0 else size
-        if right >= size:
-            return
-        made = vocab.pairs.get((piece[left], piece[right]))
-        if made is not None and not drop.skipped(home, *(np.array([offset + x]) for x in (left, right, end[right])))[0]:
-            heapq.heappush(heap, (int(vocab.rank[made]), left, right, end[right], made))
-
-    for left in range(size):
-        offer(left)
+    """Agenda of one long word on a heap of whole numbers: rank, piece and place of a candidate, in this order.
+
+    ``best`` of a symbol is the candidate that it forms with its right neighbour; entries
+    of the heap that are not the best of their symbol any more are passed over.
+    """
+    offset, made_of, skipped = at - origin, vocab.candidates, drop.skipped_one(doc)
+    word = symbols[at:at + size]
+    made = vocab.merged(word[:-1], word[1:]).astype(np.int64)
+    left = np.flatnonzero(made >= 0)
+    left = left[~drop.skipped(np.full(len(left), doc), left + offset, left + offset + 1, left + offset + 2)]
+    heap = [m << 32 | k for m, k in zip((vocab.rank[made[left]] << 20 | made[left]).tolist(), left.tolist())]
+    best = [-1] * size
+    for key, k in zip(heap, left.tolist()):
+        best[k] = key
+    heapq.heapify(heap)
+
+    piece, after, before = word.tolist(), list(range(1, size + 1)), list(range(-1, size - 1))
     while heap:
-        _, left, right, stop, made = heapq.heappop(heap)
-        if piece[left] is None or after[left] != right or end[right] != stop or piece[right] is None:
+        key = heapq.heappop(heap)
+        left = key & 0xFFFFFFFF
+        if best[left] != key:
             continue
-        piece[left], piece[right] = made, None
-        end[left], after[left] = stop, after[right]
-        if after[left] < size:
-            before[after[left]] = left
-        offer(left)
-        offer(before[left])
-    for k, p in enumerate(piece):
-        if p is not None:
-            final[at + k] = p
+        right = after[left]
+        piece[left], piece[right], best[right] = key >> 32 & 0xFFFFF, None, -1
+        after[left] = right = after[right]
+        if right < size:
+            before[right] = left
+        for k in (left, before[left]):
+            if k < 0:
+                continue
+            best[k], middle = -1, after[k]
+            if middle < size:
+                candidate = made_of.get(piece[k] << 20 | piece[middle]) if piece[k] >= 0 <= piece[middle] else None
+                if candidate is not None and not skipped(offset + k, offset + middle, offset + after[middle]):
+                    best[k] = candidate << 32 | k
+                    heapq.heappush(heap, best[k])
+    kept = [k for k, p in enumerate(piece) if p is not None]
+    final[at + np.array(kept)] = [piece[k] for k in kept]
 
 
 def decode_ids(ids: np.ndarray, offsets: np.ndarray, vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:

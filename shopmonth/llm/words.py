@@ -31,6 +31,13 @@ def mix(values: np.ndarray) -> np.ndarray:
     return x
 
 
+def mix_one(x: int) -> int:
+    """``mix`` of one value below 2**64."""
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & 0xFFFFFFFFFFFFFFFF
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & 0xFFFFFFFFFFFFFFFF
+    return x ^ x >> 31
+
+
 _BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
 
 
