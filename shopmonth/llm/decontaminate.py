@@ -28,11 +28,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.workdir import stage
-from .words import ALPHANUMERIC, Words, free_name, slices, whole_hash
+from .words import ALPHANUMERIC, Words, free_name, slices
 
 WINDOW = 13
 MAX_BROADCAST_BYTES = 32 << 20
-_TABLE_BITS = 20
 
 HITS = T.StructType([
     T.StructField("n_words", T.LongType()),
@@ -56,38 +55,86 @@ class Hits(NamedTuple):
         return sums[self.words.bounds[1:]] - sums[self.words.bounds[:-1]]
 
 
+class _Windows(NamedTuple):
+    """Windows of one length, sorted by hash: where their words are in the index's bytes, and which item has them."""
+
+    hashes: np.ndarray
+    starts: np.ndarray
+    sizes: np.ndarray
+    owners: np.ndarray
+    table: np.ndarray
+
+    def near(self, hashes: np.ndarray) -> np.ndarray:
+        """Positions of ``hashes`` that the table lets through and that are among the windows'."""
+        at = np.flatnonzero(self.table[hashes & np.uint64(len(self.table) - 1)])
+        found = np.minimum(np.searchsorted(self.hashes, hashes[at]), len(self.hashes) - 1)
+        return at[self.hashes[found] == hashes[at]]
+
+
 class WindowIndex:
-    """Hash set of the items' windows, by window length, with their words and item ids."""
+    """Hash set of the items' windows, by window length, with their words and item ids.
+
+    It is made of flat arrays, about 24 bytes a window beside the words themselves and
+    at most 16 for the table that turns most other hashes away.
+    """
 
     def __init__(self, items: list[tuple[str, str | None]], window: int):
-        self.windows: dict[int, dict[int, dict[bytes, set[str]]]] = {}
-        words = Words(pa.array([text for _, text in items], pa.string()), ALPHANUMERIC)
-        for (name, _), first, last in zip(items, words.bounds[:-1], words.bounds[1:]):
-            length = min(window, last - first)
-            for start in range(first, last - length + 1) if length else ():
-                value = int(whole_hash(words.hashes[start:start + length])[0])
-                found = self.windows.setdefault(length, {}).setdefault(value, {})
-                found.setdefault(words.text(start, start + length), set()).add(name)
-        self.sorted = {n: np.array(sorted(by_hash), dtype=np.uint64) for n, by_hash in self.windows.items()}
-        self.tables = {}
-        for length, values in self.sorted.items():
-            table = np.zeros(1 << _TABLE_BITS, dtype=bool)
-            table[values & np.uint64((1 << _TABLE_BITS) - 1)] = True
-            self.tables[length] = table
+        self.names = [name for name, _ in items]
+        parts, texts, used, first = {}, [], 0, 0
+        batch = pa.RecordBatch.from_arrays([pa.array([text for _, text in items], pa.large_string())], names=["text"])
+        for part in slices(batch, "text"):
+            words = Words(part.column(0), ALPHANUMERIC)
+            sizes = words.ends - words.starts
+            ends = np.cumsum(sizes + 1) - 1
+            starts = ends - sizes
+            line = np.full(len(words.hashes) + int(sizes.sum()), ord(" "), dtype=np.uint8)
+            line[np.arange(int(sizes.sum())) + np.repeat(np.arange(len(sizes)), sizes)] = words.alphabet.lower[
+                words.data[words.alphabet.inside[words.data]]]
+            owners = np.repeat(np.arange(part.num_rows), words.counts)
+            lengths = np.minimum(words.counts, window)[owners]
+            for length in np.unique(lengths).tolist():
+                at = np.flatnonzero(lengths == length)
+                at = at[at + length <= words.bounds[owners[at] + 1]]
+                parts.setdefault(length, []).append((words.window_hashes(length)[at], starts[at] + used,
+                                                     (ends[at + length - 1] - starts[at]).astype(np.int32),
+                                                     (owners[at] + first).astype(np.int32)))
+            texts.append(line.tobytes())
+            used, first = used + len(line), first + part.num_rows
+        self.text = b"".join(texts)
+        self.windows = {length: self._sorted(parts.pop(length)) for length in list(parts)}
+
+    @staticmethod
+    def _sorted(parts: list[tuple]) -> _Windows:
+        columns = [np.concatenate(c) for c in zip(*parts)]
+        order = np.argsort(columns[0], kind="stable")
+        hashes, starts, sizes, owners = (c[order] for c in columns)
+        table = np.zeros(1 << max(12, (8 * len(hashes)).bit_length()), dtype=bool)
+        table[hashes & np.uint64(len(table) - 1)] = True
+        return _Windows(hashes, starts, sizes, owners, table)
+
+    def _named(self, windows: _Windows, value: np.uint64) -> dict[bytes, set[str]]:
+        """Words of all windows with this hash, and the items that have them."""
+        named: dict[bytes, set[str]] = {}
+        span = slice(*(int(np.searchsorted(windows.hashes, value, side)) for side in ("left", "right")))
+        for start, size, owner in zip(*(c[span].tolist() for c in (windows.starts, windows.sizes, windows.owners))):
+            named.setdefault(self.text[start:start + size], set()).add(self.names[owner])
+        return named
 
     def scan(self, texts: pa.Array) -> Hits:
         words = Words(texts, ALPHANUMERIC)
         change = np.zeros(len(words.hashes) + 1, dtype=np.int64)
         items: list[set[str]] = [set() for _ in range(len(texts))]
-        for length, values in self.sorted.items():
+        for length, windows in self.windows.items():
             hashes = words.window_hashes(length)
-            near = np.flatnonzero(self.tables[length][hashes & np.uint64((1 << _TABLE_BITS) - 1)])
-            at = np.minimum(np.searchsorted(values, hashes[near]), len(values) - 1)
-            near = near[values[at] == hashes[near]]
+            near = windows.near(hashes)
             owners = np.searchsorted(words.bounds, near, side="right") - 1
             inside = near + length <= words.bounds[owners + 1]
+            named: dict[np.uint64, dict[bytes, set[str]]] = {}
             for start, owner in zip(near[inside].tolist(), owners[inside].tolist()):
-                names = self.windows[length][int(hashes[start])].get(words.text(start, start + length))
+                value = hashes[start]
+                if value not in named:
+                    named[value] = self._named(windows, value)
+                names = named[value].get(words.text(start, start + length))
                 if names:
                     change[start] += 1
                     change[start + length] -= 1

@@ -1,6 +1,7 @@
 """Decontamination against a plain rescan of every window."""
 
 import hashlib
+import pickle
 import random
 import re
 
@@ -82,3 +83,11 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.scan_documents(docs, none).first().hits.n_hit == 0
     assert decontaminate.scan_documents(docs.limit(0), none).count() == 0
+
+
+def test_index_is_in_proportion_to_its_text():
+    rng = random.Random(2)
+    items = [(str(k), " ".join(rng.choice(["to", "be", "or", "not", f"w{rng.randrange(10**5)}"]) for _ in range(rng.choice([5, 300]))))
+             for k in range(4000)]
+    size = sum(len(text) for _, text in items)
+    assert len(pickle.dumps(decontaminate.WindowIndex(items, 13))) < 16 * size
