@@ -19,10 +19,11 @@ from ..operators.evaluation import (LEARNING_RATES, TREE_COUNTS, TREE_DEPTHS, bo
                                     silhouette)
 from ..operators.months import PENDING_WINDOW, pending_months
 from ..operators.registry import latest_model_version, load_latest_model, save_model
-from ..operators.retention import (KEEP_MONTHS, active_users, require_active, retention_report,
+from ..operators.retention import (KEEP_MONTHS, active_users, old_rows, require_active, retention_report,
                                    surviving_old_rows)
 from ..operators.segments import (DEFAULT_K, DEFAULT_SEED, SEGMENT_NAMES, assign_segments,
                                   explained_variance, fit_segments, join_segments, name_segments)
+from ..sources.deletions import COMPACT_SHARE, MarkedTable
 from ..sources.files import read_landed_folder, read_landed_month, read_month
 from ..sources.ledger import append_months, read_ledger
 from ..sources.schema import ACTIVITY_TYPES, FEATURE_COLUMNS, require_rows
@@ -212,6 +213,23 @@ def run_retention(spark: SparkSession, path: str, as_of: dt.date, user: str = "u
     return report
 
 
+def mark_retention(table: MarkedTable, as_of: dt.date, keep: int = KEEP_MONTHS, allow_empty: bool = False,
+                   share: float = COMPACT_SHARE) -> list[dt.date]:
+    """``run_retention`` by marks: inactive users of old months are marked, and only months with many marks are rewritten.
+
+    Both ways leave the same rows to readers. Returns the months that were rewritten;
+    a second run marks nothing.
+    """
+    table.drop(shift_month(as_of, -EXPIRY_MONTHS))
+    events, user = table.rows(), table.user
+    with work_folder(table.spark, "retention") as folder:
+        active = stage(active_users(events, as_of, user, keep=keep), "active", folder)
+        require_active(active, allow_empty)
+        pairs = old_rows(events, "month", as_of, keep).select("month", user).distinct()
+        table.mark(stage(pairs.join(active, user, "left_anti"), "gone", folder))
+    return table.compact(share)
+
+
 def settled_report(report: DataFrame) -> DataFrame:
     """One row per month, as literals: the report outlives the folder of the run."""
     return report.sparkSession.createDataFrame(report.collect(), report.schema)

@@ -405,4 +405,17 @@ ORACLES = {
     "kmeans_repartitioned": "SELECT count(DISTINCT user_id) AS users, CAST(0 AS BIGINT) AS changed FROM events",
     "elbow_fixed_point": _FIXED_ELBOW,
     "score_by_expression": _SCORED_ORDERS,
+    "window_fences": "WITH " + _MONTHLY + """,
+        ends AS (SELECT DISTINCT month AS window_end FROM monthly)
+        SELECT window_end, count(*) AS sketched_rows, true AS q1_holds, true AS q3_holds FROM ends, monthly
+        WHERE month <= window_end AND month > window_end - INTERVAL 3 MONTH GROUP BY window_end""",
+    "marks_keep_files": "WITH " + _RETENTION + """,
+        present AS (SELECT recent OR o_custkey IN (SELECT o_custkey FROM active) AS stays FROM split, newest
+                    WHERE month <> as_of_month - INTERVAL 13 MONTH)
+        SELECT count(*) FILTER (WHERE stays) AS left_rows, count(*) FILTER (WHERE NOT stays) AS marked_rows,
+               CAST(0 AS BIGINT) AS changed_files FROM present""",
+    "late_files": "WITH " + _DIRTY + "," + _FENCE + "," + _KEPT + """
+        SELECT *, CAST(date_trunc('month', event_time) AS DATE) AS month, CAST(2 AS BIGINT) AS batches FROM clean""",
 }
+ORACLES["retention_by_marks"] = ORACLES["retention_run"]
+ORACLES["landed_many_files"] = ORACLES["landed_month"]

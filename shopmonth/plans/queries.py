@@ -11,16 +11,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.months import (expired_month, file_name, landed_stem, month_label, month_start, published_table,
+from ..functions.months import (expired_month, file_name, landed_stem, month_label, month_start, parse_event_time, published_table,
                                 shift_month, table_label)
 from ..functions.text import array_count
-from ..operators import activity, boosting, cleaning, evaluation, months, quantiles, registry, retention, sampling, scoring, segments, stable_segments
+from ..operators import activity, boosting, cleaning, evaluation, month_sketches, months, quantiles, registry, retention, sampling, scoring, segments, stable_segments
 from ..operators.joins import HOT_SHARE
-from ..sources import files, ledger, month_table, sinks
+from ..sources import deletions, files, ledger, month_table, sinks
 from ..sources.catalog import monthly_names, tables_like
 from ..sources.schema import FEATURE_COLUMNS, RAW_EVENTS, require_columns, require_rows
 from ..sources.workdir import new_folder, stage
-from ..streaming.ingest import ingest_landed
+from ..streaming.ingest import batch_ledger, ingest_landed, ingest_months
 from . import flows
 from .testbed import (EVENT_TYPES, ORDER_COLUMNS, busy_months, dirty_events, dirty_prices, monthly_orders,
                       newest_order_date, order_months, shop_events, table)
@@ -823,6 +823,83 @@ def segments_by_spending(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("segments"), F.count_if("falls").alias("falling")))
 
 
+# --- months by sketches, marks and streams -----------------------------------
+
+SKETCH_WINDOW = 3
+RANK_ERROR = 0.01
+
+
+def window_fences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quartiles of three months each from stored sketches of one month, the newest stored again: rows, and whether both ranks hold."""
+    orders, path = monthly_orders(spark, sf_dir), new_folder(spark, "sketches")
+    newest = shift_month(newest_order_date(orders), 0)
+    month_sketches.store_sketches(orders, path, "o_totalprice", [])
+    month_sketches.store_sketches(files.read_month(orders, newest), path, "o_totalprice", [newest])
+    windows = month_sketches.trailing_windows(month_sketches.read_sketches(spark, path), SKETCH_WINDOW)
+    found = month_sketches.merged_quantiles(windows, ["window_end"])
+    priced = orders.select("o_totalprice", F.explode(F.sequence(F.lit(0), F.lit(SKETCH_WINDOW - 1))).alias("ahead"), "month")
+    # One row for each month goes to the orders.
+    ranked = priced.withColumn("window_end", F.add_months("month", F.col("ahead"))).join(F.broadcast(found), "window_end")
+    price, checks = F.col("o_totalprice"), []
+    for k, p in enumerate(quantiles.QUARTILES):
+        q = F.col("quantiles")[k]
+        below, up_to = F.count_if(price < q) / F.count(F.lit(1)), F.count_if(price <= q) / F.count(F.lit(1))
+        checks.append(((below <= p + RANK_ERROR) & (up_to >= p - RANK_ERROR)).alias(f"q{2 * k + 1}_holds"))
+    return ranked.groupBy("window_end").agg(F.first("rows").alias("sketched_rows"), *checks)
+
+
+def _marked_orders(spark: SparkSession, orders: DataFrame) -> deletions.MarkedTable:
+    return deletions.MarkedTable(spark, _stored_orders(spark, orders), new_folder(spark, "marks"), "o_custkey")
+
+
+def retention_by_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What ``retention_run`` leaves, by marks and compaction, run twice."""
+    orders = monthly_orders(spark, sf_dir)
+    marked = _marked_orders(spark, orders)
+    for _ in range(2):
+        flows.mark_retention(marked, newest_order_date(orders))
+    return marked.rows()
+
+
+def marks_keep_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retention by marks alone: rows left and marked, and stored files that changed apart from the expired month."""
+    orders = monthly_orders(spark, sf_dir)
+    marked, as_of = _marked_orders(spark, orders), newest_order_date(orders)
+    expired = f"/month={shift_month(as_of, -flows.EXPIRY_MONTHS).isoformat()}/"
+    before = {name for name in marked.stored().inputFiles() if expired not in name}
+    flows.mark_retention(marked, as_of, share=2.0)
+    changed = len(before ^ set(marked.stored().inputFiles()))
+    hidden = marked.marked_shares().agg(F.coalesce(F.sum("marked_rows"), F.lit(0))).first()[0]
+    return marked.rows().agg(F.count(F.lit(1)).alias("left_rows"), F.lit(hidden).cast("long").alias("marked_rows"),
+                             F.lit(changed).cast("long").alias("changed_files"))
+
+
+def landed_many_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``landed_month`` as dozens of files, whose headers one job reads."""
+    raw, base, month = dirty_events(spark, sf_dir), new_folder(spark, "landing"), _event_month(spark, sf_dir)
+    place = f"{base}/{landed_stem(month)}"
+    extra = raw.where("event_type = 'purchase'").withColumn("category_id", F.col("product_id") * 10)
+    _land(spark, extra.repartition(files.DRIVER_FILES), f"{place}/purchases+%41", ["category_id", *reversed(RAW_EVENTS.names)])
+    _land(spark, raw.where("event_type <> 'purchase'").repartition(files.DRIVER_FILES), f"{place}/other ones")
+    return files.read_landed_month(spark, base, month)
+
+
+def late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that come after their months were cleaned: the months are cleaned again, with all their rows."""
+    raw, base, bounds = dirty_events(spark, sf_dir), new_folder(spark, "late"), _bounds(spark, sf_dir)
+    month = month_start(parse_event_time("event_time"))
+
+    def rebuild(rows: DataFrame, one) -> None:
+        sinks.write_month(cleaning.clean_events(rows, bounds), f"{base}/cleaned", one)
+
+    for name, rows in (("first", raw.where("event_type = 'purchase'")), ("late", raw.where("event_type <> 'purchase'"))):
+        _land(spark, rows, f"{base}/landing/{name}")
+        for _ in range(2):  # the second run finds nothing new
+            ingest_months(spark, f"{base}/landing/*", base, month, rebuild)
+    entries = batch_ledger(spark, f"{base}/ledger").groupBy("month").agg(F.count(F.lit(1)).alias("batches"))
+    return spark.read.parquet(f"{base}/cleaned").join(F.broadcast(entries), "month")
+
+
 QUERIES = {query.__name__: query for query in (
     row_count, preview, month_scan,
     fill_and_drop_nulls, fill_numeric_nulls, dedup_rows, valid_prices, within_fence, normalized_texts,
@@ -845,4 +922,5 @@ QUERIES = {query.__name__: query for query in (
     emptied_month, bootstrap_size, model_roundtrip, segments_by_spending, classifier_against_majority,
     csv_file_roundtrip, bulk_copy, emptied_store, catalog_months, landed_months, guards, variance_shares,
     bootstrap_by_rank, silhouette_sample, emptied_publish, month_table_publish, kmeans_fixed_point, kmeans_repartitioned, elbow_fixed_point, score_by_expression,
+    window_fences, retention_by_marks, marks_keep_files, landed_many_files, late_files,
 )}

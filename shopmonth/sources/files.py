@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import csv
 import datetime as dt
-from collections.abc import Iterable, Sequence
+import re
+from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,16 +20,56 @@ from .storage import encoded_path, first_line, list_files
 
 # Two quotes inside a quoted value are one quote; nothing else is escaped.
 CSV_QUOTING = {"quote": '"', "escape": '"'}
+DRIVER_FILES = 16  # up to so many headers are read faster by the driver than by a job
+WHOLE_FILE = 1 << 40
 
 
 def csv_header(spark: SparkSession, path: str) -> tuple[str, ...]:
     """Column names of one file; reads its first line only."""
-    names = tuple(name.strip() for name in next(csv.reader([first_line(spark, path).removeprefix("﻿")]), []))
+    return header_names(first_line(spark, path), path)
+
+
+def csv_headers(spark: SparkSession, paths: Sequence[str], driver_files: int = DRIVER_FILES) -> dict[str, tuple[str, ...]]:
+    """Column names of each file. More than ``driver_files`` files are opened by one job, a task for each, all at once."""
+    if len(paths) <= driver_files:
+        return {path: csv_header(spark, path) for path in paths}
+    lines = first_lines(spark, paths)
+    return {path: header_names(lines.get(plain_path(path), ""), path) for path in paths}
+
+
+def header_names(line: str, path: str) -> tuple[str, ...]:
+    names = tuple(name.strip() for name in next(csv.reader([line.removeprefix("﻿")]), []))
     if len(set(map(str.lower, names))) < len(names):
         raise ValueError(f"{path} names a column twice: {', '.join(names)}")
     return names
 
 
+def plain_path(path: str) -> str:
+    """Path without scheme and authority."""
+    return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path)
+
+
+def first_lines(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
+    """First line of each text file by its ``plain_path``; a file without bytes is not there.
+
+    The split size of a session of its own makes each file one partition, and a task
+    hands back one line and stops reading. What comes to the driver is a line a file,
+    as the list of files did before.
+    """
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
+
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.maxPartitionBytes", WHOLE_FILE)
+    own.conf.set("spark.sql.files.openCostInBytes", WHOLE_FILE)
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1)
+    lines = own.read.text(list(paths)).select(F.col("_metadata.file_path").alias("file"), "value")
+    return {unquote(plain_path(row.file)): row.value for row in lines.mapInArrow(first, "file string, value string").collect()}
+
+
 def read_events_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType = RAW_EVENTS,
                     mode: str = "PERMISSIVE", null_value: str = "", required: Iterable[str] | None = None,
                     multi_line: bool = False, path_column: str | None = None) -> DataFrame:
@@ -45,8 +88,8 @@ def read_events_csv(spark: SparkSession, path: str | Sequence[str], schema: T.St
         raise FileNotFoundError(f"no CSV file at {path}")
     required = [c for c in KEY_COLUMNS if c in schema.names] if required is None else list(required)
     layouts: dict[tuple[str, ...], list[str]] = {}
-    for name in found:
-        layouts.setdefault(csv_header(spark, name), []).append(name)
+    for name, header in csv_headers(spark, found).items():
+        layouts.setdefault(header, []).append(name)
     known = {field.name.lower(): field for field in schema.fields}
     scans = []
     for header, names in layouts.items():
