@@ -9,7 +9,7 @@ each context.
 Scoring never broadcasts the model. Documents are packed into blocks of bounded
 bytes as they are read, each block lists the n-grams that occur in it, the list is
 joined with the model's rows, shard by shard, and the rows found go to the
-block's documents. The packed blocks are the only text that is moved.
+block's documents, bundled by block in each shard. The packed blocks are the only text that is moved.
 
 One trusted document in ``HELD_OUT`` is not trained on, but never the first of its
 language by hash. A document is kept when its perplexity is at most the given quantile
@@ -46,7 +46,9 @@ MARGIN = 1.1
 HELD_OUT = 5
 BLOCK_BYTES = 32 << 20
 SLICE_BYTES = 1 << 20
-MARK = ("\x00", "\x00", 0.0, 0.0)
+SEPARATOR = "\x00"  # in no gram: texts have another character in its place
+MARK = ("\x00", "", 0.0, 0.0)
+BUNDLE_ROWS = 1 << 20
 BROADCAST_ROWS = 1_000_000
 BEGIN, END, REPLACEMENT = 2, 3, 0xFFFD
 _SLOTS = 1 << 19
@@ -220,14 +222,91 @@ class Shard:
 
 
 def needed_grams(windows: np.ndarray) -> pa.Array:
-    """All grams and contexts that scoring these windows may look up."""
+    """All grams and contexts that scoring these windows may look up, by size and in order of their code points.
+
+    In order, because neighbours that share their first characters take fewer bytes where they are moved.
+    """
     order = windows.shape[1]
+    there = np.zeros(0x110000, dtype=bool)
+    there[windows.reshape(-1)] = True
+    letters = np.flatnonzero(there).astype(np.uint32)
+    rank = (np.cumsum(there) - 1).astype(np.int32)
+    windows = different_rows(rank[windows], len(letters))
     parts = [pa.array([""])]
     for size in range(1, order + 1):
-        parts.append(pa.array(as_strings(windows[:, order - size:])))
+        grams = windows[:, order - size:]
         if size < order:
-            parts.append(pa.array(as_strings(windows[:, order - 1 - size:order - 1])))
-    return pc.unique(pa.concat_arrays([p.cast(pa.string()) for p in parts]))
+            grams = different_rows(np.concatenate([grams, windows[:, order - 1 - size:order - 1]]), len(letters))
+        parts.append(pa.array(as_strings(letters[grams])))
+    return pa.concat_arrays([p.cast(pa.string()) for p in parts])
+
+
+def different_rows(rows: np.ndarray, base: int) -> np.ndarray:
+    """The different rows of numbers below ``base``, sorted; as one number each where that fits."""
+    width = rows.shape[1]
+    if base ** width >= 1 << 63:
+        return np.unique(rows, axis=0)
+    places = np.array([base ** k for k in range(width - 1, -1, -1)], dtype=np.int64)
+    keys = np.zeros(len(rows), dtype=np.int64)
+    for k in range(width):
+        keys += rows[:, k] * places[k]
+    keys = np.unique(keys)
+    return np.stack([keys // place % base for place in places], axis=1).astype(np.int32)
+
+
+BUNDLE = "of_block long, lang string, n int, size int, grams binary, logp binary, back binary"
+
+
+def _bundler():
+    """Rows found for one block and language in one row: grams in one string, values as bytes by place, compressed."""
+    schema = pa.schema([("of_block", pa.int64()), ("lang", pa.string()), ("n", pa.int32()), ("size", pa.int32()),
+                        ("grams", pa.binary()), ("logp", pa.binary()), ("back", pa.binary())])
+
+    def bundles(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+        codec = pa.Codec("zstd", 6)
+        rows = pa.Table.from_batches(batches).combine_chunks()
+        blocks, langs = rows["of_block"].to_numpy(), rows["lang"].combine_chunks().dictionary_encode()
+        codes = langs.indices.to_numpy()
+        by_block = np.lexsort((codes, blocks))  # stable, so grams stay in the order of the join
+        blocks, codes = blocks[by_block], codes[by_block]
+        starts = np.flatnonzero(np.concatenate([[True], (blocks[1:] != blocks[:-1]) | (codes[1:] != codes[:-1])]))
+        ends = np.append(starts[1:], len(blocks))
+        grams = rows["gram"].combine_chunks().take(pa.array(by_block))
+        lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(blocks)), pa.int32()), grams)
+        texts = [t.encode() for t in pc.binary_join(lists, SEPARATOR).to_pylist()]
+        packed = [pa.array([codec.compress(t, asbytes=True) for t in texts], pa.binary())]
+        for name in ("logp", "back"):
+            values = rows[name].to_numpy()[by_block].astype(np.float32)
+            packed.append(pa.array([codec.compress(values[a:b].view(np.uint8).reshape(-1, 4).T.tobytes(), asbytes=True)
+                                    for a, b in zip(starts, ends)], pa.binary()))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(blocks[starts]), langs.dictionary.take(pa.array(codes[starts])), pa.array(ends - starts, pa.int32()),
+             pa.array([len(t) for t in texts], pa.int32()), *packed], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                rows += batch.num_rows
+            if rows >= BUNDLE_ROWS:
+                yield bundles(held)
+                held, rows = [], 0
+        if held:
+            yield bundles(held)
+
+    return run
+
+
+def unbundled(bundles: pa.Table) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Grams, log probabilities and back-off weights (nan where there is none) of the rows in bundles."""
+    codec, grams, values = pa.Codec("zstd"), [], {"logp": [np.zeros(0, np.float32)], "back": [np.zeros(0, np.float32)]}
+    for row in bundles.to_pylist():
+        grams += codec.decompress(row["grams"], row["size"], asbytes=True).decode().split(SEPARATOR)
+        for name, found in values.items():
+            planes = np.frombuffer(codec.decompress(row[name], 4 * row["n"], asbytes=True), np.uint8).reshape(4, -1)
+            found.append(np.ascontiguousarray(planes.T).view(np.float32).reshape(-1))
+    return grams, np.concatenate(values["logp"]), np.concatenate(values["back"])
 
 
 def perplexities(docs: DataFrame, model: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -242,7 +321,8 @@ def perplexities(docs: DataFrame, model: DataFrame, order: int = ORDER, block_by
     rows = (docs.mapInArrow(_lister(order, block_bytes), "of_block long, grams array<struct<lang:string,gram:string>>")
             .select("of_block", F.explode("grams").alias("g")).select("of_block", "g.lang", "g.gram")
             .join(model.unionByName(mark), ["lang", "gram"])
-            .select("of_block", "lang", "gram", F.col("logp").cast("float"), F.col("back").cast("float")))
+            .select("of_block", "lang", "gram", F.col("logp").cast("float"), F.col("back").cast("float"))
+            .mapInArrow(_bundler(), BUNDLE))
     blocks = docs.mapInArrow(_packer(block_bytes), "block long, packed binary")
     empty = pa.schema([*to_arrow_schema(docs.select(*kept).schema), ("perplexity", pa.float64())]).empty_table()
 
@@ -256,7 +336,7 @@ def perplexities(docs: DataFrame, model: DataFrame, order: int = ORDER, block_by
             for language, at in _language_groups(texts["lang"].combine_chunks()):
                 mine = rows.filter(pc.equal(rows["lang"], language))
                 if mine.num_rows:
-                    shard = Shard(mine["gram"].to_pylist(), mine["logp"].to_numpy(), mine["back"].to_numpy(), order)
+                    shard = Shard(*unbundled(mine), order)
                     values[at.to_numpy()] = _scores(texts.select(["text"]).take(at), shard, order)
             out.append(texts.select(kept).append_column("perplexity", pa.array(values, pa.float64(), from_pandas=True))
                        .cast(empty.schema))
@@ -293,12 +373,15 @@ def _lister(order: int, block_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in slices(batch, "text", block_bytes):
-                needed: dict[str, list[pa.Array]] = {MARK[0]: [pa.array([MARK[1]])]}
+                windows: dict[str, list[np.ndarray]] = {}
                 for part in slices(block, "text", SLICE_BYTES):
                     texts = part.column(part.schema.get_field_index("text"))
                     for language, rows in _language_groups(part.column(part.schema.get_field_index("lang"))):
-                        needed.setdefault(language, []).append(needed_grams(Characters(texts.take(rows), order).distinct()[0]))
-                grams = {k: pc.unique(pa.concat_arrays(v)) for k, v in needed.items()}
+                        windows.setdefault(language, []).append(Characters(texts.take(rows), order).distinct()[0])
+                grams = {MARK[0]: pa.array([MARK[1]])}
+                while windows:
+                    language, found = windows.popitem()
+                    grams[language] = needed_grams(np.concatenate(found))
                 pairs = pa.StructArray.from_arrays(
                     [pa.concat_arrays([pa.array([k] * len(v), pa.string()) for k, v in grams.items()]),
                      pa.concat_arrays(list(grams.values()))], fields=list(pair))

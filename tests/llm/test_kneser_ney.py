@@ -134,3 +134,33 @@ def test_four_characters_of_context_count(spark):
     docs = spark.createDataFrame([(1, "x", "pabcq"), (2, "x", "pabcs")], "id long, lang string, text string")
     got = {r.id: r.perplexity for r in kn.perplexities(docs, model).collect()}
     assert got[1] < got[2] * 0.99
+
+
+@pytest.mark.parametrize("letters", [3, 50_000])
+def test_needed_grams_of_small_and_large_alphabets(letters):
+    rng = np.random.default_rng(5)
+    windows = rng.integers(0x20000, 0x20000 + letters, size=(4000, 5)).astype(np.uint32)
+    windows = np.concatenate([windows, windows[:50]])
+    wanted = {""}
+    for row in windows:
+        text = "".join(map(chr, row))
+        wanted |= {text[k:] for k in range(5)} | {text[k:4] for k in range(4)}
+    got = kn.needed_grams(windows).to_pylist()
+    assert len(got) == len(wanted) and set(got) == wanted
+    assert got == sorted(got, key=lambda g: (len(g), g))
+
+
+def test_bundles_hold_all_rows_found():
+    rows = [(7, "x", "", -1.5, 0.25), (9, "x", "a퟿", None, -0.5), (7, "y", "ab", -2.0, None), (7, "x", "\n,", -3.25, None),
+            (9, "\x00", "", 0.0, 0.0), (7, "x", "äöü", -0.125, 1.0)]
+    columns = ["of_block", "lang", "gram", "logp", "back"]
+    batch = pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows), (
+        pa.int64(), pa.string(), pa.string(), pa.float32(), pa.float32()))], names=columns)
+    out = pa.Table.from_batches(list(kn._bundler()([batch.slice(0, 2), batch.slice(0, 0), batch.slice(2)])))
+    got = []
+    for k in range(out.num_rows):
+        one = out.slice(k, 1)
+        found = zip(*kn.unbundled(one))
+        got += [(one["of_block"][0].as_py(), one["lang"][0].as_py(), g, *(None if math.isnan(v) else float(v) for v in values))
+                for g, *values in found]
+    assert sorted(got, key=str) == sorted(rows, key=str) and out.num_rows == 4
