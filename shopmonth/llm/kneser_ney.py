@@ -46,6 +46,7 @@ MARGIN = 1.1
 HELD_OUT = 5
 BLOCK_BYTES = 32 << 20
 SLICE_BYTES = 1 << 20
+SCORED_BYTES = 1 << 19
 SEPARATOR = "\x00"  # in no gram: texts have another character in its place
 MARK = ("\x00", "", 0.0, 0.0)
 BUNDLE_ROWS = 1 << 20
@@ -63,9 +64,12 @@ class Characters:
 
     def __init__(self, texts: pa.Array, order: int = ORDER):
         data, offsets = text_buffer(texts)
+        whole = _whole(len(data) + (order + 1) * len(texts))
         try:
             codes = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), dtype=np.uint32)
-            ends = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
+            ends = np.zeros(len(data) + 1, dtype=whole)
+            np.cumsum((data & 0xC0) != 0x80, out=ends[1:])
+            ends = ends[offsets].astype(np.int64)
         except UnicodeDecodeError:
             parts = [data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(offsets[:-1], offsets[1:])]
             codes = np.frombuffer("".join(parts).encode("utf-32-le"), dtype=np.uint32)
@@ -73,15 +77,21 @@ class Characters:
         codes = np.where((codes >= 48) & (codes <= 57), np.uint32(48), codes)
         codes[codes == 0] = REPLACEMENT
         lengths = np.diff(ends)
-        shift = np.repeat(np.arange(len(lengths)) * order + order - 1, lengths)
+        last = np.cumsum(lengths + order) - 1
         self.order = order
         self.codes = np.full(len(codes) + order * len(lengths), BEGIN, dtype=np.uint32)
-        self.codes[np.arange(len(codes)) + shift] = codes
-        self.codes[np.cumsum(lengths + order) - 1] = END
+        inside = np.ones(len(self.codes), dtype=bool)
+        inside[last] = False
+        for k in range(order - 1):
+            inside[last - lengths - 1 - k] = False
+        self.codes[inside] = codes
+        self.codes[last] = END
         self.lengths = lengths
         self.bounds = np.concatenate([[0], np.cumsum(lengths + 1)])
-        first = np.concatenate([[0], np.cumsum(lengths + order)[:-1]]) if len(lengths) else np.zeros(0, np.int64)
-        self.starts = np.arange(self.bounds[-1]) + np.repeat(first - self.bounds[:-1], lengths + 1)
+        inside[:] = True
+        for k in range(order - 1):
+            inside[last - k] = False
+        self.starts = np.flatnonzero(inside).astype(whole)
 
     def distinct(self) -> tuple[np.ndarray, np.ndarray]:
         """Matrix of the different windows, and for each window its row there."""
@@ -89,22 +99,30 @@ class Characters:
         total = max(0, len(values) - self.order + 1)
         keys = np.zeros(total, dtype=np.uint64)
         for k in range(self.order):
-            keys += values[k:k + total] * np.uint64(2 * k + 0x9E3779B97F4A7C15)
-        first, inverse = distinct(mix(keys)[self.starts])
+            # Powers, not multiples: with factors in even steps abba and baab would be one.
+            keys += values[k:k + total] * np.uint64(pow(0x9E3779B97F4A7C15, 2 * k + 1, 1 << 64))
+        del values
+        keys = mix(keys)[self.starts]
+        first, inverse = distinct(keys)
         return self.codes[self.starts[first][:, None] + np.arange(self.order)], inverse
 
 
+def _whole(size: int) -> type:
+    """Whole numbers that places below ``size`` fit in; half as wide where that is enough, since most memory is theirs."""
+    return np.int32 if size < 1 << 31 else np.int64
+
+
 def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A position of each different key, and for each key its number; keys that share a slot are sorted."""
-    slots = (keys & np.uint64(_SLOTS - 1)).astype(np.int64)
-    owner = np.zeros(_SLOTS, dtype=np.int64)
-    owner[slots] = np.arange(len(keys))
-    own = keys[owner[slots]] == keys
+    whole = _whole(len(keys))
+    slots = (keys & np.uint64(_SLOTS - 1)).astype(np.int32)
+    owner = np.zeros(_SLOTS, dtype=whole)
+    owner[slots] = np.arange(len(keys), dtype=whole)
+    rest = np.flatnonzero(keys[owner[slots]] != keys)
     taken = np.zeros(_SLOTS, dtype=bool)
     taken[slots] = True
-    number = np.cumsum(taken) - 1
+    number = np.cumsum(taken, dtype=whole) - whole(1)
     inverse = number[slots]
-    rest = np.flatnonzero(~own)
     _, first, others = np.unique(keys[rest], return_index=True, return_inverse=True)
     inverse[rest] = others + number[-1] + 1
     return np.concatenate([owner[taken], rest[first]]), inverse
@@ -330,8 +348,8 @@ def perplexities(docs: DataFrame, model: DataFrame, order: int = ORDER, block_by
         out = [empty]
         if packed.num_rows and not pc.any(pc.equal(rows["lang"], MARK[0])).as_py():
             raise RuntimeError("the documents came in another order when they were read again; write them to a table first")
-        for block in packed["packed"].to_pylist():
-            texts = pa.ipc.open_stream(block).read_all().combine_chunks()
+        for block in packed["packed"]:
+            texts = pa.ipc.open_stream(block.as_buffer()).read_all().combine_chunks()
             values = np.full(texts.num_rows, np.nan)
             for language, at in _language_groups(texts["lang"].combine_chunks()):
                 mine = rows.filter(pc.equal(rows["lang"], language))
@@ -349,7 +367,7 @@ def perplexities(docs: DataFrame, model: DataFrame, order: int = ORDER, block_by
 def _scores(texts: pa.Table, shard: Shard, order: int) -> np.ndarray:
     values = []
     for batch in texts.combine_chunks().to_batches():
-        for part in slices(batch, "text", SLICE_BYTES):
+        for part in slices(batch, "text", SCORED_BYTES):
             chars = Characters(part.column(0), order)
             windows, inverse = chars.distinct()
             logs = np.concatenate([[0.0], np.cumsum(shard.log_probabilities(windows)[inverse])])

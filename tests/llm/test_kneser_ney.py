@@ -1,6 +1,7 @@
 """The character model against a plain implementation, and against the labels."""
 
 import math
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -164,3 +165,24 @@ def test_bundles_hold_all_rows_found():
         got += [(one["of_block"][0].as_py(), one["lang"][0].as_py(), g, *(None if math.isnan(v) else float(v) for v in values))
                 for g, *values in found]
     assert sorted(got, key=str) == sorted(rows, key=str) and out.num_rows == 4
+
+
+def test_mirrored_windows_are_told_apart():
+    text = "abbac baabc abcba bacab"
+    chars = kn.Characters(pa.array([text]), 5)
+    windows, inverse = chars.distinct()
+    padded = "\x02" * 4 + text + "\x03"
+    assert [str(w) for w in kn.as_strings(windows)[inverse]] == [padded[k:k + 5] for k in range(len(text) + 1)]
+
+
+def test_scoring_takes_little_memory():
+    rng = np.random.default_rng(3)
+    texts = pa.table({"text": ["".join(map(chr, rng.integers(97, 105, 4000))) for _ in range(500)]})
+    grams = [""] + [chr(k) for k in range(97, 105)]
+    shard = kn.Shard(grams, np.full(len(grams), -2.0), np.zeros(len(grams)), 5)
+    kn._scores(texts, shard, 5)
+    tracemalloc.start()
+    values = kn._scores(texts, shard, 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(values) == 500 and peak < 50 << 20
