@@ -65,3 +65,15 @@ def test_repeated_rows_do_not_multiply_revisits(spark, folder):
     manifest = warc.write_archives(pages, f"file://{folder}/r")
     got = warc.page_captures(warc.assemble(warc.read_records(manifest, f"file://{folder}/r")))
     assert sorted((r.page_id, r.refers_to) for r in got.where("record_type = 'revisit'").collect()) == [(1, 9), (2, 9)]
+
+
+def test_query_parses_archives_once(spark, folder):
+    plan = queries.op8_warc(spark, f"{compare.TESTDATA}/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" not in plan
+    rows = [(1, "u", "x" * 2000), (2, "v", "x" * 2000), (3, "w", "short"), (4, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    manifest = warc.write_archives(pages, f"file://{folder}/h")
+    whole, heads = warc.read_records(manifest, f"file://{folder}/h"), warc.read_heads(manifest, f"file://{folder}/h")
+    assert heads.schema == whole.schema and heads.where("record_type = 'response' AND payload IS NOT NULL").count() == 0
+    bare = lambda df: sorted(map(str, df.selectExpr("* EXCEPT (payload)", "IF(record_type = 'response', NULL, payload) payload").collect()))
+    assert bare(heads) == bare(whole) and heads.where("record_type <> 'warcinfo'").count() == 12
