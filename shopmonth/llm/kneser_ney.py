@@ -50,6 +50,7 @@ SCORED_BYTES = 1 << 19
 SEPARATOR = "\x00"  # in no gram: texts have another character in its place
 MARK = ("\x00", "", 0.0, 0.0)
 BUNDLE_ROWS = 1 << 20
+LISTED_ROWS = 1 << 16  # a batch goes to the JVM as a whole
 BROADCAST_ROWS = 1_000_000
 BEGIN, END, REPLACEMENT = 2, 3, 0xFFFD
 _SLOTS = 1 << 19
@@ -152,7 +153,7 @@ def count_ngrams(trusted: DataFrame, order: int = ORDER) -> DataFrame:
                     grams = pa.concat_tables(found).group_by("gram").aggregate([("n", "sum")])
                     columns = {"lang": pa.array([language] * len(grams), pa.string()), "gram": grams["gram"],
                                "n": grams["n_sum"].cast(pa.int64())}
-                    yield from pa.table(columns).to_batches()
+                    yield from pa.table(columns).to_batches(LISTED_ROWS)
 
     return (trusted.select("lang", "text").mapInArrow(run, "lang string, gram string, n long")
             .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
@@ -336,8 +337,7 @@ def perplexities(docs: DataFrame, model: DataFrame, order: int = ORDER, block_by
     """
     kept = [c for c in docs.columns if c != "text"]
     mark = model.sparkSession.createDataFrame([MARK], "lang string, gram string, logp double, back double")
-    rows = (docs.mapInArrow(_lister(order, block_bytes), "of_block long, grams array<struct<lang:string,gram:string>>")
-            .select("of_block", F.explode("grams").alias("g")).select("of_block", "g.lang", "g.gram")
+    rows = (docs.mapInArrow(_lister(order, block_bytes), "of_block long, lang string, gram string")
             .join(model.unionByName(mark), ["lang", "gram"])
             .select("of_block", "lang", "gram", F.col("logp").cast("float"), F.col("back").cast("float"))
             .mapInArrow(_bundler(), BUNDLE))
@@ -385,8 +385,13 @@ def block_id(block: pa.RecordBatch) -> int:
 
 
 def _lister(order: int, block_bytes: int):
-    """One row for each block of documents: the grams that scoring them looks up, and the mark."""
-    pair = pa.struct([("lang", pa.string()), ("gram", pa.string())])
+    """The grams that scoring each block of documents looks up, and its mark, in batches of bounded rows."""
+    def listed(block: int, language: str, grams: pa.Array) -> Iterator[pa.RecordBatch]:
+        for first in range(0, len(grams), LISTED_ROWS):
+            part = grams.slice(first, LISTED_ROWS)
+            yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(block, pa.int64()), len(part)),
+                                              pa.repeat(pa.scalar(language, pa.string()), len(part)), part],
+                                             names=["of_block", "lang", "gram"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -396,16 +401,11 @@ def _lister(order: int, block_bytes: int):
                     texts = part.column(part.schema.get_field_index("text"))
                     for language, rows in _language_groups(part.column(part.schema.get_field_index("lang"))):
                         windows.setdefault(language, []).append(Characters(texts.take(rows), order).distinct()[0])
-                grams = {MARK[0]: pa.array([MARK[1]])}
+                name = block_id(block)
+                yield from listed(name, MARK[0], pa.array([MARK[1]]))
                 while windows:
                     language, found = windows.popitem()
-                    grams[language] = needed_grams(np.concatenate(found))
-                pairs = pa.StructArray.from_arrays(
-                    [pa.concat_arrays([pa.array([k] * len(v), pa.string()) for k, v in grams.items()]),
-                     pa.concat_arrays(list(grams.values()))], fields=list(pair))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block_id(block)], pa.int64()),
-                     pa.ListArray.from_arrays(pa.array([0, len(pairs)], pa.int32()), pairs)], names=["of_block", "grams"])
+                    yield from listed(name, language, needed_grams(np.concatenate(found)))
 
     return run
 

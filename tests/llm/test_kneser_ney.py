@@ -186,3 +186,16 @@ def test_scoring_takes_little_memory():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert len(values) == 500 and peak < 50 << 20
+
+
+def test_listed_grams_go_in_small_batches():
+    rng = np.random.default_rng(4)
+    texts = ["".join(map(chr, rng.integers(0x4E00, 0x4E00 + 200, 100_000))) for _ in range(2)]
+    batch = pa.RecordBatch.from_pydict({"lang": ["x", "y"], "text": texts})
+    out = list(kn._lister(5, kn.BLOCK_BYTES)(iter([batch])))
+    assert max(b.nbytes for b in out) < 4 << 20 and max(b.num_rows for b in out) <= kn.LISTED_ROWS
+    rows = pa.Table.from_batches(out)
+    got = {(lang, gram) for lang, gram in zip(rows["lang"].to_pylist(), rows["gram"].to_pylist())}
+    wanted = {(lang, g) for lang, t in zip("xy", texts) for g in kn.needed_grams(kn.Characters(pa.array([t]), 5).distinct()[0]).to_pylist()}
+    assert got == wanted | {kn.MARK[:2]} and len(got) == rows.num_rows
+    assert set(rows["of_block"].to_pylist()) == {kn.block_id(batch)}
