@@ -38,14 +38,13 @@ from hashlib import blake2b
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.workdir import work_folder, stage
 from .graph import connected_components, settled
-from .words import NOT_SPACE, Words, mix, shingle_sets, slices
+from .words import NOT_SPACE, Words, give_back, mix, shingle_sets, slices
 
 ORDERED_SHINGLES = 1 << 17      # size of the table that puts frequent shingles last
 REPEATS = 3                     # repeats inside a slice that make a shingle frequent
@@ -53,6 +52,7 @@ LIST_WEIGHT = 6                 # cost of a list entry, with its comparisons, in
 SMALL_AT_MOST = 48              # sizes tried as the boundary
 SHORT_LIST = 48                 # lists up to this length are compared by a join
 BLOCK_BYTES = 4 << 20           # of shingles in a block of a long list
+SET_BYTES = 1 << 18             # of text whose shingles are made at once
 BROADCAST_ROWS = 1_000_000      # of 8-byte keys that may be broadcast
 
 
@@ -195,7 +195,8 @@ def _profiles(texts: DataFrame, shingle: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                found = list(shingle_sets(Words(part.column(2), NOT_SPACE), shingle))
+                found = [s for few in slices(part, "text", SET_BYTES)
+                         for s in shingle_sets(Words(few.column(2), NOT_SPACE), shingle)]
                 values, counts = np.unique(np.concatenate(found), return_counts=True)
                 often = counts >= REPEATS
                 frequent = [{"shingle": h, "n": c} for h, c in
@@ -249,7 +250,7 @@ def _keys(texts: DataFrame, shingle: int, similarity: Similarity, boundary: int,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SET_BYTES):
                 found = list(shingle_sets(Words(part.column(2), NOT_SPACE), shingle))
                 keep = np.array([len(s) > 0 for s in found])
                 found = [s for s in found if len(s)]
@@ -352,7 +353,7 @@ def _sets(texts: DataFrame, shingle: int, keys: DataFrame, wanted: DataFrame) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SET_BYTES):
                 found = list(shingle_sets(Words(part.column(0), NOT_SPACE), shingle))
                 mine = [set_name(s) == name for s, name in zip(found, part.column(1).to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column(2).filter(pa.array(mine, pa.bool_())),
@@ -379,6 +380,7 @@ def _verified(texts: DataFrame, shingle: int, keys: DataFrame, pairs: DataFrame,
                 shared = int(np.count_nonzero(both[1:] == both[:-1]))
                 keep.append(under * shared >= over * (len(x) + len(y) - shared))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            give_back()
 
     return (pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
             .mapInArrow(run, "a long, b long"))
@@ -405,12 +407,13 @@ def _long_list_links(texts: DataFrame, shingle: int, keys: DataFrame, entries: D
              .select("list", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "set", "component")
              .join(sets, "set"))
 
-    def scan(group: pd.DataFrame) -> pd.DataFrame:
-        links = joining_links(group["set"].tolist(), group["component"].tolist(),
-                              [np.frombuffer(s, dtype=np.uint64) for s in group["shingles"]], over, under)
-        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+    def scan(group: pa.Table) -> pa.Table:
+        links = joining_links(group["set"].to_pylist(), group["component"].to_pylist(),
+                              [np.frombuffer(s.as_buffer(), dtype=np.uint64) for s in group["shingles"]], over, under)
+        give_back()
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
-    return dealt.groupBy("list", "i", "j").applyInPandas(scan, "a long, b long")
+    return dealt.groupBy("list", "i", "j").applyInArrow(scan, "a long, b long")
 
 
 def joining_links(names: list, components: list, sets: list[np.ndarray], over: int, under: int) -> list[tuple]:

@@ -35,7 +35,7 @@ from .words import free_name, mix, mix_one, slices, text_buffer
 MARKER = "▁"
 DROPOUT = 0.1
 LONG = 256
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 17  # a merge takes some 200 bytes a character
 _NONE = np.int64(1) << 62
 _ALL = (1 << 64) - 1
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))

@@ -8,8 +8,8 @@ functions take whole texts; a null text has no bytes.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -76,15 +76,20 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
 
 
-_slice_powers = lru_cache(maxsize=1)(_powers)
+_slice_powers = _powers(1)
 
 
 def powers(length: int) -> tuple[np.ndarray, np.ndarray]:
     """Rising powers of the base and of its inverse, at least ``length`` + 1 of them.
 
-    One table is kept, for slices of usual size; a longer text has a table of its own.
+    One table is kept, as long as the slices so far need it; a text longer than usual slices has a table of its own.
     """
-    return _slice_powers(2 * CHUNK_BYTES + 1) if length <= 2 * CHUNK_BYTES else _powers(length + 1)
+    global _slice_powers
+    if length > 2 * CHUNK_BYTES:
+        return _powers(length + 1)
+    if length >= len(_slice_powers[0]):
+        _slice_powers = _powers((1 << length.bit_length()) + 1)
+    return _slice_powers
 
 
 def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -109,8 +114,25 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iter
         stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
-    # What Arrow keeps for later would add up over the operators that share a worker.
+    give_back()
+
+
+def give_back() -> None:
+    """Hand free memory back to the system: what Arrow and the C library keep for later adds up over the operators that share a worker."""
     pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
+def _c_trim():
+    """``malloc_trim`` where the C library has it."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError, TypeError):
+        return None
+
+
+_trim = _c_trim()
 
 
 class Words:
