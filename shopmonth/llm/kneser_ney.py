@@ -53,6 +53,7 @@ BUNDLE_ROWS = 1 << 20
 LISTED_ROWS = 1 << 16  # a batch goes to the JVM as a whole
 BROADCAST_ROWS = 1_000_000
 BEGIN, END, REPLACEMENT = 2, 3, 0xFFFD
+FOLD_ROWS = 1 << 19  # windows that a block gathers before repeated ones go
 _SLOTS = 1 << 19
 
 
@@ -246,11 +247,7 @@ def needed_grams(windows: np.ndarray) -> pa.Array:
     In order, because neighbours that share their first characters take fewer bytes where they are moved.
     """
     order = windows.shape[1]
-    there = np.zeros(0x110000, dtype=bool)
-    there[windows.reshape(-1)] = True
-    letters = np.flatnonzero(there).astype(np.uint32)
-    rank = (np.cumsum(there) - 1).astype(np.int32)
-    windows = different_rows(rank[windows], len(letters))
+    windows, letters = _ranked(windows)
     parts = [pa.array([""])]
     for size in range(1, order + 1):
         grams = windows[:, order - size:]
@@ -260,6 +257,35 @@ def needed_grams(windows: np.ndarray) -> pa.Array:
     return pa.concat_arrays([p.cast(pa.string()) for p in parts])
 
 
+def _ranked(windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different windows in order, as places in the array of their characters, and this array."""
+    there = np.zeros(0x110000, dtype=bool)
+    there[windows.reshape(-1)] = True
+    letters = np.flatnonzero(there).astype(np.uint32)
+    rank = (np.cumsum(there) - 1).astype(np.int32)
+    return different_rows(rank[windows], len(letters)), letters
+
+
+class Windows:
+    """The windows of one language in a block; gathered slice by slice, and repeated ones go whenever the rows have doubled."""
+
+    def __init__(self):
+        self.found: list[np.ndarray] = []
+        self.rows, self.limit = 0, FOLD_ROWS
+
+    def add(self, windows: np.ndarray) -> None:
+        self.found.append(windows)
+        self.rows += len(windows)
+        if self.rows > self.limit:
+            rows, letters = _ranked(self.take())
+            self.found, self.rows = [letters[rows]], len(rows)
+            self.limit = max(FOLD_ROWS, 2 * self.rows)
+
+    def take(self) -> np.ndarray:
+        windows, self.found = np.concatenate(self.found), []
+        return windows
+
+
 def different_rows(rows: np.ndarray, base: int) -> np.ndarray:
     """The different rows of numbers below ``base``, sorted; as one number each where that fits."""
     width = rows.shape[1]
@@ -396,16 +422,16 @@ def _lister(order: int, block_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in slices(batch, "text", block_bytes):
-                windows: dict[str, list[np.ndarray]] = {}
+                windows: dict[str, Windows] = {}
                 for part in slices(block, "text", SLICE_BYTES):
                     texts = part.column(part.schema.get_field_index("text"))
                     for language, rows in _language_groups(part.column(part.schema.get_field_index("lang"))):
-                        windows.setdefault(language, []).append(Characters(texts.take(rows), order).distinct()[0])
+                        windows.setdefault(language, Windows()).add(Characters(texts.take(rows), order).distinct()[0])
                 name = block_id(block)
                 yield from listed(name, MARK[0], pa.array([MARK[1]]))
                 while windows:
                     language, found = windows.popitem()
-                    yield from listed(name, language, needed_grams(np.concatenate(found)))
+                    yield from listed(name, language, needed_grams(found.take()))
 
     return run
 

@@ -5,11 +5,12 @@ import subprocess
 import sys
 import tracemalloc
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
 
-from shopmonth.llm import jaccard, piece_bpe, words
+from shopmonth.llm import jaccard, kneser_ney, piece_bpe, words
 
 
 def texts(megabytes):
@@ -62,6 +63,29 @@ def test_merges_take_little(spark, monkeypatch):
     assert rows == len(docs) and most < 60
 
 
+def test_listing_takes_little_and_all_grams(monkeypatch):
+    letters = np.random.default_rng(3).choice(np.frombuffer(b"abcdefghij ", np.uint8), (8000, 2000))
+    docs = [row.tobytes().decode() for row in letters]
+    batch = pa.RecordBatch.from_arrays([pa.array(docs), pa.array(["en"] * 7999 + [None])], names=["text", "lang"])
+    run = kneser_ney._lister(5, 32 << 20)
+    assert most_in_arrays(run, batch)[1] < 100
+    grams = lambda: pa.Table.from_batches(list(run(iter([batch])))).to_pylist()
+    got = grams()
+    monkeypatch.setattr(kneser_ney, "FOLD_ROWS", 1 << 40)
+    assert got == grams()
+
+
+def test_windows_gathered_are_the_different_ones(monkeypatch):
+    monkeypatch.setattr(kneser_ney, "FOLD_ROWS", 50)
+    rng, gathered, parts = np.random.default_rng(4), kneser_ney.Windows(), []
+    for size in (0, 3, 40, 60, 500, 1, 2000):
+        parts.append(rng.choice([2, 3, 97, 0x10FFFF, 0xFFFD], (size, 5)).astype(np.uint32))
+        gathered.add(parts[-1])
+    assert gathered.rows < 2606
+    got = gathered.take()
+    assert got.dtype == np.uint32 and {*map(tuple, got.tolist())} == {*map(tuple, np.concatenate(parts).tolist())}
+
+
 def test_workers_of_the_join_load_no_pandas():
     script = "import sys, shopmonth.llm.jaccard; sys.exit('pandas' in sys.modules)"
     assert subprocess.run([sys.executable, "-c", script], cwd=words.__file__.rsplit("/shopmonth/", 1)[0]).returncode == 0
